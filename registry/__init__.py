@@ -1,0 +1,4 @@
+"""Registered queries and the SQL each is checked against."""
+
+from registry import log_queries  # noqa: F401
+from registry.base import ORACLE, QUERIES  # noqa: F401

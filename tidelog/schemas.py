@@ -75,26 +75,34 @@ JDBC = {
 }
 # --- End of fixed values ----------------------------------------------------
 
-RAW_EVENT = T.StructType.fromDDL(
+_TYPES = {
+    "int": T.IntegerType(), "bigint": T.LongType(), "string": T.StringType(),
+    "timestamp": T.TimestampType(), "boolean": T.BooleanType(), "binary": T.BinaryType(),
+}
+
+
+def _table(fields: str) -> T.StructType:
+    """StructType of ``name type`` pairs; unlike ``fromDDL`` it needs no session."""
+    pairs = [f.split() for f in fields.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+RAW_EVENT = _table(
     "server_id int, seq bigint, type_code int, event_len bigint, log_pos bigint, flags int, "
     "rotate_file string, table_id bigint, db string, tbl string, query string, "
     "session_id bigint, session_db string, xid bigint, var_name string, var_type int, "
     "var_text string, num1 bigint, num2 bigint, ts timestamp"
 )
-CELL = T.StructType.fromDDL(
+CELL = _table(
     "server_id int, seq bigint, row_idx int, image string, ordinal int, mysql_type int, "
     "meta int, byte_len int, raw_long bigint, raw_str string, raw_bin binary"
 )
-TABLE_META = T.StructType.fromDDL(
+TABLE_META = _table(
     "db string, tbl string, version int, ordinal int, name string, column_type string, "
     "nullable string, column_key string, default_value string, extra string"
 )
-ENTRY = T.StructType.fromDDL(
+ENTRY = _table(
     "server_id int, seq bigint, type_code int, logfile string, logfile_offset bigint, execute_time bigint, "
     "event_length bigint, db string, tbl string, event_type string, entry_type string, "
     "is_ddl boolean, transaction_id string, thread_id bigint, sql string"
 )
-COLUMN_TYPE = (
-    "struct<ordinal:int,sql_type:int,name:string,is_key:boolean,updated:boolean,"
-    "is_null:boolean,value:string,mysql_type:string>"
-)
