@@ -93,7 +93,7 @@ def decode_text_blob(log: Log):
     i = F.col("doc_id") % 3
     kind = F.when(i == 0, "blob").when(i == 1, "text").otherwise("MEDIUMTEXT")
     docs = log.table("documents").withColumn(
-        "d", V.decode_bytes(F.encode("text", "UTF-8"), kind))
+        "d", V.decode_bytes(F.encode("text", "UTF-8"), V.is_text_type(kind)))
     return docs.select(
         "doc_id", F.col("d.sql_type").cast("bigint").alias("sql_type"),
         F.when(i != 0, F.md5("d.value")).alias("text_md5"),
@@ -262,11 +262,12 @@ def render_enum_set(log: Log):
         "p_partkey", F.lit(S.WIRE["STRING"]).alias("mysql_type"), F.lit(0xF701).alias("meta"),
         F.lit(1).alias("byte_len"), F.col("p_size").cast("bigint").alias("raw_long"),
         F.lit(None).cast("string").alias("raw_str"), F.lit(None).cast("binary").alias("raw_bin"),
-        F.lit("enum('a','b')").alias("column_type"), F.lit(False).alias("is_unsigned"),
+        F.lit(False).alias("is_unsigned"), F.lit(False).alias("is_text"),
+        F.lit(False).alias("is_binary"),
         F.encode(F.concat(F.lit("a"), F.col("p_size").cast("string")), "UTF-8").alias("bits"))
     return E.render_cells(cells).select(
         "p_partkey", *_big("sql_type"), "value",
-        V.decode_bytes(F.col("bits"), F.lit("set('a1')"))["value"].alias("set_value"))
+        V.decode_bytes(F.col("bits"), F.lit(False))["value"].alias("set_value"))
 
 
 @register("flag_updated", sql(f"select {_KEY}, value, updated from flagged", "flagged"))

@@ -10,11 +10,8 @@ from tidelog.schemas import JDBC, WIRE
 ZERO_DATETIME, ZERO_DATE, ZERO_TIME, ZERO_YEAR = (
     "0000-00-00 00:00:00", "0000-00-00", "00:00:00", "0000",
 )
-# Unsigned widening by byte length -> (modulus, raised type).
-UNSIGNED = {
-    1: (1 << 8, "SMALLINT"), 2: (1 << 16, "INTEGER"), 3: (1 << 24, "INTEGER"),
-    4: (1 << 32, "BIGINT"), 8: (1 << 64, "DECIMAL"),
-}
+# An unsigned number of this byte length moves up to this type.
+RAISED_TYPE = {1: "SMALLINT", 2: "INTEGER", 3: "INTEGER", 4: "BIGINT", 8: "DECIMAL"}
 TEXT_TYPES = ["TEXT", "TINYTEXT", "MEDIUMTEXT", "LONGTEXT"]
 INTEGER_JDBC = [JDBC[t] for t in ("INTEGER", "TINYINT", "SMALLINT", "BIGINT")]
 BYTES_JDBC = [JDBC[t] for t in ("BINARY", "VARBINARY", "LONGVARBINARY")]
@@ -25,18 +22,26 @@ def _div(a: Column, b: int) -> Column:
     return F.call_function("div", a, F.lit(b).cast("bigint"))
 
 
-def _pad(value: Column, width: int) -> Column:
-    """Zero-pad to at least ``width`` digits without cutting longer numbers."""
-    text = value.cast("bigint").cast("string")
-    return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
+# Text is laid out by one pattern over zero-padded digits. The cell renderer holds
+# every type in one expression, and the JVM compiles only methods that stay small.
+def _digits(number: Column, width: int) -> Column:
+    return F.lpad(number.cast("bigint").cast("string"), width, "0")
 
 
-def _date(y: Column, m: Column, d: Column) -> Column:
-    return F.concat_ws("-", _pad(y, 4), _pad(m, 2), _pad(d, 2))
+def _datetime_text(yyyymmddhhmmss: Column) -> Column:
+    return F.regexp_replace(
+        _digits(yyyymmddhhmmss, 14), r"(.{4})(..)(..)(..)(..)(..)", "$1-$2-$3 $4:$5:$6")
 
 
-def _time(h: Column, m: Column, s: Column) -> Column:
-    return F.concat_ws(":", _pad(h, 2), _pad(m, 2), _pad(s, 2))
+def _date_text(yyyymmdd: Column) -> Column:
+    return F.regexp_replace(_digits(yyyymmdd, 8), r"(.{4})(..)(..)", "$1-$2-$3")
+
+
+def _time_text(hhmmss: Column) -> Column:
+    """Two or three hour digits, with the sign of the number."""
+    text = F.regexp_replace(
+        _digits(F.abs(hhmmss), 7), r"\A0?(\d{2,3})(\d\d)(\d\d)\z", "$1:$2:$3")
+    return F.concat(F.when(hhmmss < 0, "-").otherwise(""), text)
 
 
 def effective_type(mysql_type: Column, meta: Column) -> Column:
@@ -53,35 +58,39 @@ def effective_type(mysql_type: Column, meta: Column) -> Column:
 def sql_type_code(mysql_type: Column, meta: Column, is_binary: Column) -> Column:
     """JDBC type code of a wire type."""
     kind = effective_type(mysql_type, meta)
-    plain = {
-        "LONG": "INTEGER", "TINY": "TINYINT", "SHORT": "SMALLINT", "INT24": "INTEGER",
-        "LONGLONG": "BIGINT", "DECIMAL": "DECIMAL", "NEWDECIMAL": "DECIMAL", "FLOAT": "REAL",
-        "DOUBLE": "DOUBLE", "BIT": "BIT", "TIMESTAMP": "TIMESTAMP", "TIMESTAMP2": "TIMESTAMP",
-        "DATETIME": "TIMESTAMP", "DATETIME2": "TIMESTAMP", "TIME": "TIME", "TIME2": "TIME",
-        "NEWDATE": "DATE", "DATE": "DATE", "YEAR": "VARCHAR", "ENUM": "INTEGER",
-        "SET": "BINARY", "GEOMETRY": "BINARY",
+    groups = {
+        "BIGINT": ["LONGLONG"], "INTEGER": ["LONG", "INT24", "ENUM"], "TINYINT": ["TINY"],
+        "SMALLINT": ["SHORT"], "DECIMAL": ["NEWDECIMAL", "DECIMAL"],
+        "TIMESTAMP": ["DATETIME", "DATETIME2", "TIMESTAMP", "TIMESTAMP2"],
+        "REAL": ["FLOAT"], "DOUBLE": ["DOUBLE"], "BIT": ["BIT"], "TIME": ["TIME", "TIME2"],
+        "DATE": ["DATE", "NEWDATE"], "BINARY": ["SET", "GEOMETRY"],
     }
-    table = F.create_map(*[F.lit(x) for w, j in plain.items() for x in (WIRE[w], JDBC[j])])
-    blobs = [WIRE[t] for t in ("TINY_BLOB", "MEDIUM_BLOB", "LONG_BLOB", "BLOB")]
     binary = F.coalesce(is_binary, F.lit(False))
-    return (
-        F.when(kind.isin(blobs), F.when(meta == 1, JDBC["VARBINARY"])
-               .otherwise(JDBC["LONGVARBINARY"]))
-        .when(kind.isin(WIRE["VARCHAR"], WIRE["VAR_STRING"]),
-              F.when(binary, JDBC["VARBINARY"]).otherwise(JDBC["VARCHAR"]))
-        .when(kind == WIRE["STRING"], F.when(binary, JDBC["BINARY"]).otherwise(JDBC["CHAR"]))
-        .otherwise(F.coalesce(table[kind], F.lit(JDBC["OTHER"])))
-    )
+    blobs = [WIRE[t] for t in ("TINY_BLOB", "MEDIUM_BLOB", "LONG_BLOB", "BLOB")]
+    code = F.when(
+        kind.isin(WIRE["VARCHAR"], WIRE["VAR_STRING"]),
+        F.when(binary, JDBC["VARBINARY"]).otherwise(JDBC["VARCHAR"]),
+    ).when(
+        kind.isin(blobs), F.when(meta == 1, JDBC["VARBINARY"]).otherwise(JDBC["LONGVARBINARY"])
+    ).when(
+        kind == WIRE["STRING"], F.when(binary, JDBC["BINARY"]).otherwise(JDBC["CHAR"])
+    ).when(kind == WIRE["YEAR"], JDBC["VARCHAR"])
+    for jdbc, wires in groups.items():
+        code = code.when(kind.isin([WIRE[w] for w in wires]), JDBC[jdbc])
+    return code.otherwise(JDBC["OTHER"])
 
 
 def widen_unsigned(raw: Column, byte_len: Column, sql_type: Column, unsigned: Column) -> Column:
     """``struct(value, sql_type)``: a negative unsigned number moves up one type."""
     negative = F.coalesce(unsigned, F.lit(False)) & (raw < 0)
-    value, code = F.lit(None).cast("string"), sql_type
-    for size, (modulus, raised) in UNSIGNED.items():
-        # 20 digits hold every unsigned 8-byte number.
-        wide = (raw.cast("decimal(20,0)") + F.lit(str(modulus)).cast("decimal(20,0)"))
-        value = F.when(byte_len == size, wide.cast("decimal(20,0)").cast("string")).otherwise(value)
+    one = F.lit(1).cast("bigint")
+    # 20 digits hold every unsigned 8-byte number.
+    widest = raw.cast("decimal(20,0)") + F.lit(str(1 << 64)).cast("decimal(20,0)")
+    value = F.when(
+        byte_len.isin(1, 2, 3, 4), (raw + F.call_function("shiftleft", one, byte_len * 8)).cast("string")
+    ).when(byte_len == 8, widest.cast("decimal(20,0)").cast("string"))
+    code = sql_type
+    for size, raised in RAISED_TYPE.items():
         code = F.when(byte_len == size, JDBC[raised]).otherwise(code)
     return F.struct(
         F.when(negative, value).otherwise(raw.cast("string")).alias("value"),
@@ -89,29 +98,35 @@ def widen_unsigned(raw: Column, byte_len: Column, sql_type: Column, unsigned: Co
     )
 
 
+def _shift_point(n: Column) -> Column:
+    """Plain text of struct(sign, whole, digits, exponent)."""
+    point, size = n["whole"] + n["exponent"], F.length(n["digits"])
+    left = (
+        F.when(point <= 0, F.lit("0"))
+        .when(point >= size, F.rpad(n["digits"], point, "0"))
+        .otherwise(F.substring(n["digits"], F.lit(1), point))
+    )
+    right = (
+        F.when(point <= 0, F.concat(F.repeat(F.lit("0"), -point), n["digits"]))
+        .when(point >= size, F.lit(""))
+        .otherwise(F.substring(n["digits"], point + 1, size))
+    )
+    tail = F.when(right != "", F.concat(F.lit("."), right)).otherwise("")
+    return F.concat(n["sign"], F.regexp_replace(left, r"\A0+(?=\d)", ""), tail)
+
+
 def render_decimal(text: Column) -> Column:
     """Decimal text without an exponent, digits kept as sent."""
-    exponent = F.coalesce(
-        F.regexp_extract(text, r"[eE]([+-]?\d+)\z", 1).try_cast("int"), F.lit(0)
-    )
-    sign = F.regexp_extract(text, r"\A\s*(-?)", 1)
     whole = F.regexp_extract(text, r"\A\s*[+-]?(\d*)", 1)
-    part = F.regexp_extract(text, r"\.(\d*)", 1)
-    digits = F.concat(whole, part)
-    point = F.length(whole) + exponent  # digits left of the point
-    left = F.when(point <= 0, F.lit("0")).when(
-        point >= F.length(digits), F.rpad(digits, point, "0")
-    ).otherwise(F.substring(digits, F.lit(1), point))
-    right = F.when(
-        point <= 0, F.concat(F.repeat(F.lit("0"), -point), digits)
-    ).when(point >= F.length(digits), F.lit("")).otherwise(
-        F.substring(digits, point + 1, F.length(digits))
+    exponent = F.regexp_extract(text, r"[eE]([+-]?\d+)\z", 1).try_cast("int")
+    number = F.struct(
+        F.regexp_extract(text, r"\A\s*(-?)", 1).alias("sign"), F.length(whole).alias("whole"),
+        F.concat(whole, F.regexp_extract(text, r"\.(\d*)", 1)).alias("digits"),
+        F.coalesce(exponent, F.lit(0)).alias("exponent"),
     )
-    number = F.concat(
-        sign, F.regexp_replace(left, r"\A0+(?=\d)", ""),
-        F.when(right != "", F.concat(F.lit("."), right)).otherwise(""),
-    )
-    return F.when(text.rlike(r"[eE]"), number).otherwise(text)
+    # Exponents are rare; the lambda reads each part once and stays out of the hot code.
+    moved = F.get(F.transform(F.array(number), _shift_point), F.lit(0))
+    return F.when(text.rlike("[eE]"), moved).otherwise(text)
 
 
 def render_bit(raw_bin: Column) -> Column:
@@ -122,46 +137,44 @@ def render_bit(raw_bin: Column) -> Column:
     return F.when(F.octet_length(raw_bin) == 1, signed).otherwise(number)
 
 
+def datetime2_number(packed: Column) -> Column:
+    """``YYYYMMDDhhmmss`` of year*13+month, day, hour, minute, second bit fields."""
+    ym, days = F.shiftright(packed, 22), F.shiftright(packed, 17) % 32
+    hours, minutes = F.shiftright(packed, 12) % 32, F.shiftright(packed, 6) % 64
+    date = _div(ym, 13) * 10_000 + ym % 13 * 100 + days
+    return date * 1_000_000 + hours * 10_000 + minutes * 100 + packed % 64
+
+
+def time2_number(packed: Column) -> Column:
+    """Signed ``hhmmss`` of hour (10 bits), minute (6) and second (6)."""
+    size = F.abs(packed)
+    hms = F.shiftright(size, 12) % 1024 * 10_000 + F.shiftright(size, 6) % 64 * 100 + size % 64
+    return F.when(packed < 0, -hms).otherwise(hms)
+
+
 def render_datetime(packed: Column) -> Column:
     """``YYYYMMDDhhmmss`` packed in a bigint."""
-    d, t = _div(packed, 1_000_000), packed % 1_000_000
-    text = F.concat(
-        _date(_div(d, 10_000), _div(d, 100) % 100, d % 100), F.lit(" "),
-        _time(_div(t, 10_000), _div(t, 100) % 100, t % 100),
-    )
-    return F.when(packed == 0, ZERO_DATETIME).otherwise(text)
+    return F.when(packed == 0, ZERO_DATETIME).otherwise(_datetime_text(packed))
 
 
 def render_datetime2(packed: Column) -> Column:
-    """Year*13+month, day, hour, minute and second in bit fields; fraction ignored."""
-    ymd, hms = F.shiftright(packed, 17), packed % (1 << 17)
-    ym = F.shiftright(ymd, 5)
-    text = F.concat(
-        _date(_div(ym, 13), ym % 13, ymd % 32), F.lit(" "),
-        _time(F.shiftright(hms, 12), F.shiftright(hms, 6) % 64, hms % 64),
-    )
-    return F.when(packed == 0, ZERO_DATETIME).otherwise(text)
+    """Bit-field date and time; the fraction is ignored."""
+    return F.when(packed == 0, ZERO_DATETIME).otherwise(_datetime_text(datetime2_number(packed)))
 
 
 def render_date(packed: Column) -> Column:
-    text = _date(_div(packed, 512), _div(packed, 32) % 16, packed % 32)
-    return F.when(packed == 0, ZERO_DATE).otherwise(text)
+    number = _div(packed, 512) * 10_000 + _div(packed, 32) % 16 * 100 + packed % 32
+    return F.when(packed == 0, ZERO_DATE).otherwise(_date_text(number))
 
 
 def render_time(packed: Column) -> Column:
     """Signed ``hhmmss`` up to 838 hours."""
-    size = F.abs(packed)
-    text = _time(_div(size, 10_000), _div(size, 100) % 100, size % 100)
-    signed = F.concat(F.when(packed < 0, "-").otherwise(""), text)
-    return F.when(packed == 0, ZERO_TIME).otherwise(signed)
+    return F.when(packed == 0, ZERO_TIME).otherwise(_time_text(packed))
 
 
 def render_time2(packed: Column) -> Column:
-    """Sign, then hour (10 bits), minute (6) and second (6)."""
-    size = F.abs(packed)
-    text = _time(F.shiftright(size, 12) % 1024, F.shiftright(size, 6) % 64, size % 64)
-    signed = F.concat(F.when(packed < 0, "-").otherwise(""), text)
-    return F.when(packed == 0, ZERO_TIME).otherwise(signed)
+    """Bit-field time of day or span, with its sign."""
+    return F.when(packed == 0, ZERO_TIME).otherwise(_time_text(time2_number(packed)))
 
 
 def render_timestamp(seconds: Column) -> Column:
@@ -191,9 +204,8 @@ def is_binary_type(column_type: Column) -> Column:
     return F.coalesce(F.contains(F.upper(column_type), F.lit("BINARY")), F.lit(False))
 
 
-def decode_bytes(raw_bin: Column, column_type: Column, charset: str = "UTF-8") -> Column:
+def decode_bytes(raw_bin: Column, is_text: Column, charset: str = "UTF-8") -> Column:
     """``struct(value, sql_type)``: text types by the job charset, all else byte for byte."""
-    is_text = is_text_type(column_type)
     return F.struct(
         F.when(is_text, F.decode(raw_bin, charset))
         .otherwise(F.decode(raw_bin, "ISO-8859-1")).alias("value"),

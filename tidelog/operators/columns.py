@@ -74,6 +74,8 @@ def enrich_columns(cells: DataFrame, meta: DataFrame) -> DataFrame:
         (F.upper("column_key") == "PRI").alias("is_key"),
         "column_type",
         F.contains(F.lower("column_type"), F.lit("unsigned")).alias("is_unsigned"),
+        V.is_text_type(F.col("column_type")).alias("is_text"),
+        V.is_binary_type(F.col("column_type")).alias("is_binary"),
     )
     return cells.join(described, ["db", "tbl", "ordinal"])
 
@@ -122,34 +124,36 @@ def version_widths(versions: DataFrame, meta: DataFrame) -> DataFrame:
 
 def render_cells(cells: DataFrame, charset: str = "UTF-8") -> DataFrame:
     """Text value and JDBC type of each enriched cell."""
-    kind = V.effective_type(F.col("mysql_type"), F.col("meta"))
-    binary = V.is_binary_type(F.col("column_type"))
-    base = V.sql_type_code(F.col("mysql_type"), F.col("meta"), binary)
-    staged = cells.withColumns({"_kind": kind, "_base": base})
-    raw, text, data, k = F.col("raw_long"), F.col("raw_str"), F.col("raw_bin"), F.col("_kind")
-    wide = V.widen_unsigned(raw, F.col("byte_len"), F.col("_base"), F.col("is_unsigned"))
-    decoded = V.decode_bytes(F.coalesce(data, F.encode(text, charset)), F.col("column_type"), charset)
-    is_int = F.col("_base").isin(V.INTEGER_JDBC)
-    is_bytes = F.col("_base").isin(V.BYTES_JDBC)
     w = S.WIRE
-    special = {
-        "NEWDECIMAL": V.render_decimal(text), "BIT": V.render_bit(data),
-        "DATETIME": V.render_datetime(raw), "DATETIME2": V.render_datetime2(raw),
-        "DATE": V.render_date(raw), "TIME": V.render_time(raw), "TIME2": V.render_time2(raw),
-        "TIMESTAMP": V.render_timestamp(raw), "TIMESTAMP2": V.render_timestamp(raw),
-        "YEAR": V.render_year(raw),
-    }
-    value = F.when(is_int, wide["value"]).when(is_bytes, decoded["value"])
-    for name, expr in special.items():
-        value = value.when(k == w[name], expr)
-    value = value.otherwise(F.coalesce(text, raw.cast("string")))
-    present = F.col("raw_long").isNotNull() | text.isNotNull() | data.isNotNull()
+    raw, text, data = F.col("raw_long"), F.col("raw_str"), F.col("raw_bin")
+    kind, base = F.col("_kind"), F.col("_base")
+    staged = cells.withColumn(
+        "_kind", V.effective_type(F.col("mysql_type"), F.col("meta"))
+    ).withColumn("_base", V.sql_type_code(kind, F.col("meta"), F.col("is_binary")))
+    wide = V.widen_unsigned(raw, F.col("byte_len"), base, F.col("is_unsigned"))
+    decoded = V.decode_bytes(F.coalesce(data, F.encode(text, charset)), F.col("is_text"), charset)
+    is_int, is_bytes = base.isin(V.INTEGER_JDBC), base.isin(V.BYTES_JDBC)
+    value = (
+        F.when(is_int, wide["value"])
+        .when(is_bytes, decoded["value"])
+        .when(kind == w["NEWDECIMAL"], V.render_decimal(text))
+        .when(kind.isin(w["DATETIME"], w["DATETIME2"]), V.render_datetime(
+            F.when(kind == w["DATETIME"], raw).otherwise(V.datetime2_number(raw))))
+        .when(kind.isin(w["TIMESTAMP"], w["TIMESTAMP2"]), V.render_timestamp(raw))
+        .when(kind == w["DATE"], V.render_date(raw))
+        .when(kind.isin(w["TIME"], w["TIME2"]), V.render_time(
+            F.when(kind == w["TIME"], raw).otherwise(V.time2_number(raw))))
+        .when(kind == w["YEAR"], V.render_year(raw))
+        .when(kind == w["BIT"], V.render_bit(data))
+        .otherwise(F.coalesce(text, raw.cast("string")))
+    )
+    present = F.coalesce(raw.isNotNull() | text.isNotNull() | data.isNotNull(), F.lit(False))
     code = (
-        F.when(~present, F.col("_base"))
-        .when(is_int, wide["sql_type"]).when(is_bytes, decoded["sql_type"])
-        .otherwise(F.col("_base"))
+        F.when(~present, base).when(is_int, wide["sql_type"])
+        .when(is_bytes, decoded["sql_type"]).otherwise(base)
     )
-    return staged.withColumns({"value": F.when(present, value), "sql_type": code}).drop("_kind", "_base")
+    return staged.withColumns(
+        {"value": F.when(present, value), "sql_type": code}).drop("_kind", "_base")
 
 
 def flag_updated(cells: DataFrame) -> DataFrame:
@@ -178,11 +182,20 @@ def changed_or_key_columns(cells: DataFrame) -> DataFrame:
 def row_images(cells: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Cells of each row as ordered before and after arrays."""
     item = F.struct(*(columns or VALUE_COLUMNS))
-    nested = cells.groupBy(*ROW_KEY).agg(
+    return cells.groupBy(*ROW_KEY).agg(
         F.array_sort(F.collect_list(F.when(F.col("image") == "B", item))).alias("before"),
         F.array_sort(F.collect_list(F.when(F.col("image") == "A", item))).alias("after"),
     )
-    return nested
+
+
+def flag_updated_images(rows: DataFrame) -> DataFrame:
+    """``flag_updated`` on row images: each after cell against the before cell at its index."""
+    def flagged(cell: Column) -> Column:
+        old = F.get("before", cell["ordinal"])
+        changed = old.isNotNull() & ~cell["value"].eqNullSafe(old["value"])
+        return cell.withField("updated", changed)
+
+    return rows.withColumn("after", F.transform("after", flagged))
 
 
 def assemble_entries(

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.operators.ordered import DEFAULT_WIDTH, positions
@@ -143,7 +142,7 @@ def _hand_down(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["server_id", "chunk", "open_in"])
 
 
-def _assign(max_bytes: int, max_rows: int, out_columns: Sequence[str]):
+def _assign(max_bytes: int, max_rows: int):
     def place(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("idx", kind="stable")
         own, opened = pdf[~pdf["halo"]], int(pdf["open_in"].iloc[0])
@@ -151,17 +150,38 @@ def _assign(max_bytes: int, max_rows: int, out_columns: Sequence[str]):
         held = np.array([tail[len(tail) - opened:].sum() if opened else 0], dtype=np.int64)
         total, end = _cuts(own["size"].to_numpy(np.int64), max_bytes, max_rows)
         n = len(own)
-        starts = np.zeros(n, dtype=bool)
+        starts = np.zeros(n, dtype=np.int64)
         at = 0 if opened == 0 else int(
             _first_end(total, held, np.array([opened]), max_bytes, max_rows)[0])
         while at < n:  # one step per message
-            starts[at] = True
+            starts[at] = 1
             at = int(end[at])
-        own = own.assign(starts_message=starts)
-        return own[list(out_columns)]
+        return own[["server_id", "seq", "chunk"]].assign(begun=starts.cumsum())
     return place
 
 
+def _open_rows(rows: DataFrame, chunks: int, max_bytes: int, max_rows: int) -> DataFrame:
+    """Rows of the previous chunk still open at the start of each chunk."""
+    keys, found = ["server_id", "chunk"], "server_id int, chunk bigint, open_in bigint"
+    zero = F.lit(0).cast("bigint")
+    if chunks == 1:
+        return rows.select("server_id", "chunk", zero.alias("open_in")).distinct()
+    tables = [rows.groupBy(*keys).applyInPandas(_chunk_table(max_bytes, max_rows), _TABLE)]
+    parent = F.call_function("div", F.col("chunk"), F.lit(FAN).cast("bigint"))
+    while chunks > FAN:
+        run = tables[-1].withColumn("_up", parent)
+        tables.append(run.groupBy("server_id", "_up").applyInPandas(_compose, _TABLE))
+        chunks = -(-chunks // FAN)
+    begin = tables[-1].withColumn("_start", zero)
+    starts = begin.groupBy("server_id").applyInPandas(_hand_down, found)
+    for table in reversed(tables[:-1]):
+        above = starts.select(
+            "server_id", F.col("chunk").alias("_up"), F.col("open_in").alias("_start"))
+        run = table.withColumn("_up", parent).join(above, ["server_id", "_up"])
+        starts = run.groupBy("server_id", "_up").applyInPandas(_hand_down, found)
+    return starts
+
+
 def pack_messages(
     entries: DataFrame,
     size: Column,
@@ -169,7 +189,6 @@ def pack_messages(
     max_rows: int = SEND_ROWS,
     *,
     width: int = DEFAULT_WIDTH,
-    levels: int = 2,
 ) -> DataFrame:
     """Add ``message_no`` (0, 1, ...) per server: greedy batches in log order.
 
@@ -181,37 +200,35 @@ def pack_messages(
     numbered = written(
         positions(narrow, ["server_id"], "seq", width=width)
         .select("server_id", "seq", "size", F.col("rows_before").alias("idx")), "numbered")
-    offset = F.pmod("idx", F.lit(chunk).cast("bigint"))
-    own = numbered.withColumn("chunk", F.call_function("div", F.col("idx"), F.lit(chunk).cast("bigint")))
-    halo = own.filter(offset > chunk - max_rows).withColumns(
-        {"chunk": F.col("chunk") + 1, "halo": F.lit(True)}
-    )
-    last = own.groupBy("server_id").agg(F.max("chunk").alias("_last"))
-    halo = halo.join(last, "server_id").filter(F.col("chunk") <= F.col("_last")).drop("_last")
-    rows = own.withColumn("halo", F.lit(False)).unionByName(halo)
+    top = numbered.agg(F.max("idx")).first()[0] or 0  # one number
+    chunks = top // chunk + 1
+    wide = F.lit(chunk).cast("bigint")
+    own = numbered.withColumns(
+        {"chunk": F.call_function("div", F.col("idx"), wide), "halo": F.lit(False)})
+    rows = own
+    if chunks > 1:  # the tail of each chunk also goes, marked, to the chunk after it
+        tail = own.filter(F.pmod("idx", wide) > chunk - max_rows).withColumns(
+            {"chunk": F.col("chunk") + 1, "halo": F.lit(True)})
+        last = own.groupBy("server_id").agg(F.max("chunk").alias("_last"))
+        tail = tail.join(last, "server_id").filter(F.col("chunk") <= F.col("_last")).drop("_last")
+        rows = own.unionByName(tail)
     keys = ["server_id", "chunk"]
-    tables = [rows.groupBy(*keys).applyInPandas(_chunk_table(max_bytes, max_rows), _TABLE)]
-    parent = F.call_function("div", F.col("chunk"), F.lit(FAN).cast("bigint"))
-    for _ in range(levels):
-        run = tables[-1].withColumn("_up", parent)
-        tables.append(run.groupBy("server_id", "_up").applyInPandas(_compose, _TABLE))
-    found = "server_id int, chunk bigint, open_in bigint"
-    begin = tables[-1].withColumn("_start", F.lit(0).cast("bigint"))
-    starts = begin.groupBy("server_id").applyInPandas(_hand_down, found)
-    for table in reversed(tables[:-1]):
-        above = starts.select("server_id", F.col("chunk").alias("_up"), F.col("open_in").alias("_start"))
-        run = table.withColumn("_up", parent).join(above, ["server_id", "_up"])
-        starts = run.groupBy("server_id", "_up").applyInPandas(_hand_down, found)
+    starts = _open_rows(rows, chunks, max_bytes, max_rows)
     placed = rows.join(starts, keys).groupBy(*keys).applyInPandas(
-        _assign(max_bytes, max_rows, ["server_id", "seq", "chunk", "idx", "starts_message"]),
-        "server_id int, seq bigint, chunk bigint, idx bigint, starts_message boolean",
-    )
-    opened = positions(
-        written(placed, "placed"), ["server_id"], "idx", F.col("starts_message"), width=width)
-    number = F.col("marks_before") + F.col("starts_message").cast("bigint") - 1
-    return entries.join(
-        opened.select("server_id", "seq", number.alias("message_no")), ["server_id", "seq"]
+        _assign(max_bytes, max_rows),
+        "server_id int, seq bigint, chunk bigint, begun bigint",
     )
+    if chunks == 1:
+        number = placed.select("server_id", "seq", (F.col("begun") - 1).alias("message_no"))
+    else:
+        placed = written(placed, "placed")
+        before = Window.partitionBy("server_id").orderBy("chunk").rowsBetween(
+            Window.unboundedPreceding, -1)
+        earlier = placed.groupBy(*keys).agg(F.max("begun").alias("_n")).select(
+            *keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_earlier"))
+        number = placed.join(earlier, keys).select(
+            "server_id", "seq", (F.col("_earlier") + F.col("begun") - 1).alias("message_no"))
+    return entries.join(number, ["server_id", "seq"])
 
 
 def message_summary(packed: DataFrame, size: Column) -> DataFrame:

@@ -70,21 +70,30 @@ def all_entries(
     ])
 
 
-def kept_entries(
-    raw: DataFrame, allow: Sequence[str], *, markers: str = "drop",
-    batch0: int | Column = 0, in0: int | Column = 0, width: int = DEFAULT_WIDTH, **classes,
+def passing_entries(
+    raw: DataFrame, allow: Sequence[str], *, markers: str = "drop", width: int = DEFAULT_WIDTH,
+    **classes,
 ) -> DataFrame:
-    """Entries that pass the second filter, numbered.
+    """Entries that pass the second filter.
 
     ``markers='drop'``: markers go too, so batches advance on listed DDL only.
-    ``markers='keep'``: transaction ends stay and batches advance on every commit.
+    ``markers='keep'``: markers stay and batches advance on every commit.
     """
     entries = all_entries(raw, allow, width=width, **classes)
     if markers == "drop":
-        kept = D.allow_entries_strict(entries, allow)
-    else:
-        marker = F.col("entry_type") != "ROWDATA"
-        kept = entries.filter(marker | D.full_name().isin(list(allow))) if len(allow) else entries
+        return D.allow_entries_strict(entries, allow)
+    if not len(allow):
+        return entries
+    return entries.filter(
+        (F.col("entry_type") != "ROWDATA") | D.full_name().isin(list(allow)))
+
+
+def kept_entries(
+    raw: DataFrame, allow: Sequence[str], *, markers: str = "drop",
+    batch0: int | Column = 0, in0: int | Column = 0, width: int = DEFAULT_WIDTH, **classes,
+) -> DataFrame:
+    """Entries that pass the second filter, numbered."""
+    kept = passing_entries(raw, allow, markers=markers, width=width, **classes)
     return Q.assign_batch_ids(kept, batch0, in0, width)
 
 
@@ -105,11 +114,11 @@ def row_bodies(
     owned = cells.join(owners, E.EVENT_KEY)
     rendered = E.render_cells(E.enrich_columns(owned, meta), charset)
     shaped = rendered.select(
-        *E.CELL_KEY, "image", "sql_type", "name", "is_key",
+        *E.CELL_KEY, "image", "sql_type", "name", "is_key", F.lit(False).alias("updated"),
         F.col("value").isNull().alias("is_null"), "value",
         F.col("column_type").alias("mysql_type"),
     )
-    rows = E.row_images(E.flag_updated(shaped))
+    rows = E.flag_updated_images(E.row_images(shaped))
     return rows.groupBy(*E.EVENT_KEY).agg(
         F.array_sort(F.collect_list(F.struct("row_idx", "before", "after"))).alias("row_datas"))
 
@@ -121,12 +130,12 @@ def track_changes(
 ) -> tuple[DataFrame, DataFrame]:
     """Raw log to numbered, packed messages, and the checkpoint to confirm after them.
 
-    Numbered entries and finished message values are each written once: both have
+    Kept entries and finished message values are each written once: both have
     several readers, and context must not be attached again for each of them.
     """
-    kept = written(
-        kept_entries(raw, allow, markers=markers, batch0=batch0, in0=in0, width=width), "kept")
-    full = kept.join(row_bodies(kept, cells, meta), E.EVENT_KEY, "left")
+    entries = written(passing_entries(raw, allow, markers=markers, width=width), "kept")
+    kept = Q.assign_batch_ids(entries, batch0, in0, width)
+    full = kept.join(row_bodies(entries, cells, meta), E.EVENT_KEY, "left")
     value_columns = [*ENTRY_FIELDS, "batch_id", "in_id", "row_datas"]
     out = written(publish_changes(
         full, topic, value_columns, keep=("server_id", "seq", "batch_id", "in_id")), "values")

@@ -141,12 +141,8 @@ def track_batch(
         before = spark.read.schema(STATE).parquet(_epoch_path(state_path, epoch - 1))
     raw_columns = [f.name for f in S.RAW_EVENT.fields]
     log = before.select(*raw_columns).unionByName(batch.select(*raw_columns))
-    entries = H.all_entries(log, allow, width=width)
-    if markers == "drop":
-        entries = H.D.allow_entries_strict(entries, allow)
-    elif len(allow):
-        entries = entries.filter(
-            (F.col("entry_type") != "ROWDATA") | H.D.full_name().isin(list(allow)))
+    entries = H.written(
+        H.passing_entries(log, allow, markers=markers, width=width), "live")
     ids = before.filter(F.col("type_code") == S.ROTATE).select(
         "server_id", F.col("next_batch_id").alias("_b0"), F.col("next_in_id").alias("_i0"))
     zero = F.lit(0).cast("bigint")
@@ -154,8 +150,7 @@ def track_batch(
         entries.join(ids, "server_id", "left"),
         F.coalesce("_b0", zero), F.coalesce("_i0", zero), width,
     ).drop("_b0", "_i0")
-    kept = H.written(kept, "live")
-    full = kept.join(H.row_bodies(kept, cells_of(batch), meta), E.EVENT_KEY, "left")
+    full = kept.join(H.row_bodies(entries, cells_of(batch), meta), E.EVENT_KEY, "left")
     columns = [*H.ENTRY_FIELDS, "batch_id", "in_id", "row_datas"]
     messages = publish_changes(
         full, topic, columns, keep=("server_id", "seq", "batch_id", "in_id"))
