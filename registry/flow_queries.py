@@ -498,7 +498,7 @@ def track_changes_stream(log: Log):
     spark = log.spark
     source, state, sink, mark = (
         new_table_path(spark, n) for n in ("live", "state", "sink", "mark"))
-    images = F.array_sort(F.collect_list(F.struct(*live.IMAGES.elementType.names))).alias("images")
+    images = F.sort_array(F.collect_list(F.struct(*live.IMAGES.elementType.names))).alias("images")
     whole = log.raw.join(log.cells.groupBy("server_id", "seq").agg(images), ["server_id", "seq"], "left")
     events = written(whole, "events")
     last = events.agg(F.max("seq")).first()[0]

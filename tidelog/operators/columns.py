@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog import schemas as S
 from tidelog.functions import values as V
+from tidelog.operators.context import is_rows_event, row_kind
 
 EVENT_KEY = ["server_id", "seq"]
 ROW_KEY = ["server_id", "seq", "row_idx"]
@@ -54,10 +55,8 @@ def explode_columns(rows: DataFrame) -> DataFrame:
 
 def attach_table(cells: DataFrame, resolved_rows: DataFrame) -> DataFrame:
     """Database, table and kind of the rows event each cell belongs to."""
-    from tidelog.operators.context import kind_of
-
     owner = resolved_rows.filter(F.col("table_error").isNull()).select(
-        *EVENT_KEY, "db", "tbl", kind_of(F.col("type_code")).alias("event_type")
+        *EVENT_KEY, "db", "tbl", row_kind().alias("event_type")
     )
     return cells.join(owner, EVENT_KEY)
 
@@ -183,8 +182,8 @@ def row_images(cells: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Cells of each row as ordered before and after arrays."""
     item = F.struct(*(columns or VALUE_COLUMNS))
     return cells.groupBy(*ROW_KEY).agg(
-        F.array_sort(F.collect_list(F.when(F.col("image") == "B", item))).alias("before"),
-        F.array_sort(F.collect_list(F.when(F.col("image") == "A", item))).alias("after"),
+        F.sort_array(F.collect_list(F.when(F.col("image") == "B", item))).alias("before"),
+        F.sort_array(F.collect_list(F.when(F.col("image") == "A", item))).alias("after"),
     )
 
 
@@ -210,14 +209,14 @@ def assemble_entries(
     placed = cells.repartition(*EVENT_KEY)
     rows = row_images(placed, columns)
     body = rows.groupBy(*EVENT_KEY).agg(
-        F.array_sort(F.collect_list(F.struct("row_idx", "before", "after"))).alias("row_datas")
+        F.sort_array(F.collect_list(F.struct("row_idx", "before", "after"))).alias("row_datas")
     )
     return headers.join(body, EVENT_KEY)
 
 
 def simple_entries(entries: DataFrame) -> DataFrame:
     """Reduced envelope: row events and xid ends, blank names as null."""
-    is_row = F.col("type_code").isin(list(S.ROWS_CODES))
+    is_row = is_rows_event()
     is_end = F.col("type_code") == S.XID
 
     def filled(name: str) -> Column:

@@ -26,31 +26,35 @@ def select_events(
 ) -> DataFrame:
     """Keep codes in ``[start, stop)``, or exactly those in ``codes``."""
     if codes is not None:
-        return raw.filter(F.col("type_code").isin(list(codes)))
+        return raw.filter(code_in(codes))
     return raw.filter((F.col("type_code") >= start) & (F.col("type_code") < stop))
 
 
 def convertible_events(raw: DataFrame) -> DataFrame:
     """Events that yield an entry; all others only change context or are dropped."""
-    return raw.filter(F.col("type_code").isin(list(S.CONVERTIBLE_CODES)))
+    return raw.filter(code_in(S.CONVERTIBLE_CODES))
 
 
-def kind_of(code: Column) -> Column:
+def code_in(codes: tuple[int, ...] | list[int]) -> Column:
+    """The event code is one of these."""
+    return F.expr(f"type_code IN ({', '.join(map(str, codes))})")
+
+
+def row_kind() -> Column:
+    """INSERT, UPDATE or DELETE; null for an event that changes no rows."""
     return (
-        F.when(code.isin(list(S.INSERT_CODES)), "INSERT")
-        .when(code.isin(list(S.UPDATE_CODES)), "UPDATE")
-        .when(code.isin(list(S.DELETE_CODES)), "DELETE")
+        F.when(code_in(S.INSERT_CODES), "INSERT").when(code_in(S.UPDATE_CODES), "UPDATE")
+        .when(code_in(S.DELETE_CODES), "DELETE")
     )
 
 
-def is_rows_event(code: Column | None = None) -> Column:
-    code = F.col("type_code") if code is None else code
-    return code.isin(list(S.ROWS_CODES))
+def is_rows_event() -> Column:
+    return code_in(S.ROWS_CODES)
 
 
 def row_event_kind(raw: DataFrame) -> DataFrame:
     """Row-change kind of each event; a code that is none of them gets an error."""
-    kind = kind_of(F.col("type_code"))
+    kind = row_kind()
     message = F.concat(F.lit("unsupported event type: "), F.col("type_code").cast("string"))
     return raw.withColumn("event_type", kind).withColumn(
         "kind_error", F.when(kind.isNull(), message)
@@ -151,7 +155,7 @@ def build_header(events: DataFrame) -> DataFrame:
         F.coalesce("db", F.lit("")).alias("schema_name"),
         F.coalesce("tbl", F.lit("")).alias("table_name"),
         cols["event_length"].alias("event_length"),
-        kind_of(F.col("type_code")).alias("event_type"),
+        row_kind().alias("event_type"),
     )
     return events.withColumn("header", header)
 
@@ -197,7 +201,7 @@ def statement_text() -> Column:
     code, name, text = F.col("type_code"), F.col("var_name"), F.col("var_text")
     assign = F.concat(F.lit("SET @"), name, F.lit(" := "))
     return (
-        F.when(code.isin(S.ROWS_QUERY, S.ANNOTATE_ROWS), F.col("query"))
+        F.when(code_in([S.ROWS_QUERY, S.ANNOTATE_ROWS]), F.col("query"))
         .when(code == S.INTVAR, F.concat(F.lit("SET INSERT_ID = "), F.col("num1").cast("string")))
         .when(code == S.RAND, F.concat(
             F.lit("SET SESSION rand_seed1 = "), F.col("num1").cast("string"),
@@ -211,7 +215,7 @@ def statement_text() -> Column:
 
 def statement_entries(events: DataFrame) -> DataFrame:
     """Rows-query, annotate, intvar, rand and user-var events as QUERY entries."""
-    found = events.filter(F.col("type_code").isin(list(S.STATEMENT_CODES)))
+    found = events.filter(code_in(S.STATEMENT_CODES))
     return _as_entries(
         found, db=F.lit(""), tbl=F.lit(""), is_ddl=F.lit(False), event_type=F.lit("QUERY"),
         entry_type=F.lit("ROWDATA"), sql=statement_text(),
@@ -222,7 +226,7 @@ def row_entries(resolved: DataFrame) -> DataFrame:
     """Resolved rows events as entries (their images travel in the cell table)."""
     return _as_entries(
         resolved.filter(F.col("table_error").isNull()),
-        db=F.col("db"), tbl=F.col("tbl"), event_type=kind_of(F.col("type_code")),
+        db=F.col("db"), tbl=F.col("tbl"), event_type=row_kind(),
         entry_type=F.lit("ROWDATA"), is_ddl=F.lit(False),
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog import schemas as S
 from tidelog.operators.checkpoints import file_number
+from tidelog.operators.context import code_in
 
 BYTES_PER_MB = 1024 * 1024
 WINDOW = "60 seconds"
@@ -46,7 +47,7 @@ def fetch_metrics(events: DataFrame, master: DataFrame) -> DataFrame:
     ``events`` carry ``logfile``; events that give no entry only move the position.
     """
     # An unresolved rows event stops the log rather than counting, so callers drop it.
-    counted = F.col("type_code").isin(list(S.CONVERTIBLE_CODES))
+    counted = code_in(S.CONVERTIBLE_CODES)
     at = F.max(F.struct("seq", "logfile", "log_pos")).alias("at")
     per_minute = events.groupBy("server_id", F.window("ts", WINDOW).alias("w")).agg(
         F.count_if(counted).alias("fetch_rows"),

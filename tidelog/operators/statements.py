@@ -57,8 +57,12 @@ def classify_statements(raw: DataFrame) -> DataFrame:
     return with_statement(raw.filter(is_statement())).select(*rest, "stmt.*")
 
 
+def _kind_in(kinds: list[str], prefix: str) -> Column:
+    return F.expr(f"{prefix}kind IN ({', '.join(map(repr, kinds))})")
+
+
 def is_ddl(prefix: str = "") -> Column:
-    return F.col(f"{prefix}kind").isin(X.DDL_KINDS)
+    return _kind_in(X.DDL_KINDS, prefix)
 
 
 def ddl_error(prefix: str = "") -> Column:
@@ -95,7 +99,7 @@ def match_ddl_tables(classified: DataFrame, patterns: str | None) -> DataFrame:
 
 
 def class_passes(no_ddl: bool, no_dml: bool, no_dcl: bool, prefix: str = "") -> Column:
-    ddl, dml = is_ddl(prefix), F.col(f"{prefix}kind").isin(X.DML_KINDS)
+    ddl, dml = is_ddl(prefix), _kind_in(X.DML_KINDS, prefix)
     dropped = F.lit(False)
     for switch, group in ((no_ddl, ddl), (no_dml, dml), (no_dcl, ~ddl & ~dml)):
         dropped = dropped | group if switch else dropped

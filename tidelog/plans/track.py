@@ -32,10 +32,13 @@ def all_entries(
     One projection over one pass of the log: no union of per-kind branches that
     would each attach context again.
     """
-    events = T.with_statement(C.convertible_events(C.resolved_events(raw, width)))
+    events = C.convertible_events(C.resolved_events(raw, width))
+    if no_ddl and no_dml and no_dcl:  # no statement can pass, so none is parsed
+        events = events.filter(~T.is_statement())
+    events = T.with_statement(events)
     row, begin, stmt = C.is_rows_event(), C.is_begin(), F.col("stmt").isNotNull()
     end = (F.col("type_code") == S.XID) | C.is_commit()
-    text = F.col("type_code").isin(list(S.STATEMENT_CODES))
+    text = C.code_in(S.STATEMENT_CODES)
     row_passes = F.col("table_error").isNull()
     if len(allow):
         row_passes = row_passes & D.full_name().isin(list(allow))
@@ -55,7 +58,7 @@ def all_entries(
         **header,
         "db": by_kind(F.col("db"), F.col("stmt.db")),
         "tbl": by_kind(F.col("tbl"), F.col("stmt.tbl")),
-        "event_type": F.when(row, C.kind_of(F.col("type_code")))
+        "event_type": F.when(row, C.row_kind())
                        .when(stmt & T.is_ddl("stmt."), F.col("stmt.kind"))
                        .when(stmt | text, F.lit("QUERY")),
         "entry_type": F.when(begin, "TRANSACTIONBEGIN").when(end, "TRANSACTIONEND")
@@ -92,16 +95,20 @@ def kept_entries(
     raw: DataFrame, allow: Sequence[str], *, markers: str = "drop",
     batch0: int | Column = 0, in0: int | Column = 0, width: int = DEFAULT_WIDTH, **classes,
 ) -> DataFrame:
-    """Entries that pass the second filter, numbered."""
-    kept = passing_entries(raw, allow, markers=markers, width=width, **classes)
-    return Q.assign_batch_ids(kept, batch0, in0, width)
+    """Entries that pass the second filter, numbered.
+
+    Numbering reads its input twice (totals, then rows), so the narrow entries are
+    written once instead of attaching context twice.
+    """
+    passing = passing_entries(raw, allow, markers=markers, width=width, **classes)
+    return Q.assign_batch_ids(written(passing, "kept"), batch0, in0, width)
 
 
 def track_rows(raw: DataFrame, allow: Sequence[str], width: int = DEFAULT_WIDTH) -> DataFrame:
     """The minimum slice: one numbered line per kept rows event or commit."""
     entries = all_entries(raw, allow, no_ddl=True, no_dml=True, no_dcl=True, width=width)
     kept = entries.filter(F.col("entry_type") != "TRANSACTIONBEGIN")
-    return Q.assign_batch_ids(kept, width=width)
+    return Q.assign_batch_ids(written(kept, "kept"), width=width)
 
 
 def row_bodies(
@@ -120,7 +127,7 @@ def row_bodies(
     )
     rows = E.flag_updated_images(E.row_images(shaped))
     return rows.groupBy(*E.EVENT_KEY).agg(
-        F.array_sort(F.collect_list(F.struct("row_idx", "before", "after"))).alias("row_datas"))
+        F.sort_array(F.collect_list(F.struct("row_idx", "before", "after"))).alias("row_datas"))
 
 
 def track_changes(
@@ -150,9 +157,9 @@ def track_to_store(
     width: int = DEFAULT_WIDTH,
 ) -> tuple[DataFrame, DataFrame]:
     """Raw log to stored rows under dense keys, and the two-column checkpoint."""
-    kept = D.match_tables(all_entries(raw, width=width), patterns)
-    keyed = written(append_event_rows(kept, next_key, width=width), "keyed")
-    rows = keyed.join(row_bodies(keyed, cells, meta), E.EVENT_KEY, "left")
+    kept = written(D.match_tables(all_entries(raw, width=width), patterns), "kept")
+    keyed = append_event_rows(kept, next_key, width=width)
+    rows = keyed.join(row_bodies(kept, cells, meta), E.EVENT_KEY, "left")
     ends = keyed.filter(P.is_commit("end_event")).groupBy("server_id").agg(
         F.max(F.struct("row_key", "logfile", "logfile_offset", "event_length")).alias("e"))
     checkpoint = ends.select(
