@@ -190,7 +190,7 @@ from w join v on v.server_id = w.server_id and v.db = w.db and v.tbl = w.tbl
 def check_column_count(log: Log):
     widths = E.event_widths(log.owned)
     spans = E.version_widths(_versions(log), log.meta)
-    return E.check_column_count(widths, spans).select(
+    return E.check_column_count(widths, spans, WIDTH).select(
         "server_id", "seq", "db", "tbl", F.col("width").cast("bigint").alias("width"),
         F.col("meta_width").cast("bigint").alias("meta_width"), "check")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidelog import schemas as S
 from tidelog.functions import values as V
 from tidelog.operators.context import is_rows_event, row_kind
+from tidelog.operators.ordered import DEFAULT_WIDTH, latest
 
 EVENT_KEY = ["server_id", "seq"]
 ROW_KEY = ["server_id", "seq", "row_idx"]
@@ -79,18 +80,26 @@ def enrich_columns(cells: DataFrame, meta: DataFrame) -> DataFrame:
     return cells.join(described, ["db", "tbl", "ordinal"])
 
 
-def check_column_count(widths: DataFrame, versions: DataFrame) -> DataFrame:
+def check_column_count(
+    widths: DataFrame, versions: DataFrame, width: int = DEFAULT_WIDTH
+) -> DataFrame:
     """Event width against the metadata in force, then once against the next version.
 
     ``widths``: server_id, seq, db, tbl, width. ``versions``: one line per
     interval (server_id, db, tbl, valid_from, valid_to, meta_width, next_width).
+    Each event first finds where its interval begins, so it meets one version by
+    equality however many versions its table has had.
     """
-    seq = F.col("seq")
-    inside = (seq > F.coalesce("valid_from", F.lit(-(1 << 62)))) & (
-        seq <= F.coalesce("valid_to", F.lit((1 << 62)))
-    )
     by = ["server_id", "db", "tbl"]
-    placed = widths.join(versions, by).filter(inside)
+    begins = versions.filter(F.col("valid_from").isNotNull()).select(
+        *by, F.col("valid_from").alias("seq"), F.col("valid_from").alias("_begin"))
+    both = widths.unionByName(begins, allowMissingColumns=True)
+    placed = latest(both, by, "seq", {"_from": F.col("_begin")}, width=width).filter(
+        F.col("width").isNotNull()).drop("_begin")
+    start = F.lit(-(1 << 62))
+    known = versions.withColumn("_from", F.coalesce("valid_from", start))
+    joined = placed.withColumn("_from", F.coalesce("_from", start)).join(
+        known, [*by, "_from"]).drop("_from")
     fits = F.col("width") <= F.col("meta_width")
     reloaded = F.coalesce(F.col("width") <= F.col("next_width"), F.lit(False))
     message = F.concat(
@@ -98,7 +107,7 @@ def check_column_count(widths: DataFrame, versions: DataFrame) -> DataFrame:
         F.lit(","), F.col("width").cast("string"), F.lit(" vs "),
         F.coalesce("next_width", "meta_width").cast("string"),
     )
-    return placed.withColumns({
+    return joined.withColumns({
         "check": F.when(fits, "ok").when(reloaded, "reloaded").otherwise("error"),
         "error": F.when(~fits & ~reloaded, message),
     })

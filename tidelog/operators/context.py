@@ -65,7 +65,7 @@ def _rotated() -> Column:
     return F.when(F.col("type_code") == S.ROTATE, F.col("rotate_file"))
 
 
-def _closed() -> Column:
+def closing_seq() -> Column:
     """Order value of a rows event that ends its statement, and so closes all maps."""
     flags = F.coalesce(F.col("flags"), F.lit(0))
     ends = is_rows_event() & (flags.bitwiseAND(S.END_OF_STATEMENT_FLAG) != 0)
@@ -90,7 +90,7 @@ def resolve_table(raw: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:
     Adds ``db``/``tbl`` (in place of the map-only columns) and ``table_error``.
     """
     closed = latest(
-        raw, ["server_id"], "seq", {"_closed": _closed()}, exclusive=["_closed"], width=width
+        raw, ["server_id"], "seq", {"_closed": closing_seq()}, exclusive=["_closed"], width=width
     )
     rows = _resolve(closed.filter(_names_table()), raw, width)
     return rows.filter(is_rows_event())
@@ -99,7 +99,7 @@ def resolve_table(raw: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:
 def with_context(raw: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:
     """Log file on every event, found in the same pass as the closing rows events."""
     both = latest(
-        raw, ["server_id"], "seq", {"logfile": _rotated(), "_closed": _closed()},
+        raw, ["server_id"], "seq", {"logfile": _rotated(), "_closed": closing_seq()},
         exclusive=["_closed"], width=width,
     )
     return both.withColumn("logfile", _file_or_default())

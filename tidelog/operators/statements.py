@@ -9,6 +9,7 @@ from tidelog import schemas as S
 from tidelog.functions import text as X
 from tidelog.operators import context as C
 from tidelog.operators.ordered import DEFAULT_WIDTH, latest, positions
+from tidelog.sources.shared import written
 
 INVALIDATING_KINDS = ["ALTER", "ERASE", "RENAME"]
 
@@ -142,9 +143,11 @@ def validity_intervals(classified: DataFrame, width: int = DEFAULT_WIDTH) -> Dat
     """Per table, the seq intervals between statements that end its metadata.
 
     Interval 1 is open at the left; interval n+1 starts after the n-th statement.
+    The few statements concerned are written once, so the log is searched once.
     """
     good, _ = quarantine_ddl(classified)
-    ends = good.filter(F.col("kind").isin(INVALIDATING_KINDS)).select("server_id", "seq", "db", "tbl")
+    ends = written(good.filter(_kind_in(INVALIDATING_KINDS, "")).select(
+        "server_id", "seq", "db", "tbl"), "invalidations")
     by = ["server_id", "db", "tbl"]
     numbered = positions(ends, by, "seq", width=width).withColumn("_back", -F.col("seq"))
     following = latest(

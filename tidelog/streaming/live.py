@@ -59,9 +59,14 @@ def publish_at_least_once(
     at = F.struct("seq", "logfile", "logfile_offset") if position is None else position
 
     def send(batch: DataFrame, epoch: int) -> None:
-        sink(batch, epoch)
-        confirmed = batch.groupBy("server_id").agg(F.max(at).alias("p")).select("server_id", "p.*")
-        confirmed.write.mode("overwrite").parquet(_epoch_path(state_path, epoch))
+        batch.persist()  # read by the sink and by the position
+        try:
+            sink(batch, epoch)
+            confirmed = batch.groupBy("server_id").agg(F.max(at).alias("p"))
+            confirmed.select("server_id", "p.*").write.mode("overwrite").parquet(
+                _epoch_path(state_path, epoch))
+        finally:
+            batch.unpersist()
 
     return (
         stream.writeStream.foreachBatch(send).option("checkpointLocation", checkpoint_path)
@@ -93,7 +98,7 @@ def _carry(log: DataFrame, kept: DataFrame, before: DataFrame) -> DataFrame:
     is_map, is_rotate = F.col("type_code") == S.TABLE_MAP, F.col("type_code") == S.ROTATE
     seen = log.groupBy(by).agg(
         F.max(F.when(is_rotate, F.struct("seq", "rotate_file"))).alias("r"),
-        F.max(C._closed()).alias("closed"), F.min("seq").alias("first"),
+        F.max(C.closing_seq()).alias("closed"), F.min("seq").alias("first"),
     )
     ids = kept.groupBy(by).agg(
         F.max(F.struct("seq", "batch_id", "in_id", H.Q.ends_batch().alias("ends"))).alias("k"))
@@ -164,7 +169,11 @@ def track_changes_stream(
 ) -> StreamingQuery:
     """Live tracking with carried context. Micro-batches must follow log order."""
     def run(batch: DataFrame, epoch: int) -> None:
-        track_batch(batch, epoch, meta, allow, state_path, sink_path, **options)
+        batch.persist()  # read for entries, row images and the carried state
+        try:
+            track_batch(batch, epoch, meta, allow, state_path, sink_path, **options)
+        finally:
+            batch.unpersist()
 
     return (
         stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_path)
