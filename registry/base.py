@@ -11,6 +11,7 @@ from tidelog.operators import columns as E
 from tidelog.operators import context as C
 from tidelog.operators import statements as T
 from tidelog.plans import track as H
+from tidelog.session import tune
 from tidelog.sources import sample_log as L
 
 WIDTH = 50_000  # order values per range: two ranges at sf0.01, so carrying is exercised
@@ -106,9 +107,7 @@ def register(name: str, oracle: str | None = None):
     """Register a query given as a function of the log, with its SQL."""
     def add(build: Callable[[Log], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-                spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return build(Log(spark, folder))
+            return build(Log(tune(spark), folder))
 
         QUERIES[name] = run
         if oracle is not None:

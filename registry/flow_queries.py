@@ -9,7 +9,6 @@ from registry.column_queries import ROWS_JSON
 from registry.ctes import sql
 from tidelog import schemas as S
 from tidelog.operators import checkpoints as P
-from tidelog.operators import context as C
 from tidelog.operators import monitor as M
 from tidelog.operators import sequence as Q
 from tidelog.plans import track as H
@@ -462,9 +461,9 @@ def track_changes(log: Log):
 
 @register("track_changes_checkpoint", sql(_CHECKPOINT_CTE + "select * from ck", "entries", "numbered"))
 def track_changes_checkpoint(log: Log):
-    kept = H.kept_entries(log.raw, ALLOW, markers="keep", width=WIDTH)
-    commits = P.last_commit(C.transaction_markers(C.attach_logfile(log.raw, WIDTH)))
-    return P.make_checkpoint(commits, kept)
+    _, checkpoint = H.track_changes(
+        log.raw, log.cells, log.meta_now, ALLOW, max_bytes=TRACK_BYTES, max_rows=MAX_ROWS, width=WIDTH)
+    return checkpoint
 
 
 @register("track_changes_listed_only", sql("""

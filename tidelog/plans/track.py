@@ -73,16 +73,12 @@ def all_entries(
     ])
 
 
-def passing_entries(
-    raw: DataFrame, allow: Sequence[str], *, markers: str = "drop", width: int = DEFAULT_WIDTH,
-    **classes,
-) -> DataFrame:
-    """Entries that pass the second filter.
+def second_filter(entries: DataFrame, allow: Sequence[str], markers: str = "drop") -> DataFrame:
+    """The filter on entries.
 
     ``markers='drop'``: markers go too, so batches advance on listed DDL only.
     ``markers='keep'``: markers stay and batches advance on every commit.
     """
-    entries = all_entries(raw, allow, width=width, **classes)
     if markers == "drop":
         return D.allow_entries_strict(entries, allow)
     if not len(allow):
@@ -100,8 +96,9 @@ def kept_entries(
     Numbering reads its input twice (totals, then rows), so the narrow entries are
     written once instead of attaching context twice.
     """
-    passing = passing_entries(raw, allow, markers=markers, width=width, **classes)
-    return Q.assign_batch_ids(written(passing, "kept"), batch0, in0, width)
+    entries = all_entries(raw, allow, width=width, **classes)
+    kept = written(second_filter(entries, allow, markers), "kept")
+    return Q.assign_batch_ids(kept, batch0, in0, width)
 
 
 def track_rows(raw: DataFrame, allow: Sequence[str], width: int = DEFAULT_WIDTH) -> DataFrame:
@@ -137,19 +134,19 @@ def track_changes(
 ) -> tuple[DataFrame, DataFrame]:
     """Raw log to numbered, packed messages, and the checkpoint to confirm after them.
 
-    Kept entries and finished message values are each written once: both have
-    several readers, and context must not be attached again for each of them.
+    Entries and finished message values are each written once: both have several
+    readers, and context must not be attached again for each of them.
     """
-    entries = written(passing_entries(raw, allow, markers=markers, width=width), "kept")
-    kept = Q.assign_batch_ids(entries, batch0, in0, width)
-    full = kept.join(row_bodies(entries, cells, meta), E.EVENT_KEY, "left")
+    entries = written(all_entries(raw, allow, width=width), "entries")
+    passing = second_filter(entries, allow, markers)
+    kept = Q.assign_batch_ids(passing, batch0, in0, width)
+    full = kept.join(row_bodies(passing, cells, meta), E.EVENT_KEY, "left")
     value_columns = [*ENTRY_FIELDS, "batch_id", "in_id", "row_datas"]
     out = written(publish_changes(
         full, topic, value_columns, keep=("server_id", "seq", "batch_id", "in_id")), "values")
     messages = Q.pack_messages(out, F.octet_length("value"), max_bytes, max_rows, width=width)
-    # The position comes from commits before any filter; these need the file only.
-    commits = P.last_commit(C.transaction_markers(C.attach_logfile(raw, width)))
-    return messages, P.make_checkpoint(commits, kept)
+    # The position comes from the last commit before the second filter.
+    return messages, P.make_checkpoint(P.last_commit(entries), kept)
 
 
 def track_to_store(

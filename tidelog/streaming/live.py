@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog import schemas as S
+from tidelog.operators import checkpoints as P
 from tidelog.operators import columns as E
 from tidelog.operators import context as C
 from tidelog.operators.ordered import DEFAULT_WIDTH
@@ -88,7 +89,9 @@ def cells_of(events: DataFrame) -> DataFrame:
     return events.select("server_id", "seq", F.inline("images"))
 
 
-def _carry(log: DataFrame, kept: DataFrame, before: DataFrame) -> DataFrame:
+def _carry(
+    log: DataFrame, entries: DataFrame, kept: DataFrame, before: DataFrame
+) -> DataFrame:
     """State after a batch: per server its current file and ids, and its open maps.
 
     The rows are themselves log events (a rotate and table maps), so the next batch
@@ -102,9 +105,8 @@ def _carry(log: DataFrame, kept: DataFrame, before: DataFrame) -> DataFrame:
     )
     ids = kept.groupBy(by).agg(
         F.max(F.struct("seq", "batch_id", "in_id", H.Q.ends_batch().alias("ends"))).alias("k"))
-    commits = C.transaction_markers(C.attach_logfile(log)).filter(
-        F.col("entry_type") == "TRANSACTIONEND").groupBy(by).agg(F.max(F.struct(
-            "seq", "logfile", (F.col("logfile_offset") + F.col("event_length")).alias("pos"))).alias("c"))
+    end_pos = (F.col("logfile_offset") + F.col("event_length")).alias("pos")
+    commits = P.last_commit(entries).select(by, F.struct("seq", "logfile", end_pos).alias("c"))
     old = before.filter(is_rotate).select(
         by, F.col("next_batch_id").alias("b0"), F.col("next_in_id").alias("i0"),
         F.col("commit_file").alias("f0"), F.col("commit_pos").alias("p0"))
@@ -146,21 +148,21 @@ def track_batch(
         before = spark.read.schema(STATE).parquet(_epoch_path(state_path, epoch - 1))
     raw_columns = [f.name for f in S.RAW_EVENT.fields]
     log = before.select(*raw_columns).unionByName(batch.select(*raw_columns))
-    entries = H.written(
-        H.passing_entries(log, allow, markers=markers, width=width), "live")
+    entries = H.written(H.all_entries(log, allow, width=width), "live")
+    passing = H.second_filter(entries, allow, markers)
     ids = before.filter(F.col("type_code") == S.ROTATE).select(
         "server_id", F.col("next_batch_id").alias("_b0"), F.col("next_in_id").alias("_i0"))
     zero = F.lit(0).cast("bigint")
     kept = H.Q.assign_batch_ids(
-        entries.join(ids, "server_id", "left"),
+        passing.join(ids, "server_id", "left"),
         F.coalesce("_b0", zero), F.coalesce("_i0", zero), width,
     ).drop("_b0", "_i0")
-    full = kept.join(H.row_bodies(entries, cells_of(batch), meta), E.EVENT_KEY, "left")
+    full = kept.join(H.row_bodies(passing, cells_of(batch), meta), E.EVENT_KEY, "left")
     columns = [*H.ENTRY_FIELDS, "batch_id", "in_id", "row_datas"]
     messages = publish_changes(
         full, topic, columns, keep=("server_id", "seq", "batch_id", "in_id"))
     messages.write.mode("overwrite").parquet(_epoch_path(sink_path, epoch))
-    _carry(log, kept, before).write.mode("overwrite").parquet(_epoch_path(state_path, epoch))
+    _carry(log, entries, kept, before).write.mode("overwrite").parquet(_epoch_path(state_path, epoch))
 
 
 def track_changes_stream(
