@@ -165,12 +165,18 @@ def render_cells(cells: DataFrame, charset: str = "UTF-8") -> DataFrame:
 
 
 def flag_updated(cells: DataFrame) -> DataFrame:
-    """After cells that differ, null-safely, from the before cell at their index."""
-    pair = Window.partitionBy(*CELL_KEY)
-    is_before = F.col("image") == "B"
-    old = F.max(F.when(is_before, F.col("value"))).over(pair)
-    has_old = F.max(is_before).over(pair)
-    return cells.withColumn("updated", ~is_before & has_old & ~F.col("value").eqNullSafe(old))
+    """After cells that differ, null-safely, from the before cell at their index.
+
+    In a row ordered by index with the before image first, an after cell's
+    counterpart is the cell just ahead of it.
+    """
+    in_row = Window.partitionBy(*ROW_KEY).orderBy("ordinal", F.col("image").desc())
+    ahead = F.lag(F.struct("image", "ordinal", "value")).over(in_row)
+    old = F.col("_ahead")
+    has_old = (old["image"] == "B") & (old["ordinal"] == F.col("ordinal"))
+    changed = (F.col("image") == "A") & has_old & ~F.col("value").eqNullSafe(old["value"])
+    return cells.withColumn("_ahead", ahead).withColumn(
+        "updated", F.coalesce(changed, F.lit(False))).drop("_ahead")
 
 
 def effective_image(cells: DataFrame) -> DataFrame:
