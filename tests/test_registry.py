@@ -8,6 +8,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 import __spark_entry__ as entry
+from registry import ORACLE, QUERIES
 from tools.check import TABLES, rows_of
 
 FOLDER = "/root/testdata/sf0.001"
@@ -23,18 +24,18 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    df = entry.queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     got = rows_of(df.columns, df.collect())
-    res = con.execute(entry.oracle_sql()[name])
+    res = con.execute(ORACLE[name])
     columns = [d[0] for d in res.description]
     assert sorted(columns) == sorted(df.columns)
     assert got == rows_of(columns, res.fetchall())
