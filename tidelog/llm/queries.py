@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import exact_dedup, packing, sharding
+from tidelog.llm import decontamination, exact_dedup, license_scan, packing, sharding, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -25,6 +25,11 @@ def register(name: str, oracle: str | None = None):
     return add
 
 
+@register("op2_url_filter", url_filter.ORACLE)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, folder, "pages"))
+
+
 @register("op3_exact_dedup", exact_dedup.ORACLE)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"))
@@ -36,6 +41,17 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), sharding.shard_names(sharding.SHARDS), sharding.SLOTS)
 
 
+@register("op7_decontamination", decontamination.ORACLE)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.decontaminate(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@register("op8_license_scan", license_scan.ORACLE)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, folder, "documents"))
+
+
 @register("op9_packing")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
