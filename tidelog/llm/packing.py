@@ -7,7 +7,6 @@ sequences of exactly that length, so no sequence holds two documents and nothing
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -19,51 +18,89 @@ from pyspark.sql import functions as F
 LIMIT = 2048
 #: Closes every document.
 END = 1
-#: Distinct blank-separated pieces whose ids a worker keeps.
-CACHE = 400_000
+#: Distinct pieces of text whose ids a worker keeps; it starts anew beyond.
+CACHE = 800_000
+#: Characters of the texts whose new pieces are encoded together.
+GROUP_CHARS = 2_000_000
 SPECIAL = "<|endoftext|>"
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
-_ODD = re.compile(r" (?:\s|$)")
 
 
 class Ids:
     """Token ids of texts, as the tokenizer gives them for the whole text.
 
-    The vocabulary's pre-tokens never span the place before a single blank that a non-blank
-    follows, so such texts are cut there and each distinct piece is encoded once. A text with
-    runs of blanks or the special token's string is encoded whole.
+    The vocabulary's pre-tokens end at a line end between two non-blanks, and before a single
+    blank between two; a letter and a comma or full stop after it are two. Texts are cut
+    there and each distinct piece is encoded once. A text with other runs of white space or the
+    special token's string is encoded whole.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.known) + len(pieces) > CACHE:
-            self.known.clear()
-        for piece, got in zip(pieces, self.tokenizer.encode_batch_fast(
-                pieces, add_special_tokens=False)):
-            self.known[piece] = np.array(got.ids, "<u4").tobytes()
+        #: None marks pieces that show the text has other white space.
+        self.known: dict[str, bytes | None] = {}
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _learn(self, pieces: set[str]) -> None:
+        known = self.known
+        marked = [p for p in pieces if p[-1:] in (",", ".") and p[-2:-1].isalpha()]
+        need = list(({p for p in pieces if p not in known} - set(marked))
+                    | {p[:-1] for p in marked if p[:-1] not in known} | {",", "."})
+        for piece, got in zip(need, self.tokenizer.encode_batch_fast(
+                need, add_special_tokens=False)):
+            plain = piece == "\n" or piece and not (
+                piece[0].isspace() and piece[0] != " " or piece[-1].isspace()
+                or piece[1:2].isspace())
+            known[piece] = np.array(got.ids, "<u4").tobytes() if plain else None
+        for piece in marked:
+            known[piece] = known[piece[:-1]] and known[piece[:-1]] + known[piece[-1]]
+
+    def _cut(self, text: str) -> list[str] | None:
+        """The pieces of a text; None if it is to be encoded whole."""
+        if SPECIAL in text or "\0" in text:
+            return None
+        # Every piece but a line's first one begins with its blank.
+        return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
+        group: list[tuple[str, list[str] | None]] = []
+        size = 0
         for text in texts:
-            if SPECIAL in text or _ODD.search(text):
-                yield np.array(self.tokenizer.encode(
-                    text, add_special_tokens=False).ids, "<u4").tobytes()
-                continue
-            cut = text.split(" ")
-            cut[1:] = [" " + x for x in cut[1:]]
-            new = list({x for x in cut if x not in self.known})
-            if new:
-                self._learn(new)
-            yield b"".join([self.known[x] if x in self.known else self._one(x) for x in cut])
-
-    def _one(self, piece: str) -> bytes:
-        self._learn([piece])
-        return self.known[piece]
+            group.append((text, self._cut(text)))
+            size += len(text)
+            if size > GROUP_CHARS:
+                yield from self._join(group)
+                group, size = [], 0
+        yield from self._join(group)
+
+    def _join(self, group: list[tuple[str, list[str] | None]]) -> Iterator[bytes]:
+        pieces = set().union(*(cut for _, cut in group if cut))
+        if len(self.known) > CACHE:
+            self.known.clear()
+        new = pieces.difference(self.known)
+        if new:
+            self._learn(new)
+        get = self.known.__getitem__
+        for text, cut in group:
+            try:
+                yield self._whole(text) if cut is None else b"".join(map(get, cut))
+            except TypeError:  # a None among them
+                yield self._whole(text)
+
+
+_IDS: dict[str, Ids] = {}
+
+
+def ids_of(path: str) -> Ids:
+    """One per worker: later tasks find the vocabulary read and common pieces known."""
+    if path not in _IDS:
+        _IDS[path] = Ids(path)
+    return _IDS[path]
 
 
 def lengths(n: int, limit: int) -> list[int]:
@@ -78,7 +115,7 @@ def _pieces(path: str, limit: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        ids = Ids(path)
+        ids = ids_of(path)
         schema = pa.schema([(c, pa.int64()) for c in
                             ("doc_id", "start", "length", "ids_crc32", "doc_tokens")])
         end = np.array([END], "<u4").tobytes()
