@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import decontamination, exact_dedup, license_scan, packing, sharding, url_filter
+from tidelog.llm import decontamination, exact_dedup, license_scan, packing, sharding, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -41,6 +41,12 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), sharding.shard_names(sharding.SHARDS), sharding.SLOTS)
 
 
+@register("op6_toxicity")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_toxicity(
+        table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @register("op7_decontamination", decontamination.ORACLE)
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.decontaminate(
