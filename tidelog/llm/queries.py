@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import decontamination, exact_dedup, license_scan, packing, sharding, toxicity, url_filter
+from tidelog.llm import decontamination, exact_dedup, license_scan, packing, pii, sharding, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -41,6 +41,11 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), sharding.shard_names(sharding.SHARDS), sharding.SLOTS)
 
 
+@register("op5_pii")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, folder, "documents"))
+
+
 @register("op6_toxicity")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(
