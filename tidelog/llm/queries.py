@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import decontamination, exact_dedup, license_scan, packing, pii, sharding, toxicity, url_filter
+from tidelog.llm import (
+    decontamination, exact_dedup, license_scan, packing, pii, sharding, substring_dedup, toxicity,
+    url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -25,6 +27,11 @@ def register(name: str, oracle: str | None = None):
     return add
 
 
+@register("op1_substring_dedup", substring_dedup.ORACLE)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, folder, "documents"))
+
+
 @register("op2_url_filter", url_filter.ORACLE)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, folder, "pages"))
