@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidelog.llm import (
-    decontamination, exact_dedup, license_scan, packing, pii, sharding, substring_dedup, toxicity,
-    url_filter)
+    decontamination, exact_dedup, jaccard_join, license_scan, packing, pii, sharding, substring_dedup,
+    toxicity, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -76,3 +76,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 
     return packing.pack(
         table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@register("op10_jaccard_join", jaccard_join.ORACLE)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.join_near(table(spark, folder, "documents"))
