@@ -46,3 +46,23 @@ def partitions_for(df: DataFrame, size: float, target: int) -> int:
     """Shuffle partitions so that each gets about ``target`` of ``size``, never fewer than set."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(least, math.ceil(size / target))
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose (doc_id, hash of the text) are in ``kept`` (doc, tag, many), with
+    their own columns only; of rows that ``many`` marks as repeated, one.
+
+    The pairs of ``kept`` are distinct, so no key is hot unless its rows are repeated, and those
+    are reduced before they are shuffled.
+    """
+    columns = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
+    rows = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_tag"),
+                       F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
+    kept = kept.select("doc", "tag", "many")
+    found = rows.join(kept.hint("shuffle_hash"), F.col("_doc").eqNullSafe(F.col("doc"))
+                      & (F.col("_tag") == F.col("tag")))
+    if not kept.filter("many").take(1):
+        return found.select(*columns)
+    once = found.filter("not many").select("_row")
+    more = found.filter("many").groupBy("_doc", "_tag").agg(F.first("_row").alias("_row"))
+    return once.unionByName(more.select("_row")).select(*columns)

@@ -68,14 +68,11 @@ def _shifts(size: int) -> Column:
     return F.filter(F.sequence(F.lit(0), F.least("back", "iback")), equal)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                  gram: int = GRAM) -> DataFrame:
-    """Contract of op7, one row per document: doc_id, n_words, n_hit, n_items, items_sha256,
-    contaminated.
+def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+                   gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
+    """doc_id, tag, n_words of every row, and doc_id, tag, hit, items of those with hits.
 
-    A null or empty text has no words and no windows. Items without an id mark words as hit but
-    are not named or counted; repeated rows get the same result each; an empty table on either
-    side gives no hits.
+    tag is the text's hash; hit counts words, items are the ids of items as strings.
     """
     tag = F.xxhash64("text").alias("tag")
     items = _worded(benchmark, ["item_id"]).filter(F.size("words") > 0)
@@ -95,6 +92,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     known = written(known, "bench_fingerprints")
     marks = known.select("h").distinct()
 
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     worded = _worded(docs, ["doc_id", tag])
     prints = F.flatten(F.array(*(_winnow(F.col(f"r{g}"), g, t) for g, t in kinds)))
     runs = worded.select("doc_id", "tag", F.size("words").cast("long").alias("n_words"),
@@ -129,10 +127,22 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         F.greatest(a["end"], x["s"] + x["t"]).alias("end"),
         (a["sum"] + F.greatest(F.lit(0), x["s"] + x["t"] - F.greatest(a["end"], x["s"])))
         .cast("long").alias("sum")))
-    found = found.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"),
-                         covered["sum"].alias("hit"), "items")
+    return prints.select("doc_id", "tag", "n_words"), found.select(
+        "doc_id", "tag", covered["sum"].alias("hit"), "items")
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Contract of op7, one row per document: doc_id, n_words, n_hit, n_items, items_sha256,
+    contaminated.
+
+    A null or empty text has no words and no windows. Items without an id mark words as hit but
+    are not named or counted; repeated rows get the same result each; an empty table on either
+    side gives no hits.
+    """
+    rows, found = benchmark_hits(docs, benchmark)
+    found = found.withColumnsRenamed({"doc_id": "_id", "tag": "_tag"})
     none = F.array().cast("array<string>")
-    return prints.select("doc_id", "tag", "n_words").join(
+    return rows.join(
         found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tag") == F.col("_tag")),
         "left").select(
         "doc_id", "n_words", F.coalesce("hit", F.lit(0).cast("long")).alias("n_hit"),
@@ -141,6 +151,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         .alias("items_sha256"), F.coalesce(F.col("hit") > 0, F.lit(False)).alias("contaminated"))
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without a hit, with all their columns."""
+    _, found = benchmark_hits(docs, benchmark)
+    found = written(found.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")),
+                    "contaminated")
+    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["_id"]) & (
+        F.xxhash64(docs["text"]) == found["_tag"]), "left_anti")
+
+
 def _words_sql(source: str) -> str:
     return (f"regexp_extract_all(translate(coalesce({source}, ''), '{UPPER}', '{LOWER}'), "
             r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")

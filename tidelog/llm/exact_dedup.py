@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import BLANKS, join_groups
+from tidelog.llm.common import BLANKS, join_groups, keep_rows
 from tidelog.sources.shared import written
 
 #: Digests a bucket of the index holds on average.
@@ -28,13 +28,14 @@ GROUPS = f"digest binary, {_BEST}"
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, n (code points of the text), digest: SHA-256 of the text without ASCII blanks.
+    """doc_id, tag (hash of the text), n (its code points), digest: SHA-256 without ASCII blanks.
 
     A null text counts as empty.
     """
     text = F.coalesce("text", F.lit(""))
     return docs.select(
-        "doc_id", F.length(text).cast("long").alias("n"),
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tag"),
+        F.length(text).cast("long").alias("n"),
         F.unhex(F.sha2(F.translate(text, BLANKS, "").cast("binary"), 256)).alias("digest"))
 
 
@@ -182,20 +183,34 @@ def exact_duplicates(rows: DataFrame, earlier) -> DataFrame:
         "kept", F.col("row") == F.col("keep_row"))
 
 
+def _judged(docs: DataFrame) -> DataFrame:
+    """Every row's digest and verdict. Half of the documents, by a checksum of the id, are taken
+    as history."""
+    rows = digests(docs).withColumn("row", F.monotonically_increasing_id())
+    rows = written(rows, "exact_digests")
+    earlier = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 2 == 0
+    return exact_duplicates(rows, earlier)
+
+
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """Contract of op3, one row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
-    Half of the documents, by a checksum of their text's digest and id, are taken as history.
     Null and empty texts are one group; a null doc_id sorts last; of repeated rows one is kept.
     An empty table gives an empty result.
     """
-    rows = digests(docs).withColumn("row", F.monotonically_increasing_id())
-    rows = written(rows, "exact_digests")
-    earlier = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 2 == 0
-    return exact_duplicates(rows, earlier).select(
+    return _judged(docs).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that exact_dedup keeps, with all their columns."""
+    judged = written(_judged(docs), "exact_judged")
+    many = judged.groupBy("doc_id", "tag").agg(
+        F.max("kept").alias("kept"), (F.count("*") > 1).alias("many"))
+    return keep_rows(docs, written(many.filter("kept").select(
+        F.col("doc_id").alias("doc"), "tag", "many"), "exact_kept"))
+
+
 ORACLE = r"""
 with d as (select doc_id, length(coalesce(text, '')) as n,
   sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) as h from documents),

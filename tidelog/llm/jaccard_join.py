@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import join_groups, partitions_for
+from tidelog.llm.common import join_groups, keep_rows, partitions_for
 from tidelog.llm.hashing import mix, run_hashes
 from tidelog.llm.substring_dedup import Words, _chunks
 from tidelog.sources.shared import written
@@ -319,9 +319,9 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT,
                     small: int = SMALL, block: int = BLOCK) -> DataFrame:
-    """doc, tag, n, cls, component_id for every row of ``docs`` (doc_id, text).
+    """doc, tag, n, cls, root, component_id for every row of ``docs`` (doc_id, text).
 
-    tag is the text's hash, cls names the set of shingles. Prefix groups of up to ``small`` are
+    tag is the text's hash, cls names the set of shingles, root the component of sets. Prefix groups of up to ``small`` are
     compared all with all; ``block`` members of a larger one meet in a task.
     """
     spark = docs.sparkSession
@@ -408,7 +408,7 @@ def near_duplicates(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT,
     lowest = sized.groupBy("root").agg(F.min("least").alias("component_id"),
                                        F.count("*").alias("classes"))
     named = join_groups(sized, written(lowest, "near_lowest"), ["root"], "classes", total)
-    named = written(named.select("cls", "copies", "component_id"), "near_named")
+    named = written(named.select("cls", "copies", "root", "component_id"), "near_named")
     return join_groups(described, named, ["cls"], "copies", total).withColumn(
         "component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc")))
 
@@ -425,6 +425,21 @@ def join_near(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, small:
         F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
 
 
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row of every component, the one with the smallest doc_id, with all its columns; all
+    rows without shingles."""
+    found = written(near_duplicates(docs).select("doc", "tag", "n", "root"), "near_found")
+    order = F.struct(F.col("doc").isNull().alias("none"), "doc", "tag")
+    best = found.filter("n > 0").groupBy("root").agg(F.min(order).alias("best")).select(
+        F.col("best.doc").alias("doc"), F.col("best.tag").alias("tag"))
+    copies = found.filter("n > 0").groupBy("doc", "tag").agg((F.count("*") > 1).alias("many"))
+    copies = copies.withColumnsRenamed({"doc": "_doc", "tag": "_tag"})
+    best = best.join(copies, F.col("doc").eqNullSafe(F.col("_doc")) & (
+        F.col("tag") == F.col("_tag"))).select("doc", "tag", "many")
+    blank = found.filter("n = 0").select("doc", "tag", F.lit(False).alias("many")).distinct()
+    return keep_rows(docs, written(best.unionByName(blank), "near_kept"))
+
+
 ORACLE = rf"""
 with recursive d as (select row_number() over () as r, doc_id, regexp_extract_all(
   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tidelog.llm import (
     decontamination, exact_dedup, jaccard_join, license_scan, packing, pii, sharding, substring_dedup,
     toxicity, url_filter)
@@ -81,3 +82,6 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @register("op10_jaccard_join", jaccard_join.ORACLE)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.join_near(table(spark, folder, "documents"))
+
+
+register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -311,3 +311,17 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.mapInArrow(_map(model.scores, "score", pa.float64()),
                            "doc_id bigint, held_out boolean, score double").select(
         "doc_id", "held_out", "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose score is below CUT, with all their columns."""
+    model = fit(docs, labels)
+    text = docs.columns.index("text")
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [x or "" for x in batch.column(text).to_pylist()]
+            keep = [model.scores(texts[k:k + 512]) < CUT for k in range(0, len(texts), 512)]
+            yield batch.filter(pa.array(np.concatenate(keep) if keep else [], pa.bool_()))
+
+    return docs.mapInArrow(over, docs.schema)
