@@ -7,7 +7,9 @@ sequences of exactly that length, so no sequence holds two documents and nothing
 
 from __future__ import annotations
 
+import json
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,13 +21,36 @@ LIMIT = 2048
 #: Closes every document.
 END = 1
 #: Distinct pieces of text whose ids a worker keeps; it starts anew beyond.
-CACHE = 800_000
+CACHE = 1_500_000
 #: Characters of the texts whose new pieces are encoded together.
 GROUP_CHARS = 2_000_000
 SPECIAL = "<|endoftext|>"
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
+def _letter_encoder(path: str):
+    """A faster encoder of single pre-tokens of letters, built from the vocabulary in ``path``.
+
+    It merges the pair with the lowest id, so it serves only where merges are numbered in their
+    order of rank; else None, and the tokenizer encodes all pieces.
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    vocab = model["vocab"]
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(plain)]
+    byte = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    if any(vocab[a + b] != 256 + k for k, (a, b) in enumerate(merges)):
+        return None
+    tokens = {t: i for t, i in vocab.items() if i < 256 + len(merges)}
+    ranks = {bytes(byte[c] for c in t): i for t, i in tokens.items()}
+    return tiktoken.Encoding("letters", pat_str=r" ?\p{L}+|[^\p{L}]+", mergeable_ranks=ranks,
+                             special_tokens={})
+
+
 class Ids:
     """Token ids of texts, as the tokenizer gives them for the whole text.
 
@@ -39,6 +64,7 @@ class Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.letters = _letter_encoder(path)
         #: None marks pieces that show the text has other white space.
         self.known: dict[str, bytes | None] = {}
 
@@ -50,12 +76,20 @@ class Ids:
         marked = [p for p in pieces if p[-1:] in (",", ".") and p[-2:-1].isalpha()]
         need = list(({p for p in pieces if p not in known} - set(marked))
                     | {p[:-1] for p in marked if p[:-1] not in known} | {",", "."})
+        if self.letters is not None:
+            rest = []
+            for piece in need:
+                if piece.isalpha() or piece[:1] == " " and piece[1:].isalpha():
+                    known[piece] = array("I", self.letters.encode_ordinary(piece)).tobytes()
+                else:
+                    rest.append(piece)
+            need = rest
         for piece, got in zip(need, self.tokenizer.encode_batch_fast(
                 need, add_special_tokens=False)):
             plain = piece == "\n" or piece and not (
                 piece[0].isspace() and piece[0] != " " or piece[-1].isspace()
                 or piece[1:2].isspace())
-            known[piece] = np.array(got.ids, "<u4").tobytes() if plain else None
+            known[piece] = array("I", got.ids).tobytes() if plain else None
         for piece in marked:
             known[piece] = known[piece[:-1]] and known[piece[:-1]] + known[piece[-1]]
 
