@@ -32,7 +32,7 @@ GRAM = 3
 #: Counters of the count of minimisers.
 COUNTERS = 1 << 16
 #: Bytes of text handled together in a task, and of packed strings in a bucket.
-CHUNK, BUCKET = 8 << 20, 12 << 20
+CHUNK, BUCKET = 4 << 20, 6 << 20
 #: Stands for a null doc_id, which is larger than all others.
 LAST = np.iinfo(np.int64).max
 
