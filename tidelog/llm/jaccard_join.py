@@ -195,8 +195,13 @@ def _candidates(percent: int, small: int):
             left.append(i[keep])
             right.append(i[keep] + step)
         members = np.flatnonzero(big[group])
-        for k in range(PIVOTS):
-            pivot = head[group[members]] + (size[group[members]] * (2 * k + 1)) // (2 * PIVOTS)
+        own = group[members]
+        for k in range(PIVOTS if len(members) else 0):
+            # The least by a hash of the class: groups that share members share pivots too.
+            rank = mix(high[members] + np.uint64(k + 1) * _SALT)
+            order = np.lexsort((rank, own))
+            heads = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+            pivot = np.repeat(members[order[heads]], np.diff(np.append(heads, len(members))))
             keep = (pivot != members) & _close(n[members], n[pivot], rest[members], rest[pivot],
                                                percent)
             left.append(members[keep])
