@@ -12,7 +12,7 @@ from tidelog.operators import context as C
 from tidelog.operators import statements as T
 from tidelog.plans import track as H
 from tidelog.session import tune
-from tidelog.sources import sample_log as L
+from registry import sample_log as L
 
 WIDTH = 50_000  # order values per range: two ranges at sf0.01, so carrying is exercised
 ALLOW = L.ALLOW

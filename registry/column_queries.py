@@ -85,15 +85,17 @@ def render_cells(log: Log):
 
 @register("decode_text_blob", """
 select doc_id, case when doc_id % 3 = 0 then 2004 else 2005 end::bigint sql_type,
- case when doc_id % 3 = 0 then null else md5(text) end text_md5,
- case when doc_id % 3 = 0 then strlen(text) else length(text) end::bigint n_chars
+ case when doc_id % 3 = 0 then null else md5(text || chr(65533)) end text_md5,
+ case when doc_id % 3 = 0 then strlen(text) else length(text) end::bigint + 1 n_chars
 from documents""")
 def decode_text_blob(log: Log):
-    # Text types come back as text; a blob has one character per byte.
+    # Text types come back as text; a blob has one character per byte. Every value ends in a
+    # byte that is no UTF-8.
     i = F.col("doc_id") % 3
     kind = F.when(i == 0, "blob").when(i == 1, "text").otherwise("MEDIUMTEXT")
     docs = log.table("documents").withColumn(
-        "d", V.decode_bytes(F.encode("text", "UTF-8"), V.is_text_type(kind)))
+        "d", V.decode_bytes(
+            F.concat(F.encode("text", "UTF-8"), F.unhex(F.lit("FF"))), V.is_text_type(kind)))
     return docs.select(
         "doc_id", F.col("d.sql_type").cast("bigint").alias("sql_type"),
         F.when(i != 0, F.md5("d.value")).alias("text_md5"),

@@ -6,7 +6,7 @@ simple form of every rule (one window per server, no ranges, no carried totals).
 
 from __future__ import annotations
 
-from tidelog.sources.sample_log import META_COLUMNS, STATEMENTS, TABLES
+from registry.sample_log import META_COLUMNS, STATEMENTS, TABLES
 
 
 def _text(value: str) -> str:
@@ -190,9 +190,11 @@ select *, case ordinal
   when 4 then case when raw_str is null then -4 else 2005 end else 93 end sql_type
 from enriched"""),
     "flagged": (("rendered",), """
-select a.*, a.image = 'A' and b.seq is not null and a.value is distinct from b.value updated
-from rendered a left join rendered b on a.server_id = b.server_id and a.seq = b.seq
- and a.row_idx = b.row_idx and a.ordinal = b.ordinal and b.image = 'B'"""),
+select *, image = 'A' and bool_or(image = 'B') over w
+ and value is distinct from max(value) filter (where image = 'B') over w updated
+from rendered window w as (partition by server_id, seq, row_idx, ordinal)"""),
+    "listed_numbered": (("entries",), """
+select * from entries where db || '.' || tbl in ('shop.t_user', 'crm.t_click')"""),
     "invalidations": (("good_stmts",), """
 select server_id, db, tbl, seq, row_number() over w n, lead(seq) over w nxt from good_stmts
 where kind in ('ALTER', 'ERASE', 'RENAME') window w as (partition by server_id, db, tbl order by seq)"""),

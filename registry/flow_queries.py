@@ -231,27 +231,32 @@ def position_lag(log: Log):
 
 
 @register("fetch_metrics", sql(f"""
-, w as (select server_id, date_trunc('minute', ts) minute_start,
- count(*) filter (type_code not in (3, 4, 15, 19, 27, 33)) fetch_rows,
- coalesce(sum(event_len) filter (type_code not in (3, 4, 15, 19, 27, 33)), 0)::bigint fetch_size,
- arg_max(logfile, seq) lf, arg_max(log_pos, seq) pb from logfiles group by 1, 2)
+, e as (select server_id, date_trunc('minute', ts) minute_start, count(*) n, sum(event_length)::bigint b from entries
+ where type_code not in (23,24,25,30,31,32) or db || '.' || tbl in ('shop.t_user', 'crm.t_click') group by 1, 2),
+p as (select server_id, date_trunc('minute', ts) minute_start, arg_max(logfile, seq) lf, arg_max(log_pos, seq) pb
+ from logfiles group by 1, 2),
+w as (select p.*, coalesce(n, 0) fetch_rows, coalesce(b, 0) fetch_size from p left join e using (server_id, minute_start))
 select server_id, minute_start, fetch_rows, fetch_size, fetch_size / 1048576 fetch_mb, {_LAG_SQL} delay_num
 from (select w.*, cast(right(m.logfile, 6) as bigint) a, m.pos pa, cast(right(lf, 6) as bigint) b
- from w join master m using (server_id))""", "logfiles", "master"))
+ from w join master m using (server_id))""", "logfiles", "entries", "master"))
 def fetch_metrics(log: Log):
     events = log.events.withColumn("ts", F.col("ts").cast("timestamp"))
-    out = M.fetch_metrics(events, log.master)
+    out = M.fetch_metrics(events, H.all_entries(log.raw, ALLOW, width=WIDTH), log.master)
     return out.withColumn("minute_start", F.col("minute_start").cast("timestamp_ntz"))
 
 
 @register("send_metrics", sql(
-    _packed_sql("numbered", "event_length", "server_id, seq, entry_type, execute_time") + f"""
-select server_id, message_no, count(*) send_rows, sum(sz)::bigint send_size, 0::bigint send_time,
- {NOW_MS} - arg_max(execute_time, seq) filter (entry_type = 'TRANSACTIONEND') delay_time from packed group by 1, 2""",
-    "numbered"))
+    _packed_sql("listed_numbered", "event_length", "server_id, seq") + f"""
+select m.server_id, message_no, send_rows, send_size, 0::bigint send_time, {NOW_MS} - c.execute_time delay_time
+from (select server_id, message_no, count(*) send_rows, sum(sz)::bigint send_size, max(seq) seq from packed group by 1, 2) m
+asof left join (select server_id, seq, execute_time from entries where entry_type = 'TRANSACTIONEND') c
+ on m.server_id = c.server_id and m.seq >= c.seq""",
+    "listed_numbered", "entries"))
 def send_metrics(log: Log):
-    packed = Q.pack_messages(log.numbered, F.col("event_length"), MAX_BYTES, MAX_ROWS, width=WIDTH)
-    return M.send_metrics(packed, F.col("event_length"), F.lit(NOW_MS))
+    # Markers are dropped, so most messages hold no commit of their own.
+    listed = H.kept_entries(log.raw, ALLOW, markers="drop", width=WIDTH)
+    packed = Q.pack_messages(listed, F.col("event_length"), MAX_BYTES, MAX_ROWS, width=WIDTH)
+    return M.send_metrics(packed, log.entries, F.col("event_length"), F.lit(NOW_MS), width=WIDTH)
 
 
 @register("entry_delay", sql(
@@ -292,8 +297,8 @@ _MONITOR_SQL = """
  when 20003 then to_json({'EXCEPTION': 'e"x' || seq}) when 20004 then to_json({'IP': '10.0.0.1'}) else '{}' end content from k),
 l as (select *, case message_id when 20000 then to_json({'FETCH_ROWS': n, 'FETCH_SIZE': b})
  when 20001 then to_json({'SEND_ROWS': n, 'SEND_SIZE': b, 'SEND_TIME': 3, 'DELAY_TIME': seq}) else '{}' end content from k)
-select 'online' form, server_id, seq, cast(to_json({'id': message_id, 'jrdw_mark': 'job1', 'content': content::varchar}) as varchar) as value from c
-union all select 'legacy', server_id, seq, cast(to_json({'id': message_id, 'jrdw_mark': 'job1', 'content': content::varchar}) as varchar) from l""",
+select 'online' form, server_id, seq, cast(to_json({'id': message_id, 'mark': 'job1', 'content': content::varchar}) as varchar) as value from c
+union all select 'legacy', server_id, seq, cast(to_json({'id': message_id, 'mark': 'job1', 'content': content::varchar}) as varchar) from l""",
     "logfiles"))
 def monitor_messages(log: Log):
     metrics = _monitor(log)
@@ -453,7 +458,7 @@ TRACK_BYTES = 100_000
     """select server_id, seq, 'changes' topic, batch_id, in_id, message_no, md5(value) value_md5 from packed""",
     "numbered", "flagged"))
 def track_changes(log: Log):
-    messages, _ = H.track_changes(
+    messages, _, _ = H.track_changes(
         log.raw, log.cells, log.meta_now, ALLOW, max_bytes=TRACK_BYTES, max_rows=MAX_ROWS, width=WIDTH)
     return messages.select(
         "server_id", "seq", "topic", "batch_id", "in_id", "message_no", F.md5("value").alias("value_md5"))
@@ -461,11 +466,51 @@ def track_changes(log: Log):
 
 @register("track_changes_checkpoint", sql(_CHECKPOINT_CTE + "select * from ck", "entries", "numbered"))
 def track_changes_checkpoint(log: Log):
-    _, checkpoint = H.track_changes(
-        log.raw, log.cells, log.meta_now, ALLOW, max_bytes=TRACK_BYTES, max_rows=MAX_ROWS, width=WIDTH)
+    _, checkpoint, _ = H.track_changes(
+        log.raw, log.cells, log.meta_now, ALLOW, max_bytes=TRACK_BYTES, max_rows=MAX_ROWS, width=WIDTH,
+        skip_errors=True)
     return checkpoint
 
 
+# Metadata as it may be: none for one listed table, a column short for the other.
+_REJECTED_SQL = """
+, rej as (select server_id, seq, logfile, log_pos - event_len logfile_offset, table_error reason from resolved
+ where table_error is not null
+ union all select server_id, seq, logfile, log_pos - event_len, 'no table name found' from stmts where ddl and tbl is null
+ union all select server_id, seq, logfile, log_pos - event_len, 'no original table found' from stmts
+ where kind = 'RENAME' and tbl is not null and old_tbl is null
+ union all select server_id, seq, logfile, log_pos - event_len, case tbl when 't_click' then 'no metadata for table:crm.t_click'
+  else 'column size is not match for table:shop.t_user,6 vs 5' end from rows_ok
+ where db || '.' || tbl in ('shop.t_user', 'crm.t_click'))"""
+
+
+def _poor_meta(log: Log):
+    return log.meta_now.filter((F.col("tbl") != "t_click") & ~(
+        (F.col("tbl") == "t_user") & (F.col("ordinal") == 5)))
+
+
+@register("track_changes_rejected", sql(
+    _REJECTED_SQL + " select * from rej", "resolved", "stmts", "rows_ok"))
+def track_changes_rejected(log: Log):
+    return H.track_changes(log.raw, log.cells, _poor_meta(log), ALLOW, width=WIDTH)[2]
+
+
+@register("track_changes_held", sql("""
+, f as (select server_id, min(seq) first from (select server_id, seq from resolved where table_error is not null
+  union all select server_id, seq from stmts where ddl and tbl is null
+  union all select server_id, seq from stmts where kind = 'RENAME' and old_tbl is null) group by 1),
+e as (select e.* from entries e left join f using (server_id) where first is null or seq < first),
+n as (select n.* from numbered n left join f using (server_id) where first is null or seq < first),
+c as (select server_id, arg_max(logfile, seq) logfile, arg_max(logfile_offset + event_length, seq) pos
+ from e where entry_type = 'TRANSACTIONEND' group by 1),
+i as (select server_id, arg_max(case when is_end then batch_id + 1 else batch_id end, seq) batch_id,
+ arg_max(case when is_end then 0 else in_id + 1 end, seq) in_id from n group by 1)
+select server_id, logfile, pos, batch_id, in_id, logfile || ':' || pos || ':' || batch_id || ':' || in_id as value
+from c join i using (server_id)""", "resolved", "stmts", "entries", "numbered"))
+def track_changes_held(log: Log):
+    return H.track_changes(log.raw, log.cells, log.meta_now, ALLOW, width=WIDTH)[1]
+
+
 @register("track_changes_listed_only", sql("""
 , k as (select *, entry_type = 'TRANSACTIONEND' or is_ddl e from entries where db || '.' || tbl in ('shop.t_user', 'crm.t_click')),
 b as (select *, coalesce(sum(e::int) over (partition by server_id order by seq rows between unbounded preceding
@@ -521,7 +566,7 @@ select e.server_id, e.seq, e.event_type, 99 + row_number() over (partition by e.
  md5(cast(to_json(x.row_datas) as varchar)) body_md5
 from entries e left join nested x using (server_id, seq) where {_STORE_KEEP}""", "entries", "flagged"))
 def track_to_store(log: Log):
-    rows, _ = H.track_to_store(
+    rows, _, _ = H.track_to_store(
         log.raw, log.cells, log.meta_now, r"shop\..*,crm\.t_c.*", 100, WIDTH)
     body = F.md5(F.to_json("row_datas", {"ignoreNullFields": "false"}))
     return rows.select("server_id", "seq", "event_type", "row_key", body.alias("body_md5"))
@@ -532,11 +577,18 @@ def track_to_store(log: Log):
 select server_id, arg_max(logfile || ':' || (logfile_offset + event_length), row_key) binlog_xid,
  cast(max(row_key) + 1 as varchar) event_row_key from k where type_code = 2 group by 1""", "entries"))
 def track_to_store_checkpoint(log: Log):
-    _, ckpt = H.track_to_store(
-        log.raw, log.cells, log.meta_now, r"shop\..*,crm\.t_c.*", 100, WIDTH)
+    _, ckpt, _ = H.track_to_store(
+        log.raw, log.cells, log.meta_now, r"shop\..*,crm\.t_c.*", 100, WIDTH, skip_errors=True)
     return ckpt
 
 
+@register("track_to_store_rejected", sql(
+    _REJECTED_SQL + " select * from rej", "resolved", "stmts", "rows_ok"))
+def track_to_store_rejected(log: Log):
+    return H.track_to_store(
+        log.raw, log.cells, _poor_meta(log), r"shop\.t_user,crm\.t_click", 0, WIDTH)[2]
+
+
 @register("simple_track", sql("""
 select server_id, seq, row_idx, ordinal, event_type, execute_time, db || '.' || tbl dbtb,
  logfile || '#' || logfile_offset as position, name, value
@@ -544,4 +596,11 @@ from rendered r join (select server_id, seq, execute_time from hdr) h using (ser
 where image = case when event_type = 'DELETE' then 'B' else 'A' end and db || '.' || tbl in ('shop.t_user', 'crm.t_click')""",
     "rendered", "hdr"))
 def simple_track(log: Log):
-    return H.simple_track(log.raw, log.cells, log.meta_now, ALLOW, WIDTH)
+    return H.simple_track(log.raw, log.cells, log.meta_now, ALLOW, WIDTH)[0]
+
+
+@register("simple_track_rejected", sql("""
+select server_id, seq, logfile, log_pos - event_len logfile_offset, table_error reason from resolved
+where table_error is not null""", "resolved"))
+def simple_track_rejected(log: Log):
+    return H.simple_track(log.raw, log.cells, log.meta_now, ALLOW, WIDTH)[1]

@@ -47,10 +47,6 @@ META_COLUMNS = [
 ALLOW = ["shop.t_user", "crm.t_click"]
 
 
-def read_events(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/events.parquet")
-
-
 def _div(a: Column, b: int) -> Column:
     return F.call_function("div", a, F.lit(b).cast("bigint"))
 
@@ -84,7 +80,7 @@ def raw_log(events: DataFrame) -> DataFrame:
     file_no = _div(e, EVENTS_PER_FILE) + 1
     is6 = k == 6
     cols: dict[str, Column] = {
-        "server_id": server_of(e),
+        "server_id": server_of(e).cast("bigint"),
         "seq": e * 10 + k,
         "type_code": code,
         "event_len": length,
@@ -136,7 +132,7 @@ def cell_table(events: DataFrame) -> DataFrame:
     o, is_after, r = F.col("ordinal"), F.col("image") == "A", F.col("row_idx")
     stamp = F.date_format(F.col("ts"), "yyyyMMddHHmmss").cast("bigint")
     cols: dict[str, Column] = {
-        "server_id": server_of(e),
+        "server_id": server_of(e).cast("bigint"),
         "seq": e * 10 + 3,
         "row_idx": r, "image": F.col("image"), "ordinal": o,
         "mysql_type": _pick([8, 15, 246, 1, 252, 12], o),

@@ -124,7 +124,7 @@ def test_monitor_round_trip(spark):
                                "message_id int, fetch_rows bigint, fetch_size bigint, delay_num double")
     sent = [json.loads(r.value) for r in M.monitor_messages(df, "job").collect()]
     assert [json.loads(m["content"]) for m in sent] == [{"FETCH_ROWS": 2, "FETCH_SIZE": 30, "DELAY_NUM": 1.5}, {}, {}]
-    assert sent[0]["id"] == 20001 and sent[0]["jrdw_mark"] == "job"
+    assert sent[0]["id"] == 20001 and sent[0]["mark"] == "job"
     back = M.read_monitor_messages(M.monitor_messages(df, "job").select("value")).collect()
     assert (back[0].fetch_rows, back[0].delay_num, back[1].fetch_rows) == (2, 1.5, None)
 

@@ -205,9 +205,17 @@ def is_binary_type(column_type: Column) -> Column:
 
 
 def decode_bytes(raw_bin: Column, is_text: Column, charset: str = "UTF-8") -> Column:
-    """``struct(value, sql_type)``: text types by the job charset, all else byte for byte."""
+    """``struct(value, sql_type)``: text types by the job charset, all else byte for byte.
+
+    Malformed bytes become the replacement character and never stop the job. UTF-8 needs no
+    setting for that; other charsets rest on the two legacy settings in ``session.SETTINGS``.
+    """
+    if charset.upper().replace("_", "-") in ("UTF-8", "UTF8"):
+        text = F.make_valid_utf8(raw_bin.cast("string"))
+    else:
+        text = F.decode(raw_bin, charset)
     return F.struct(
-        F.when(is_text, F.decode(raw_bin, charset))
+        F.when(is_text, text)
         .otherwise(F.decode(raw_bin, "ISO-8859-1")).alias("value"),
         F.when(is_text, JDBC["CLOB"]).otherwise(JDBC["BLOB"]).alias("sql_type"),
     )

@@ -63,7 +63,7 @@ def attach_table(cells: DataFrame, resolved_rows: DataFrame) -> DataFrame:
 
 
 def enrich_columns(cells: DataFrame, meta: DataFrame) -> DataFrame:
-    """Name, key flag, declared type and unsigned flag by ordinal.
+    """Name, key flag, declared type and unsigned flag by ordinal; null without metadata.
 
     The metadata grows with the schema, not with the log: no hint is given, so
     Spark broadcasts it only below its size threshold and otherwise splits hot
@@ -77,7 +77,15 @@ def enrich_columns(cells: DataFrame, meta: DataFrame) -> DataFrame:
         V.is_text_type(F.col("column_type")).alias("is_text"),
         V.is_binary_type(F.col("column_type")).alias("is_binary"),
     )
-    return cells.join(described, ["db", "tbl", "ordinal"])
+    return cells.join(described, ["db", "tbl", "ordinal"], "left")
+
+
+def column_error(table: Column, width: Column, named: Column) -> Column:
+    """Why an event of ``width`` columns cannot be described by ``named`` ones, else null."""
+    return F.when(named == 0, F.concat(F.lit("no metadata for table:"), table)).when(
+        width > named, F.concat(
+            F.lit("column size is not match for table:"), table, F.lit(","),
+            width.cast("string"), F.lit(" vs "), named.cast("string")))
 
 
 def check_column_count(
@@ -196,16 +204,21 @@ def changed_or_key_columns(cells: DataFrame) -> DataFrame:
 def row_images(cells: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Cells of each row as ordered before and after arrays."""
     item = F.struct(*(columns or VALUE_COLUMNS))
+    more = [F.max("_table").alias("_table")] if "_table" in cells.columns else []
+    if more:  # also the row's width, and the columns of it that have a name
+        more += [(F.max("ordinal") + 1).alias("width"),
+                 F.count_distinct(F.when(F.col("name").isNotNull(), F.col("ordinal"))).alias("named")]
     return cells.groupBy(*ROW_KEY).agg(
+        *more,
         F.sort_array(F.collect_list(F.when(F.col("image") == "B", item))).alias("before"),
         F.sort_array(F.collect_list(F.when(F.col("image") == "A", item))).alias("after"),
     )
 
 
 def flag_updated_images(rows: DataFrame) -> DataFrame:
-    """``flag_updated`` on row images: each after cell against the before cell at its index."""
+    """``flag_updated`` on row images: each after cell against the before cell of its ordinal."""
     def flagged(cell: Column) -> Column:
-        old = F.get("before", cell["ordinal"])
+        old = F.get(F.filter("before", lambda b: b["ordinal"] == cell["ordinal"]), F.lit(0))
         changed = old.isNotNull() & ~cell["value"].eqNullSafe(old["value"])
         return cell.withField("updated", changed)
 

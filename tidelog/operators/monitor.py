@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog import schemas as S
 from tidelog.operators.checkpoints import file_number
-from tidelog.operators.context import code_in
+from tidelog.operators.ordered import DEFAULT_WIDTH, latest
 
 BYTES_PER_MB = 1024 * 1024
 WINDOW = "60 seconds"
@@ -15,7 +14,7 @@ WINDOW = "60 seconds"
 # --- Fixed values: message ids and field names of the monitoring envelope ----
 FETCH, SEND, EXCEPTION, ADDRESS = 20001, 20002, 20003, 20004
 LEGACY_FETCH, LEGACY_SEND = 20000, 20001
-ENVELOPE = "id int, jrdw_mark string, content string"
+MARK = "mark"
 CONTENT = (
     "FETCH_ROWS bigint, FETCH_SIZE bigint, DELAY_NUM double, SEND_ROWS bigint, "
     "SEND_SIZE bigint, SEND_TIME bigint, DELAY_TIME bigint, EXCEPTION string, IP string"
@@ -41,19 +40,20 @@ def position_lag(file_a: Column, pos_a: Column, file_b: Column, pos_b: Column) -
     )
 
 
-def fetch_metrics(events: DataFrame, master: DataFrame) -> DataFrame:
+def fetch_metrics(events: DataFrame, entries: DataFrame, master: DataFrame) -> DataFrame:
     """Per server and minute: entries converted, bytes, MB and lag behind the master.
 
-    ``events`` carry ``logfile``; events that give no entry only move the position.
+    ``events`` carry ``logfile`` and give the position. Counted are ``entries``: events of tables
+    not listed, statements switched off and rejected events give none.
     """
-    # An unresolved rows event stops the log rather than counting, so callers drop it.
-    counted = code_in(S.CONVERTIBLE_CODES)
     at = F.max(F.struct("seq", "logfile", "log_pos")).alias("at")
-    per_minute = events.groupBy("server_id", F.window("ts", WINDOW).alias("w")).agg(
-        F.count_if(counted).alias("fetch_rows"),
-        F.coalesce(F.sum(F.when(counted, F.col("event_len"))), F.lit(0)).alias("fetch_size"),
-        at,
-    )
+    moved = events.groupBy("server_id", F.window("ts", WINDOW).alias("w")).agg(at)
+    when = F.timestamp_millis("execute_time")
+    counts = entries.groupBy("server_id", F.window(when, WINDOW).alias("w")).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("event_length").alias("_size"))
+    zero = F.lit(0).cast("bigint")
+    per_minute = moved.join(counts, ["server_id", "w"], "left").withColumns({
+        "fetch_rows": F.coalesce("_n", zero), "fetch_size": F.coalesce("_size", zero)})
     now = master.select(
         "server_id", F.col("logfile").alias("_file"), F.col("pos").alias("_pos"))
     lag = position_lag(F.col("_file"), F.col("_pos"), F.col("at.logfile"), F.col("at.log_pos"))
@@ -63,16 +63,27 @@ def fetch_metrics(events: DataFrame, master: DataFrame) -> DataFrame:
     )
 
 
-def send_metrics(packed: DataFrame, size: Column, now_ms: Column, send_ms: Column | None = None) -> DataFrame:
-    """Per message: rows, bytes, time spent sending and delay of its last commit."""
-    committed = F.when(F.col("entry_type") == "TRANSACTIONEND", F.struct("seq", "execute_time"))
+def send_metrics(
+    packed: DataFrame, entries: DataFrame, size: Column, now_ms: Column,
+    send_ms: Column | None = None, width: int = DEFAULT_WIDTH,
+) -> DataFrame:
+    """Per message: rows, bytes, time spent sending, and delay of the latest commit at or before
+    its end. Commits come from ``entries``, the log before the second filter."""
     spent = F.lit(0).cast("bigint") if send_ms is None else F.sum(send_ms)
-    return packed.groupBy("server_id", "message_no").agg(
+    messages = packed.groupBy("server_id", "message_no").agg(
         F.count(F.lit(1)).alias("send_rows"),
         F.sum(size.cast("bigint")).alias("send_size"),
         spent.alias("send_time"),
-        (now_ms - F.max(committed)["execute_time"]).alias("delay_time"),
+        # A commit at a message's end comes before it.
+        (F.max("seq") * 2 + 1).alias("_at"),
     )
+    commits = entries.filter(F.col("entry_type") == "TRANSACTIONEND").select(
+        "server_id", (F.col("seq") * 2).alias("_at"), F.col("execute_time").alias("_commit"))
+    both = messages.unionByName(commits, allowMissingColumns=True)
+    placed = latest(both, ["server_id"], "_at", {"_last": F.col("_commit")}, width=2 * width)
+    return placed.filter(F.col("message_no").isNotNull()).select(
+        "server_id", "message_no", "send_rows", "send_size", "send_time",
+        (now_ms - F.col("_last")).alias("delay_time"))
 
 
 def entry_delay(entries: DataFrame, now_ms: Column) -> DataFrame:
@@ -86,10 +97,13 @@ def over_stock(raw: DataFrame, master: DataFrame) -> DataFrame:
         "server_id", (F.col("pos") - F.col("l.log_pos")).alias("over_stock"))
 
 
-def monitor_messages(metrics: DataFrame, job: str, form: str = "online") -> DataFrame:
+def monitor_messages(
+    metrics: DataFrame, job: str, form: str = "online", mark: str = MARK
+) -> DataFrame:
     """Envelope JSON for a metrics table with column ``message_id``.
 
-    The content depends on the id; an id of no known kind has an empty content.
+    The content depends on the id; an id of no known kind has an empty content. ``mark`` names
+    the field that carries the job.
     """
     have = set(metrics.columns)
     online = {
@@ -104,19 +118,20 @@ def monitor_messages(metrics: DataFrame, job: str, form: str = "online") -> Data
             body = F.to_json(F.struct(*[F.col(f).alias(f.upper()) for f in fields]))
             content = F.when(F.col("message_id") == message_id, body).otherwise(content)
     envelope = F.to_json(F.struct(
-        F.col("message_id").cast("int").alias("id"), F.lit(job).alias("jrdw_mark"),
+        F.col("message_id").cast("int").alias("id"), F.lit(job).alias(mark),
         content.alias("content"),
     ))
     return metrics.withColumn("value", envelope)
 
 
-def read_monitor_messages(messages: DataFrame) -> DataFrame:
+def read_monitor_messages(messages: DataFrame, mark: str = MARK) -> DataFrame:
     """Envelope and content fields of JSON monitoring messages."""
-    outer = messages.withColumn("_e", F.from_json("value", ENVELOPE))
+    outer = messages.withColumn("_e", F.from_json(
+        "value", f"id int, `{mark}` string, content string"))
     inner = outer.withColumn("_c", F.from_json("_e.content", CONTENT))
     fields = [f.split()[0] for f in CONTENT.split(", ")]
     return inner.select(
         *[c for c in messages.columns if c != "value"],
-        F.col("_e.id").alias("message_id"), F.col("_e.jrdw_mark").alias("job"),
+        F.col("_e.id").alias("message_id"), F.col(f"_e.`{mark}`").alias("job"),
         *[F.col(f"_c.{f}").alias(f.lower()) for f in fields],
     )

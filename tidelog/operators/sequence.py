@@ -59,7 +59,7 @@ def assign_batch_ids(
 # ``FAN`` such tables, whatever the size of the log.
 
 FAN = 64
-_TABLE = "server_id int, chunk bigint, open_in bigint, open_out bigint"
+_TABLE = "server_id bigint, chunk bigint, open_in bigint, open_out bigint"
 
 
 def _cuts(sizes: np.ndarray, max_bytes: int, max_rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -113,7 +113,7 @@ def _chunk_table(max_bytes: int, max_rows: int):
         first = np.where(opens == 0, 0, first)
         out = np.where(first > n, opens + n, exits[np.minimum(first, n)])
         return pd.DataFrame({
-            "server_id": np.int32(own["server_id"].iloc[0]), "chunk": own["chunk"].iloc[0],
+            "server_id": np.int64(own["server_id"].iloc[0]), "chunk": own["chunk"].iloc[0],
             "open_in": opens, "open_out": out,
         })
     return build
@@ -162,7 +162,7 @@ def _assign(max_bytes: int, max_rows: int):
 
 def _open_rows(rows: DataFrame, chunks: int, max_bytes: int, max_rows: int) -> DataFrame:
     """Rows of the previous chunk still open at the start of each chunk."""
-    keys, found = ["server_id", "chunk"], "server_id int, chunk bigint, open_in bigint"
+    keys, found = ["server_id", "chunk"], "server_id bigint, chunk bigint, open_in bigint"
     zero = F.lit(0).cast("bigint")
     if chunks == 1:
         return rows.select("server_id", "chunk", zero.alias("open_in")).distinct()
@@ -216,7 +216,7 @@ def pack_messages(
     starts = _open_rows(rows, chunks, max_bytes, max_rows)
     placed = rows.join(starts, keys).groupBy(*keys).applyInPandas(
         _assign(max_bytes, max_rows),
-        "server_id int, seq bigint, chunk bigint, begun bigint",
+        "server_id bigint, seq bigint, chunk bigint, begun bigint",
     )
     if chunks == 1:
         number = placed.select("server_id", "seq", (F.col("begun") - 1).alias("message_no"))

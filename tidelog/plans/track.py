@@ -1,4 +1,8 @@
-"""Whole change-tracking plans, each one lazy plan up to its sink."""
+"""Whole change-tracking plans.
+
+Steps with several readers are written to the shared folder while a plan is built, so a call runs a
+few jobs before it returns; the returned tables are lazy from there on.
+"""
 
 from __future__ import annotations
 
@@ -12,6 +16,7 @@ from tidelog.operators import columns as E
 from tidelog.operators import context as C
 from tidelog.operators import filters as D
 from tidelog.operators import sequence as Q
+from tidelog.functions import text as X
 from tidelog.operators import statements as T
 from tidelog.operators.ordered import DEFAULT_WIDTH
 from tidelog.sources.shared import written
@@ -20,17 +25,20 @@ from tidelog.sources.store import append_event_rows
 from tidelog import schemas as S
 
 ENTRY_FIELDS = [f.name for f in S.ENTRY.fields]
+#: Columns of the rejected events a plan returns.
+REJECTED = ["server_id", "seq", "logfile", "logfile_offset", "reason"]
 
 
-def all_entries(
+def judged_entries(
     raw: DataFrame, allow: Sequence[str] = (), *, ddl_patterns: str | None = None,
-    no_ddl: bool = False, no_dml: bool = False, no_dcl: bool = False,
-    width: int = DEFAULT_WIDTH,
+    row_patterns: str | None = None, no_ddl: bool = False, no_dml: bool = False,
+    no_dcl: bool = False, width: int = DEFAULT_WIDTH,
 ) -> DataFrame:
-    """Every entry of the log, with the allowlist applied to rows events only.
+    """Every entry of the log, and with a ``reason`` each event that should give one but cannot.
 
-    One projection over one pass of the log: no union of per-kind branches that
-    would each attach context again.
+    The allowlist and ``row_patterns`` (whole ``db.table`` names, any case) apply to rows events,
+    ``ddl_patterns`` to DDL. One projection over one pass of the log: no union of per-kind branches
+    that would each attach context again.
     """
     events = C.convertible_events(C.resolved_events(raw, width))
     if no_ddl and no_dml and no_dcl:  # no statement can pass, so none is parsed
@@ -42,12 +50,16 @@ def all_entries(
     row_passes = F.col("table_error").isNull()
     if len(allow):
         row_passes = row_passes & D.full_name().isin(list(allow))
+    if row_patterns is not None:
+        row_passes = row_passes & X.matches_any_ci(D.full_name(), row_patterns)
+    reason = F.coalesce(F.when(row, F.col("table_error")), F.when(stmt, T.ddl_error("stmt.")))
     stmt_passes = (
         T.ddl_error("stmt.").isNull() & T.ddl_matches(ddl_patterns, "stmt.")
         & T.class_passes(no_ddl, no_dml, no_dcl, "stmt.")
     )
     kept = events.filter(
-        (row & row_passes) | begin | end | (stmt & stmt_passes) | (text & F.lit(not no_dml)))
+        (row & row_passes) | begin | end | (stmt & stmt_passes) | (text & F.lit(not no_dml))
+        | reason.isNotNull())
 
     def by_kind(of_row: Column, of_stmt: Column) -> Column:
         return F.coalesce(F.when(row, of_row).when(stmt, of_stmt), F.lit(""))
@@ -70,7 +82,24 @@ def all_entries(
     }
     return kept.select(*[
         columns.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in S.ENTRY.fields
-    ])
+    ], reason.alias("reason"))
+
+
+def all_entries(raw: DataFrame, allow: Sequence[str] = (), **options) -> DataFrame:
+    """The entries of the log; options as for ``judged_entries``."""
+    return judged_entries(raw, allow, **options).filter(F.col("reason").isNull()).drop("reason")
+
+
+def rejected_of(judged: DataFrame) -> DataFrame:
+    return judged.filter(F.col("reason").isNotNull()).select(*REJECTED)
+
+
+def held(rows: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Rows of each server before its first rejected event."""
+    first = rejected.groupBy("server_id").agg(F.min("seq").alias("_first"))
+    # One row a server, written so that its measured size decides how it is joined.
+    return rows.join(written(first, "first_rejected"), "server_id", "left").filter(
+        F.col("_first").isNull() | (F.col("seq") < F.col("_first"))).drop("_first")
 
 
 def second_filter(entries: DataFrame, allow: Sequence[str], markers: str = "drop") -> DataFrame:
@@ -111,7 +140,11 @@ def track_rows(raw: DataFrame, allow: Sequence[str], width: int = DEFAULT_WIDTH)
 def row_bodies(
     kept: DataFrame, cells: DataFrame, meta: DataFrame, charset: str = "UTF-8"
 ) -> DataFrame:
-    """Nested, enriched, rendered and compared row images of the kept rows events."""
+    """Nested, enriched, rendered and compared row images of the kept rows events.
+
+    ``body_reason`` says why an event's images cannot be named: its table has no metadata, or
+    fewer columns than the event.
+    """
     # Cells and entries meet on the event, the key every later step groups by.
     owners = kept.filter(F.col("event_type").isin("INSERT", "UPDATE", "DELETE")).select(
         *E.EVENT_KEY, "db", "tbl", "event_type")
@@ -119,44 +152,70 @@ def row_bodies(
     rendered = E.render_cells(E.enrich_columns(owned, meta), charset)
     shaped = rendered.select(
         *E.CELL_KEY, "image", "sql_type", "name", "is_key", F.lit(False).alias("updated"),
+        F.concat_ws(".", "db", "tbl").alias("_table"),
         F.col("value").isNull().alias("is_null"), "value",
         F.col("column_type").alias("mysql_type"),
     )
     rows = E.flag_updated_images(E.row_images(shaped))
     return rows.groupBy(*E.EVENT_KEY).agg(
-        F.sort_array(F.collect_list(F.struct("row_idx", "before", "after"))).alias("row_datas"))
+        F.sort_array(F.collect_list(F.struct("row_idx", "before", "after"))).alias("row_datas"),
+        F.max("width").alias("_width"), F.max("named").alias("_named"), F.max("_table").alias("_table"),
+    ).select(*E.EVENT_KEY, "row_datas", E.column_error(
+        F.col("_table"), F.col("_width"), F.col("_named")).alias("body_reason"))
 
 
 def track_changes(
     raw: DataFrame, cells: DataFrame, meta: DataFrame, allow: Sequence[str], *,
     topic: str = "changes", markers: str = "keep", batch0: int = 0, in0: int = 0,
     max_bytes: int = Q.SEND_BYTES, max_rows: int = Q.SEND_ROWS, width: int = DEFAULT_WIDTH,
-) -> tuple[DataFrame, DataFrame]:
-    """Raw log to numbered, packed messages, and the checkpoint to confirm after them.
-
-    Entries and finished message values are each written once: both have several
-    readers, and context must not be attached again for each of them.
+    charset: str = "UTF-8", skip_errors: bool = False, **options,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Raw log to numbered, packed messages, the checkpoint to confirm after them, and the events
+    rejected (unknown table id, DDL without a table, no or too narrow metadata).
+
+    The checkpoint of a server stays at the last commit before its first rejected event, unless
+    ``skip_errors``. An entry rejected for its metadata keeps its number, so numbers do not
+    change when it goes through later. Entries and finished message values are each written once:
+    both have several readers, and context must not be attached again for each of them.
     """
-    entries = written(all_entries(raw, allow, width=width), "entries")
+    judged = written(judged_entries(raw, allow, width=width, **options), "entries")
+    entries = judged.filter(F.col("reason").isNull()).drop("reason")
     passing = second_filter(entries, allow, markers)
     kept = Q.assign_batch_ids(passing, batch0, in0, width)
-    full = kept.join(row_bodies(passing, cells, meta), E.EVENT_KEY, "left")
+    full = kept.join(row_bodies(passing, cells, meta, charset), E.EVENT_KEY, "left")
     value_columns = [*ENTRY_FIELDS, "batch_id", "in_id", "row_datas"]
-    out = written(publish_changes(
-        full, topic, value_columns, keep=("server_id", "seq", "batch_id", "in_id")), "values")
-    messages = Q.pack_messages(out, F.octet_length("value"), max_bytes, max_rows, width=width)
+    out = written(publish_changes(full, topic, value_columns, keep=(
+        "server_id", "seq", "batch_id", "in_id", "logfile", "logfile_offset", "body_reason")),
+        "values")
+    bad = out.filter(F.col("body_reason").isNotNull()).withColumnRenamed("body_reason", "reason")
+    rejected = rejected_of(judged).unionByName(bad.select(*REJECTED))
+    good = out.filter(F.col("body_reason").isNull()).drop(
+        "body_reason", "logfile", "logfile_offset")
+    messages = Q.pack_messages(good, F.octet_length("value"), max_bytes, max_rows, width=width)
+    if not skip_errors:
+        entries, kept = held(entries, rejected), held(kept, rejected)
     # The position comes from the last commit before the second filter.
-    return messages, P.make_checkpoint(P.last_commit(entries), kept)
+    return messages, P.make_checkpoint(P.last_commit(entries), kept), rejected
 
 
 def track_to_store(
     raw: DataFrame, cells: DataFrame, meta: DataFrame, patterns: str | None, next_key: int = 0,
-    width: int = DEFAULT_WIDTH,
-) -> tuple[DataFrame, DataFrame]:
-    """Raw log to stored rows under dense keys, and the two-column checkpoint."""
-    kept = written(D.match_tables(all_entries(raw, width=width), patterns), "kept")
+    width: int = DEFAULT_WIDTH, skip_errors: bool = False,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Raw log to stored rows under dense keys, the two-column checkpoint, and the rejected events.
+
+    Keys and the hold of the checkpoint are as in ``track_changes``.
+    """
+    judged = written(judged_entries(raw, width=width), "entries")
+    kept = written(D.match_tables(
+        judged.filter(F.col("reason").isNull()).drop("reason"), patterns), "kept")
     keyed = append_event_rows(kept, next_key, width=width)
-    rows = keyed.join(row_bodies(kept, cells, meta), E.EVENT_KEY, "left")
+    rows = written(keyed.join(row_bodies(kept, cells, meta), E.EVENT_KEY, "left"), "rows")
+    bad = rows.filter(F.col("body_reason").isNotNull()).withColumnRenamed("body_reason", "reason")
+    rejected = rejected_of(judged).unionByName(bad.select(*REJECTED))
+    rows = rows.filter(F.col("body_reason").isNull()).drop("body_reason")
+    if not skip_errors:
+        keyed = held(keyed, rejected)
     ends = keyed.filter(P.is_commit("end_event")).groupBy("server_id").agg(
         F.max(F.struct("row_key", "logfile", "logfile_offset", "event_length")).alias("e"))
     checkpoint = ends.select(
@@ -165,24 +224,29 @@ def track_to_store(
                     .cast("string")).alias("binlog_xid"),
         (F.col("e.row_key") + 1).cast("string").alias("event_row_key"),
     )
-    return rows, checkpoint
+    return rows, checkpoint, rejected
 
 
 def simple_track(
     raw: DataFrame, cells: DataFrame, meta: DataFrame, allow: Sequence[str],
     width: int = DEFAULT_WIDTH,
-) -> DataFrame:
-    """Listing of the effective image of each kept row with its table and position."""
-    rows = C.row_entries(D.allow_tables(C.resolved_events(raw, width), allow)
-                         .filter(C.is_rows_event()))
+) -> tuple[DataFrame, DataFrame]:
+    """Listing of the effective image of each kept row with its table and position, and the
+    rows events whose table is unknown. Cells without metadata are listed without a name."""
+    resolved = written(C.resolved_events(raw, width).filter(C.is_rows_event()), "resolved")
+    lost = resolved.filter(F.col("table_error").isNotNull()).select(
+        "server_id", "seq", "logfile", C.header_columns()["logfile_offset"].alias("logfile_offset"),
+        F.col("table_error").alias("reason"))
+    rows = C.row_entries(D.allow_tables(resolved, allow))
     owned = cells.join(
         rows.select(*E.EVENT_KEY, "logfile", "logfile_offset", "execute_time", "db", "tbl",
                     "event_type"), E.EVENT_KEY)
     shown = E.effective_image(owned)
     rendered = E.render_cells(E.enrich_columns(shown, meta))
-    return rendered.select(
+    listing = rendered.select(
         *E.CELL_KEY, "event_type", "execute_time",
         F.concat_ws(".", "db", "tbl").alias("dbtb"),
         F.concat_ws("#", "logfile", F.col("logfile_offset").cast("string")).alias("position"),
         "name", "value",
     )
+    return listing, lost

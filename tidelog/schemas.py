@@ -88,13 +88,13 @@ def _table(fields: str) -> T.StructType:
 
 
 RAW_EVENT = _table(
-    "server_id int, seq bigint, type_code int, event_len bigint, log_pos bigint, flags int, "
+    "server_id bigint, seq bigint, type_code int, event_len bigint, log_pos bigint, flags int, "
     "rotate_file string, table_id bigint, db string, tbl string, query string, "
     "session_id bigint, session_db string, xid bigint, var_name string, var_type int, "
     "var_text string, num1 bigint, num2 bigint, ts timestamp"
 )
 CELL = _table(
-    "server_id int, seq bigint, row_idx int, image string, ordinal int, mysql_type int, "
+    "server_id bigint, seq bigint, row_idx int, image string, ordinal int, mysql_type int, "
     "meta int, byte_len int, raw_long bigint, raw_str string, raw_bin binary"
 )
 TABLE_META = _table(
@@ -102,7 +102,7 @@ TABLE_META = _table(
     "nullable string, column_key string, default_value string, extra string"
 )
 ENTRY = _table(
-    "server_id int, seq bigint, type_code int, logfile string, logfile_offset bigint, execute_time bigint, "
+    "server_id bigint, seq bigint, type_code int, logfile string, logfile_offset bigint, execute_time bigint, "
     "event_length bigint, db string, tbl string, event_type string, entry_type string, "
     "is_ddl boolean, transaction_id string, thread_id bigint, sql string"
 )

@@ -5,20 +5,22 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 SETTINGS = {
-    # Dates and times are compared and shown in UTC.
-    "spark.sql.session.timeZone": "UTC",
     # HotSpot leaves methods above 8,000 bytes of bytecode interpreted. Statement parsing
     # and value rendering can exceed that when fused with a whole stage; below the limit
     # Spark falls back to per-operator code, which is compiled.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Cell text comes in any charset of the source, with bytes that may be broken: decode it by
+    # the JVM's charsets, replacing what is malformed.
+    "spark.sql.legacy.javaCharsets": "true",
+    "spark.sql.legacy.codingErrorAction": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings to a running session."""
-    for key, value in SETTINGS.items():
+def tune(spark: SparkSession, tz: str = "UTC") -> SparkSession:
+    """Apply the settings to a running session; ``tz`` is the job's time zone."""
+    for key, value in {**SETTINGS, "spark.sql.session.timeZone": tz}.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark

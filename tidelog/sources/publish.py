@@ -38,8 +38,3 @@ def partition_by_suffix(df: DataFrame, key_col: str, n: int) -> DataFrame:
     has_dot = F.col(key_col).rlike(r"(?s)\A.+\.[^.]*\z")
     number = F.when(suffix.rlike(r"\A[+-]?\d+\z"), suffix).try_cast("int")
     return df.withColumn("partition_id", F.when(has_dot, number % n).otherwise(F.lit(0)))
-
-
-def repartition_by_suffix(df: DataFrame, key_col: str, n: int) -> DataFrame:
-    """Place rows by their suffix partition."""
-    return partition_by_suffix(df, key_col, n).repartition(n, "partition_id")

@@ -2,28 +2,40 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+#: Set while a run's folder is open.
+RUN_SETTING = "tidelog.run.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by the cluster; a temporary one only where none is set."""
+    """The folder named by the cluster. Only a local session, whose one machine reads what it
+    wrote, gets a temporary one where none is set; it goes when Python ends."""
     folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getConf().get(
         CHECKPOINT_SETTING, None
     )
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set(CHECKPOINT_SETTING, folder)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that every executor reaches")
+    folder = tempfile.mkdtemp(prefix="run-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.conf.set(CHECKPOINT_SETTING, folder)
     return folder
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:
-    """A fresh table path in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh table path in the open run's folder, else in the shared folder."""
+    folder = spark.conf.get(RUN_SETTING, None) or shared_dir(spark)
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -31,3 +43,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_table_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """What plans write inside the block goes to one folder, which is removed after it.
+
+    Results that still read those tables must be written out within the block.
+    """
+    folder = new_table_path(spark, "run")
+    spark.conf.set(RUN_SETTING, folder)
+    try:
+        yield folder
+    finally:
+        spark.conf.unset(RUN_SETTING)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

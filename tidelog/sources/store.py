@@ -33,11 +33,6 @@ def append_event_rows(
     return numbered.withColumn("row_key", key).drop("rows_before")
 
 
-def next_row_key(keyed: DataFrame, by: tuple[str, ...] = ("server_id",)) -> DataFrame:
-    """The key the next append starts at."""
-    return keyed.groupBy(*by).agg((F.max("row_key") + 1).alias("next_key"))
-
-
 def scan_rows(table: DataFrame, start: int, stop: int, key: str = "row_key") -> DataFrame:
     """Rows with ``start <= key < stop``."""
     return table.filter((F.col(key) >= start) & (F.col(key) < stop))
@@ -65,10 +60,12 @@ def zip_puts(rows: DataFrame, keys: Column, values: Column, col_name: str) -> Da
 
 def upsert_rows(table: DataFrame, puts: DataFrame) -> DataFrame:
     """Store contents after the puts: per key and column the last write wins."""
-    written = puts.select("row_key", "col", "value", "write_seq")
+    written = puts.select("row_key", "col", "value", "write_seq", F.lit(True).alias("is_put"))
     stored = table.select(
-        "row_key", "col", "value", F.lit(-1).cast("bigint").alias("write_seq"))
-    newest = F.max(F.struct("write_seq", "value")).alias("n")
+        "row_key", "col", "value", F.lit(0).cast("bigint").alias("write_seq"),
+        F.lit(False).alias("is_put"))
+    # Any put is later than what is stored, whatever its write_seq.
+    newest = F.max(F.struct("is_put", "write_seq", "value")).alias("n")
     return stored.unionByName(written).groupBy("row_key", "col").agg(newest).select(
         "row_key", "col", F.col("n.value").alias("value"))
 

@@ -140,7 +140,8 @@ def track_batch(
 ) -> None:
     """Track one micro-batch: read the state before it, write messages, then the state after.
 
-    Both outputs are replaced per epoch, so a batch run twice leaves them as once.
+    All outputs are replaced per epoch, so a batch run twice leaves them as once. Rejected events
+    go to ``sink_path`` + "-rejected"; a micro-batch cannot be held, so watch that table.
     """
     spark = batch.sparkSession
     before = spark.createDataFrame([], STATE)
@@ -148,7 +149,8 @@ def track_batch(
         before = spark.read.schema(STATE).parquet(_epoch_path(state_path, epoch - 1))
     raw_columns = [f.name for f in S.RAW_EVENT.fields]
     log = before.select(*raw_columns).unionByName(batch.select(*raw_columns))
-    entries = H.written(H.all_entries(log, allow, width=width), "live")
+    judged = H.written(H.judged_entries(log, allow, width=width), "live")
+    entries = judged.filter(F.col("reason").isNull()).drop("reason")
     passing = H.second_filter(entries, allow, markers)
     ids = before.filter(F.col("type_code") == S.ROTATE).select(
         "server_id", F.col("next_batch_id").alias("_b0"), F.col("next_in_id").alias("_i0"))
@@ -159,8 +161,13 @@ def track_batch(
     ).drop("_b0", "_i0")
     full = kept.join(H.row_bodies(passing, cells_of(batch), meta), E.EVENT_KEY, "left")
     columns = [*H.ENTRY_FIELDS, "batch_id", "in_id", "row_datas"]
-    messages = publish_changes(
-        full, topic, columns, keep=("server_id", "seq", "batch_id", "in_id"))
+    out = H.written(publish_changes(full, topic, columns, keep=(
+        "server_id", "seq", "batch_id", "in_id", "logfile", "logfile_offset", "body_reason")), "live")
+    bad = out.filter(F.col("body_reason").isNotNull()).withColumnRenamed("body_reason", "reason")
+    rejected = H.rejected_of(judged).unionByName(bad.select(*H.REJECTED))
+    rejected.write.mode("overwrite").parquet(_epoch_path(sink_path + "-rejected", epoch))
+    messages = out.filter(F.col("body_reason").isNull()).drop(
+        "body_reason", "logfile", "logfile_offset")
     messages.write.mode("overwrite").parquet(_epoch_path(sink_path, epoch))
     _carry(log, entries, kept, before).write.mode("overwrite").parquet(_epoch_path(state_path, epoch))
 
