@@ -198,7 +198,7 @@ def _candidates(percent: int, small: int):
         own = group[members]
         for k in range(PIVOTS if len(members) else 0):
             # The least by a hash of the class: groups that share members share pivots too.
-            rank = mix(high[members] + np.uint64(k + 1) * _SALT)
+            rank = mix(high[members] ^ _SALT ^ np.uint64(k))
             order = np.lexsort((rank, own))
             heads = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
             pivot = np.repeat(members[order[heads]], np.diff(np.append(heads, len(members))))
