@@ -511,6 +511,24 @@ def track_changes_held(log: Log):
     return H.track_changes(log.raw, log.cells, log.meta_now, ALLOW, width=WIDTH)[1]
 
 
+@register("track_changes_resumed", sql(
+    "select server_id, seq, batch_id, in_id from numbered", "numbered"))
+def track_changes_resumed(log: Log):
+    """One run to a commit in the middle, another from its checkpoint; what came twice is dropped."""
+    events = log.raw.agg(F.max("seq")).first()[0] // 10 + 1
+    middle = (events // 10 * 5 + 4) * 10 + 5
+    first, at, _ = H.track_changes(
+        log.raw.filter(F.col("seq") <= middle), log.cells, log.meta_now, ALLOW, width=WIDTH,
+        skip_errors=True)
+    at = written(at, "checkpoint")
+    second, _, _ = H.track_changes(
+        log.raw, log.cells, log.meta_now, ALLOW, width=WIDTH, skip_errors=True, checkpoints=at)
+    columns = ["server_id", "seq", "batch_id", "in_id"]
+    seen = first.groupBy("server_id").agg(
+        F.max(F.struct("batch_id", "in_id")).alias("m")).select("server_id", "m.*")
+    return first.select(columns).unionByName(P.dedup_replayed(second.select(columns), seen))
+
+
 @register("track_changes_listed_only", sql("""
 , k as (select *, entry_type = 'TRANSACTIONEND' or is_ddl e from entries where db || '.' || tbl in ('shop.t_user', 'crm.t_click')),
 b as (select *, coalesce(sum(e::int) over (partition by server_id order by seq rows between unbounded preceding

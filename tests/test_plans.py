@@ -71,3 +71,38 @@ def test_shared_folder_must_be_set_on_a_cluster(spark, monkeypatch):
     monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
     with pytest.raises(ValueError):
         shared.shared_dir(spark)
+
+
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+
+
+def test_context_moves_the_log_once(spark):
+    """Both context windows share the first exchange: the six others carry totals only."""
+    from tidelog.operators import context as C
+
+    log = Log(tune(spark), FOLDER)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = exchanges(C.resolve_table(log.raw))
+        assert len(found) == 7
+        assert sum("table_id" in line for line in found) == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_column_check_has_no_join_on_the_table(spark):
+    from tidelog.operators import columns as E
+
+    widths = spark.createDataFrame([(1, 5, "a", "t", 3), (1, 9, "a", "t", 4), (1, 9, "b", "t", 1)],
+                                   "server_id bigint, seq bigint, db string, tbl string, width int")
+    versions = spark.createDataFrame(
+        [(1, "a", "t", 1, 1, None, 8, 2, 3), (1, "a", "t", 2, 2, 8, None, 3, None)],
+        "server_id bigint, db string, tbl string, interval bigint, version bigint, "
+        "valid_from bigint, valid_to bigint, meta_width int, next_width int")
+    out = E.check_column_count(widths, versions)
+    got = {(r.seq, r.db): (r.check, r.error) for r in out.collect()}
+    assert got == {(5, "a"): ("reloaded", None), (9, "a"): (
+        "error", "column size is not match for table:a.t,4 vs 3")}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog import schemas as S
 from tidelog.operators.ordered import DEFAULT_WIDTH, latest
+from tidelog.sources.shared import written
 
 
 def file_number(logfile: Column) -> Column:
@@ -132,8 +133,9 @@ def resolve_start(checkpoints: DataFrame, configured: DataFrame, master: DataFra
 
 def resume_from(entries: DataFrame, checkpoints: DataFrame) -> DataFrame:
     """Entries starting at or after their server's checkpoint position."""
-    start = checkpoints.select(
-        "server_id", F.col("logfile").alias("_file"), F.col("pos").alias("_pos"))
+    # One row a server, written so that its measured size decides how it is joined.
+    start = written(checkpoints.select(
+        "server_id", F.col("logfile").alias("_file"), F.col("pos").alias("_pos")), "start")
     here = position_key(F.col("logfile"), F.col("logfile_offset"))
     return (
         entries.join(start, "server_id")
@@ -179,8 +181,8 @@ def minute_checkpoints(
 
 def dedup_replayed(entries: DataFrame, last_seen: DataFrame) -> DataFrame:
     """Drop entries a consumer already has, by (batch_id, in_id)."""
-    seen = last_seen.select(
-        "server_id", F.struct("batch_id", "in_id").alias("_seen"))
+    seen = written(last_seen.select(
+        "server_id", F.struct("batch_id", "in_id").alias("_seen")), "seen")
     fresh = entries.join(seen, "server_id", "left").filter(
         F.col("_seen").isNull() | (F.struct("batch_id", "in_id") > F.col("_seen"))
     )

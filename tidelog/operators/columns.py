@@ -95,19 +95,19 @@ def check_column_count(
 
     ``widths``: server_id, seq, db, tbl, width. ``versions``: one line per
     interval (server_id, db, tbl, valid_from, valid_to, meta_width, next_width).
-    Each event first finds where its interval begins, so it meets one version by
-    equality however many versions its table has had.
+    Each interval is a line of the log at its begin that carries its widths, so an event finds
+    them among the lines before it: no join on the table, however hot it is.
     """
     by = ["server_id", "db", "tbl"]
-    begins = versions.filter(F.col("valid_from").isNotNull()).select(
-        *by, F.col("valid_from").alias("seq"), F.col("valid_from").alias("_begin"))
-    both = widths.unionByName(begins, allowMissingColumns=True)
-    placed = latest(both, by, "seq", {"_from": F.col("_begin")}, width=width).filter(
-        F.col("width").isNotNull()).drop("_begin")
     start = F.lit(-(1 << 62))
-    known = versions.withColumn("_from", F.coalesce("valid_from", start))
-    joined = placed.withColumn("_from", F.coalesce("_from", start)).join(
-        known, [*by, "_from"]).drop("_from")
+    begins = versions.select(
+        *by, F.coalesce("valid_from", start).alias("seq"),
+        F.struct("interval", "version", "valid_from", "valid_to", "meta_width", "next_width")
+        .alias("_begin"))
+    both = widths.unionByName(begins, allowMissingColumns=True)
+    placed = latest(both, by, "seq", {"_v": F.col("_begin")}, width=width).filter(
+        F.col("width").isNotNull() & F.col("_v").isNotNull())
+    joined = placed.select(*widths.columns, "_v.*")
     fits = F.col("width") <= F.col("meta_width")
     reloaded = F.coalesce(F.col("width") <= F.col("next_width"), F.lit(False))
     message = F.concat(

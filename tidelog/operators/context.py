@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog import schemas as S
-from tidelog.operators.ordered import DEFAULT_WIDTH, latest
+from tidelog.operators.ordered import DEFAULT_WIDTH, RANGE, latest
 
 HEADER_COLUMNS = ["logfile", "logfile_offset", "execute_time", "event_length"]
 
@@ -89,25 +89,30 @@ def resolve_table(raw: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:
     counts only when it is later than the latest such event before the row.
     Adds ``db``/``tbl`` (in place of the map-only columns) and ``table_error``.
     """
+    # Only these events matter here, and a filter this early reaches the scan.
+    raw = raw.filter(_names_table())
     closed = latest(
-        raw, ["server_id"], "seq", {"_closed": closing_seq()}, exclusive=["_closed"], width=width
+        raw, ["server_id"], "seq", {"_closed": closing_seq()}, exclusive=["_closed"],
+        keep_range=True, width=width,
     )
-    rows = _resolve(closed.filter(_names_table()), raw, width)
+    rows = _resolve(closed, raw, width)
     return rows.filter(is_rows_event())
 
 
-def with_context(raw: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:
+def with_context(
+    raw: DataFrame, width: int = DEFAULT_WIDTH, keep_range: bool = False
+) -> DataFrame:
     """Log file on every event, found in the same pass as the closing rows events."""
     both = latest(
         raw, ["server_id"], "seq", {"logfile": _rotated(), "_closed": closing_seq()},
-        exclusive=["_closed"], width=width,
+        exclusive=["_closed"], keep_range=keep_range, width=width,
     )
     return both.withColumn("logfile", _file_or_default())
 
 
 def resolved_events(raw: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:
     """Every event with its log file; rows events also with table or table_error."""
-    return _resolve(with_context(raw, width), raw, width)
+    return _resolve(with_context(raw, width, keep_range=True), raw, width)
 
 
 def _names_table() -> Column:
@@ -115,7 +120,7 @@ def _names_table() -> Column:
 
 
 def _resolve(closed: DataFrame, raw: DataFrame, width: int) -> DataFrame:
-    keep = [c for c in closed.columns if c not in ("db", "tbl", "_closed")]
+    keep = [c for c in closed.columns if c not in ("db", "tbl", "_closed", RANGE)]
     a_map = F.struct(F.col("seq").alias("at"), "db", "tbl")
     mapped = latest(
         closed, ["server_id", "table_id"], "seq",

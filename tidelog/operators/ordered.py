@@ -20,7 +20,10 @@ RANGE = "_range"
 
 
 def with_range(df: DataFrame, order: str, width: int = DEFAULT_WIDTH) -> DataFrame:
-    """Add the first order value of each row's range (integer arithmetic only)."""
+    """Add the first order value of each row's range (integer arithmetic only), if it is not
+    there from an earlier step: the planner then sees that rows already lie by range."""
+    if RANGE in df.columns:
+        return df
     return df.withColumn(RANGE, F.col(order) - F.pmod(F.col(order), F.lit(width).cast("bigint")))
 
 
@@ -32,6 +35,7 @@ def latest(
     *,
     exclusive: Sequence[str] = (),
     source: DataFrame | None = None,
+    keep_range: bool = False,
     width: int = DEFAULT_WIDTH,
 ) -> DataFrame:
     """Add, per name in ``values``, its latest non-null value at or before each row.
@@ -39,6 +43,9 @@ def latest(
     Names in ``exclusive`` look strictly before the row. Range totals come from
     ``source`` where given: the same rows before other steps widened them, so those
     steps are not run again for the totals, which read only the columns they need.
+    ``keep_range`` leaves the range column for a next step with the same order and width. The
+    carried totals are one row per range that has any: with order values that are mostly unused
+    (byte offsets, say) choose ``width`` so that a range holds many rows.
     """
     keys = [*by, RANGE]
     keyed = with_range(df, order, width)
@@ -60,7 +67,8 @@ def latest(
     return (
         local.join(carried, keys, "left")
         .withColumns({n: F.coalesce(f"_l_{n}", f"_c_{n}") for n in values})
-        .drop(RANGE, *[f"_l_{n}" for n in values], *[f"_c_{n}" for n in values])
+        .drop(*([] if keep_range else [RANGE]), *[f"_l_{n}" for n in values],
+              *[f"_c_{n}" for n in values])
     )
 
 

@@ -40,7 +40,9 @@ def judged_entries(
     ``ddl_patterns`` to DDL. One projection over one pass of the log: no union of per-kind branches
     that would each attach context again.
     """
-    events = C.convertible_events(C.resolved_events(raw, width))
+    # Other events change no context; dropped here, before the windows, they are not shuffled.
+    needed = raw.filter(C.code_in([*S.CONVERTIBLE_CODES, S.ROTATE, S.TABLE_MAP]))
+    events = C.convertible_events(C.resolved_events(needed, width))
     if no_ddl and no_dml and no_dcl:  # no statement can pass, so none is parsed
         events = events.filter(~T.is_statement())
     events = T.with_statement(events)
@@ -102,6 +104,25 @@ def held(rows: DataFrame, rejected: DataFrame) -> DataFrame:
         F.col("_first").isNull() | (F.col("seq") < F.col("_first"))).drop("_first")
 
 
+def resumed(judged: DataFrame, start: DataFrame) -> DataFrame:
+    """Rows at or after their server's start; servers without one begin at the log's begin."""
+    at = start.select("server_id", F.col("logfile").alias("_file"), F.col("pos").alias("_pos"))
+    here = P.position_key(F.col("logfile"), F.col("logfile_offset"))
+    return judged.join(at, "server_id", "left").filter(
+        F.col("_file").isNull() | (here >= P.position_key(F.col("_file"), F.col("_pos")))
+    ).drop("_file", "_pos")
+
+
+def continued(passing: DataFrame, start: DataFrame, width: int) -> DataFrame:
+    """Numbered entries, each server continuing at its start's ids."""
+    ids = start.select(
+        "server_id", F.col("batch_id").alias("_b0"), F.col("in_id").alias("_i0"))
+    zero = F.lit(0).cast("bigint")
+    return Q.assign_batch_ids(
+        passing.join(ids, "server_id", "left"), F.coalesce("_b0", zero), F.coalesce("_i0", zero),
+        width).drop("_b0", "_i0")
+
+
 def second_filter(entries: DataFrame, allow: Sequence[str], markers: str = "drop") -> DataFrame:
     """The filter on entries.
 
@@ -168,20 +189,32 @@ def track_changes(
     raw: DataFrame, cells: DataFrame, meta: DataFrame, allow: Sequence[str], *,
     topic: str = "changes", markers: str = "keep", batch0: int = 0, in0: int = 0,
     max_bytes: int = Q.SEND_BYTES, max_rows: int = Q.SEND_ROWS, width: int = DEFAULT_WIDTH,
-    charset: str = "UTF-8", skip_errors: bool = False, **options,
+    charset: str = "UTF-8", skip_errors: bool = False, checkpoints: DataFrame | None = None,
+    **options,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Raw log to numbered, packed messages, the checkpoint to confirm after them, and the events
     rejected (unknown table id, DDL without a table, no or too narrow metadata).
 
     The checkpoint of a server stays at the last commit before its first rejected event, unless
     ``skip_errors``. An entry rejected for its metadata keeps its number, so numbers do not
-    change when it goes through later. Entries and finished message values are each written once:
+    change when it goes through later. With ``checkpoints`` (server_id, logfile, pos, batch_id,
+    in_id, as a run returns them) each server goes on from its own; ``raw`` may begin earlier,
+    and table maps before the position still count. Entries and finished message values are each written once:
     both have several readers, and context must not be attached again for each of them.
     """
-    judged = written(judged_entries(raw, allow, width=width, **options), "entries")
+    judged = judged_entries(raw, allow, width=width, **options)
+    if checkpoints is not None:
+        # One row a server, written so that its measured size decides how it is joined.
+        start = written(checkpoints.select(
+            "server_id", "logfile", "pos", "batch_id", "in_id"), "start")
+        judged = resumed(judged, start)
+    judged = written(judged, "entries")
     entries = judged.filter(F.col("reason").isNull()).drop("reason")
     passing = second_filter(entries, allow, markers)
-    kept = Q.assign_batch_ids(passing, batch0, in0, width)
+    if checkpoints is None:
+        kept = Q.assign_batch_ids(passing, batch0, in0, width)
+    else:
+        kept = continued(passing, start, width)
     full = kept.join(row_bodies(passing, cells, meta, charset), E.EVENT_KEY, "left")
     value_columns = [*ENTRY_FIELDS, "batch_id", "in_id", "row_datas"]
     out = written(publish_changes(full, topic, value_columns, keep=(

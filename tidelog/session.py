@@ -13,6 +13,8 @@ SETTINGS = {
     # the JVM's charsets, replacing what is malformed.
     "spark.sql.legacy.javaCharsets": "true",
     "spark.sql.legacy.codingErrorAction": "true",
+    # Rows placed by (server, range) also serve a join on (server, range, more).
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }

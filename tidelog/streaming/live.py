@@ -152,13 +152,9 @@ def track_batch(
     judged = H.written(H.judged_entries(log, allow, width=width), "live")
     entries = judged.filter(F.col("reason").isNull()).drop("reason")
     passing = H.second_filter(entries, allow, markers)
-    ids = before.filter(F.col("type_code") == S.ROTATE).select(
-        "server_id", F.col("next_batch_id").alias("_b0"), F.col("next_in_id").alias("_i0"))
-    zero = F.lit(0).cast("bigint")
-    kept = H.Q.assign_batch_ids(
-        passing.join(ids, "server_id", "left"),
-        F.coalesce("_b0", zero), F.coalesce("_i0", zero), width,
-    ).drop("_b0", "_i0")
+    kept = H.continued(passing, before.filter(F.col("type_code") == S.ROTATE).select(
+        "server_id", F.col("next_batch_id").alias("batch_id"),
+        F.col("next_in_id").alias("in_id")), width)
     full = kept.join(H.row_bodies(passing, cells_of(batch), meta), E.EVENT_KEY, "left")
     columns = [*H.ENTRY_FIELDS, "batch_id", "in_id", "row_datas"]
     out = H.written(publish_changes(full, topic, columns, keep=(
