@@ -7,9 +7,10 @@ hash and, in a hash, by document; equal neighbours are compared byte by byte, an
 that also starts in a smaller document is reported. Reports meet the texts once more.
 
 Skew: a minimiser of very many windows is found beforehand by a fixed-size count over all documents;
-its windows travel one by one, each to the bucket of its own hash. Of equal strings in a batch of
-documents only those of the smallest document travel, the others are already decided, so a
-bucket gets a repeated passage once per batch, not once per document.
+its its windows travel one by one, each to the bucket of its own hash. Of equal strings in a chunk of
+documents only those of the smallest document travel, the others are already decided; a task also
+remembers the windows that travelled alone, so a bucket gets one of them about once per task, not
+once per document.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ GRAM = 3
 COUNTERS = 1 << 16
 #: Bytes of text handled together in a task, and of packed strings in a bucket.
 CHUNK, BUCKET = 4 << 20, 6 << 20
+#: Lone windows that a task remembers; beyond, it starts anew and more of them travel.
+REMEMBERED = 200_000
 #: Stands for a null doc_id, which is larger than all others.
 LAST = np.iinfo(np.int64).max
 
@@ -138,6 +141,7 @@ def _send(window: int, gram: int, parts: int, hot: np.ndarray):
     is_hot[hot] = True
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent_before: dict[bytes, int] = {}
         for docs, tags, texts in _chunks(batches):
             words = Words(texts)
             at = words.windows(window)
@@ -162,6 +166,15 @@ def _send(window: int, gram: int, parts: int, hot: np.ndarray):
             for s, d in zip(strings, doc.tolist()):
                 if d < smallest.setdefault(s, d):
                     smallest[s] = d
+            for k in np.flatnonzero(alone[begin]).tolist():
+                s = strings[k]
+                least = sent_before.get(s)
+                if least is None or smallest[s] < least:
+                    sent_before[s] = smallest[s]
+                else:
+                    smallest[s] = least
+            if len(sent_before) > REMEMBERED:
+                sent_before.clear()
             decided = doc > np.fromiter(map(smallest.__getitem__, strings), np.int64, len(strings))
             part = (mix(route) % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
