@@ -386,17 +386,23 @@ def near_duplicates(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT,
         roots.select(F.col("node").alias("a"), "root"), "a", "left").withColumn(
         "root", F.coalesce("root", "a"))
     large = written(large, "near_large")
-    mixed = large.groupBy("token").agg(
-        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("members"))
-    mixed = written(mixed.filter("lo < hi").drop("lo", "hi"), "near_mixed")
+    mixed = large.groupBy("token", "root").agg(F.count("*").alias("own")).groupBy("token").agg(
+        F.sum("own").alias("members"), F.max("own").alias("most"),
+        F.max_by("root", F.struct("own", "root")).alias("main"))
+    mixed = written(mixed.filter("most < members"), "near_mixed")
     if mixed.take(1):
         count = large.count()
         inside = large.join(mixed.select("token"), "token", "left_semi")
         dealt = join_groups(written(inside, "near_inside"), mixed, ["token"], "members", count)
-        blocks = F.ceil(F.col("members") / block).cast("int")
-        dealt = dealt.withColumn("k", blocks).withColumn(
-            "block", F.pmod(F.xxhash64("a"), F.col("k")).cast("int"))
-        dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("o"))
+        # The largest component's members need not meet each other: blocks 0..k-1 hold the
+        # others, which meet all, blocks k..k+m-1 hold its members, which meet the others.
+        k = F.ceil((F.col("members") - F.col("most")) / block).cast("int")
+        m = F.ceil(F.col("most") / block).cast("int")
+        inner = F.col("root") == F.col("main")
+        dealt = dealt.withColumn("block", F.when(inner, k + F.pmod(F.xxhash64("a"), m)).otherwise(
+            F.pmod(F.xxhash64("a"), k)).cast("int"))
+        dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.when(inner, k - 1).otherwise(
+            k + m - 1))).alias("o"))
         dealt = dealt.withColumn("i", F.least("block", "o")).withColumn(
             "j", F.greatest("block", "o")).join(
             classes.select(F.col("cls").alias("a"), "profile"), "a")
