@@ -29,27 +29,28 @@ def explode_rows(log: Log):
 
 
 @register("pair_update_images", sql("""
-, im as (select server_id, seq, row_idx, image, max(raw_long) filter (ordinal = 3) small from cells group by all),
+, im as (select server_id, seq * 10 + ordinal seq, row_idx, image, coalesce(cast(raw_long as varchar), raw_str) v from cells),
 n as (select *, row_number() over (partition by server_id, seq order by row_idx, image desc) - 1 i from im)
-select server_id, seq, cast(i // 2 as bigint) row_idx, max(small) filter (i % 2 = 0) before_small,
- max(small) filter (i % 2 = 1) after_small, max(image) filter (i % 2 = 1) is not null paired
+select server_id, seq, cast(i // 2 as bigint) row_idx, max(v) filter (i % 2 = 0) before_value,
+ max(v) filter (i % 2 = 1) after_value, max(image) filter (i % 2 = 1) is not null paired
 from n group by server_id, seq, i // 2""", "cells"))
 def pair_update_images(log: Log):
-    # Every event's images in wire order, as an update event would carry them.
-    kinds = F.col("n_images") == 2
-    small = log.cells.filter(F.col("ordinal") == 3)
-    per_row = small.groupBy("server_id", "seq", "row_idx").agg(
+    # Every event's images in wire order, as an update event would carry them, column by column.
+    cells = log.cells.withColumns({
+        "seq": F.col("seq") * 10 + F.col("ordinal"),
+        "v": F.coalesce(F.col("raw_long").cast("string"), "raw_str")})
+    per_row = cells.groupBy("server_id", "seq", "row_idx").agg(
         F.count(F.lit(1)).alias("n_images"),
-        F.max(F.when(F.col("image") == "B", F.col("raw_long"))).alias("b"),
-        F.max(F.when(F.col("image") == "A", F.col("raw_long"))).alias("a"))
-    two = F.array(F.struct((F.col("row_idx") * 2).alias("image_idx"), F.col("b").alias("small")),
-                  F.struct((F.col("row_idx") * 2 + 1).alias("image_idx"), F.col("a").alias("small")))
-    one = F.array(F.struct(F.col("row_idx").alias("image_idx"), F.coalesce("a", "b").alias("small")))
+        F.max(F.when(F.col("image") == "B", F.col("v"))).alias("b"),
+        F.max(F.when(F.col("image") == "A", F.col("v"))).alias("a"))
+    two = F.array(F.struct((F.col("row_idx") * 2).alias("image_idx"), F.col("b").alias("v")),
+                  F.struct((F.col("row_idx") * 2 + 1).alias("image_idx"), F.col("a").alias("v")))
+    one = F.array(F.struct(F.col("row_idx").alias("image_idx"), F.coalesce("a", "b").alias("v")))
     images = per_row.select(
-        "server_id", "seq", F.inline(F.when(kinds, two).otherwise(one)))
+        "server_id", "seq", F.inline(F.when(F.col("n_images") == 2, two).otherwise(one)))
     return E.pair_update_images(images).select(
-        "server_id", "seq", *_big("row_idx"), F.col("before.small").alias("before_small"),
-        F.col("after.small").alias("after_small"), F.col("after").isNotNull().alias("paired"))
+        "server_id", "seq", *_big("row_idx"), F.col("before.v").alias("before_value"),
+        F.col("after.v").alias("after_value"), F.col("after").isNotNull().alias("paired"))
 
 
 @register("explode_columns", sql(f"""
@@ -68,9 +69,11 @@ def enrich_columns(log: Log):
 
 
 @register("widen_unsigned", sql(f"""
-select {_KEY}, cast(sql_type as bigint) sql_type, value from rendered where ordinal in (0, 3)""", "rendered"))
+select {_KEY}, cast(case when ordinal = 4 then -4 else sql_type end as bigint) sql_type,
+ case when ordinal in (0, 3) then value else cast(raw_long as varchar) end as value from rendered""", "rendered"))
 def widen_unsigned(log: Log):
-    cells = E.enrich_columns(log.owned, log.meta_now).filter(F.col("ordinal").isin(0, 3))
+    # Columns that are not integers keep their type and number.
+    cells = E.enrich_columns(log.owned, log.meta_now)
     base = V.sql_type_code(F.col("mysql_type"), F.col("meta"), F.lit(False))
     wide = V.widen_unsigned(F.col("raw_long"), F.col("byte_len"), base, F.col("is_unsigned"))
     return cells.withColumn("w", wide).select(
@@ -83,6 +86,76 @@ def render_cells(log: Log):
     return log.rendered.select(*_KEY.split(", "), *_big("sql_type"), "value")
 
 
+# One cell per event, its type each wire type in turn and its raw value as that type is sent.
+_Y, _M, _D, _H, _MI = "(2000 + k % 30)", "(1 + k % 12)", "(1 + k % 28)", "(k % 24)", "(k % 60)"
+_DATE = f"{_Y}, {_M}, {_D}"
+_BYTES = {"TINY": 1, "SHORT": 2, "INT24": 3, "LONG": 4, "LONGLONG": 8}
+_RAW_LONG = {
+    "DATETIME": f"{_Y} * 10000000000 + {_M} * 100000000 + {_D} * 1000000 + {_H} * 10000 + {_MI} * 101",
+    "DATETIME2": f"({_Y} * 13 + {_M}) * 4194304 + {_D} * 131072 + {_H} * 4096 + {_MI} * 65",
+    "TIMESTAMP": "1600000000 + k", "TIMESTAMP2": "1600000000 + k",
+    "DATE": f"{_Y} * 512 + {_M} * 32 + {_D}", "NEWDATE": "k + 1", "YEAR": "1 + k % 200",
+    "TIME": f"-({_H} * 10000 + {_MI} * 101) - 10000", "TIME2": f"-({_H} * 4096 + {_MI} * 65) - 4096",
+    "ENUM": "k % 5", **{t: "-1 - k % 100" for t in _BYTES},
+}
+_RAW_TEXT = {t: "'t' || k" for t in ("VARCHAR", "VAR_STRING", "STRING", "SET")} | {
+    "NEWDECIMAL": "k || '.50'", "DECIMAL": "k || '.5'"}
+_BINARY = ("TINY_BLOB", "MEDIUM_BLOB", "LONG_BLOB", "BLOB", "GEOMETRY")
+
+
+def _case(values: dict) -> str:
+    return "case t " + " ".join(f"when {S.WIRE[n]} then {v}" for n, v in values.items()) + " end"
+
+
+_TEXT_SQL = {
+    **{t: f"cast(case when u then (-1 - k % 100)::hugeint + (1::hugeint << {8 * b}) else -1 - k % 100 end as varchar)"
+       for t, b in _BYTES.items()},
+    "DATETIME": f"printf('%04d-%02d-%02d %02d:%02d:%02d', {_DATE}, {_H}, {_MI}, {_MI})",
+    "DATETIME2": f"printf('%04d-%02d-%02d %02d:%02d:%02d', {_DATE}, {_H}, {_MI}, {_MI})",
+    **{t: "strftime(make_timestamp((1600000000 + k) * 1000000), '%Y-%m-%d %H:%M:%S')"
+       for t in ("TIMESTAMP", "TIMESTAMP2")},
+    "DATE": f"printf('%04d-%02d-%02d', {_DATE})", "NEWDATE": "cast(k + 1 as varchar)",
+    "YEAR": "cast(1901 + k % 200 as varchar)",
+    "TIME": f"printf('-%02d:%02d:%02d', {_H} + 1, {_MI}, {_MI})",
+    "TIME2": f"printf('-%02d:%02d:%02d', {_H} + 1, {_MI}, {_MI})",
+    "ENUM": "cast(k % 5 as varchar)", "BIT": "cast(256 + k % 60000 as varchar)",
+    "FLOAT": "cast((k % 1000) / 4.0 as varchar)", "DOUBLE": "cast((k % 1000) / 4.0 as varchar)",
+    **{t: f"cast({v} as varchar)" for t, v in _RAW_TEXT.items()}, **{t: "'b' || k" for t in _BINARY},
+}
+_CODE_SQL = {
+    "TINY": "case when u then 5 else -6 end", "SHORT": "case when u then 4 else 5 end",
+    "INT24": "4", "LONG": "case when u then -5 else 4 end", "LONGLONG": "case when u then 3 else -5 end",
+    "DATETIME": 93, "DATETIME2": 93, "TIMESTAMP": 93, "TIMESTAMP2": 93, "DATE": 91, "NEWDATE": 91,
+    "YEAR": 12, "TIME": 92, "TIME2": 92, "ENUM": 4, "BIT": -7, "FLOAT": 7, "DOUBLE": 8, "VARCHAR": 12,
+    "VAR_STRING": 12, "STRING": 1, "NEWDECIMAL": 3, "DECIMAL": 3, "SET": 2004,
+    **{t: "case when u then 2005 else 2004 end" for t in _BINARY},
+}
+_WIRE_LIST = "[" + ",".join(map(str, S.WIRE.values())) + "]"
+
+
+@register("render_every_type", f"""
+with c as (select event_id k, {_WIRE_LIST}[event_id % {len(S.WIRE)} + 1] t, (event_id // {len(S.WIRE)}) % 2 = 1 u from events)
+select k, cast(t as bigint) t, cast({_case(_CODE_SQL)} as bigint) sql_type, {_case(_TEXT_SQL)} as value from c""")
+def render_every_type(log: Log):
+    """All wire types through the renderer: unsigned or text columns at every other turn."""
+    n = len(S.WIRE)
+    cells = log.table("events").select(
+        F.col("event_id").alias("k"),
+        F.get(F.array(*map(F.lit, S.WIRE.values())), (F.col("event_id") % n).cast("int")).alias("t"),
+        ((F.call_function("div", F.col("event_id"), F.lit(n).cast("bigint")) % 2) == 1).alias("u"))
+    text = _case(_RAW_TEXT | {t: "'b' || k" for t in _BINARY})
+    cells = cells.selectExpr(
+        "k", "t", "u", "t mysql_type", "case when t = 15 then 48 when t = 252 then 2 else 0 end meta",
+        f"cast(coalesce({_case(_BYTES)}, 0) as int) byte_len",
+        f"cast({_case(_RAW_LONG)} as bigint) raw_long",
+        f"case when t not in ({', '.join(str(S.WIRE[t]) for t in _BINARY)}) then {text} end raw_str",
+        f"case when t = {S.WIRE['BIT']} then unhex(lpad(hex(256 + k % 60000), 4, '0')) "
+        f"when t in ({', '.join(str(S.WIRE[t]) for t in _BINARY)}) then cast({text} as binary) end raw_bin",
+        f"case when t in ({S.WIRE['FLOAT']}, {S.WIRE['DOUBLE']}) then (k % 1000) / 4.0d end raw_double",
+        "u is_unsigned", f"u and t <> {S.WIRE['SET']} is_text", "false is_binary")
+    return E.render_cells(cells, tz="UTC").select("k", *_big("t", "sql_type"), "value")
+
+
 @register("decode_text_blob", """
 select doc_id, case when doc_id % 3 = 0 then 2004 else 2005 end::bigint sql_type,
  case when doc_id % 3 = 0 then null else md5(text || chr(65533)) end text_md5,

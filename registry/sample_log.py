@@ -146,6 +146,7 @@ def cell_table(events: DataFrame) -> DataFrame:
                           .cast("decimal(10,2)").cast("string"))
                     .when(o == 4, F.col("props")),
         "raw_bin": F.lit(None),
+        "raw_double": F.lit(None),
     }
     return g.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in S.CELL.fields])
 

@@ -106,3 +106,12 @@ def test_column_check_has_no_join_on_the_table(spark):
     got = {(r.seq, r.db): (r.check, r.error) for r in out.collect()}
     assert got == {(5, "a"): ("reloaded", None), (9, "a"): (
         "error", "column size is not match for table:a.t,4 vs 3")}
+
+
+def test_timestamps_in_the_jobs_zone(spark):
+    df = spark.createDataFrame([(1_600_000_000, 120_000)], "s bigint, u bigint")
+    got = df.select(
+        V.render_timestamp(F.col("s")), V.render_timestamp(F.col("s"), "Asia/Shanghai"),
+        V.render_timestamp2(F.col("s"), F.col("u"), F.lit(3), "America/New_York")).first()
+    assert tuple(got) == (
+        "2020-09-13 12:26:40", "2020-09-13 20:26:40", "2020-09-13 08:26:40.120")

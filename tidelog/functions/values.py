@@ -177,15 +177,20 @@ def render_time2(packed: Column) -> Column:
     return F.when(packed == 0, ZERO_TIME).otherwise(_time_text(time2_number(packed)))
 
 
-def render_timestamp(seconds: Column) -> Column:
-    """Epoch seconds in the session time zone."""
-    text = F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd HH:mm:ss")
+def render_timestamp(seconds: Column, tz: str | None = None) -> Column:
+    """Epoch seconds in the time zone ``tz``, by default the session's."""
+    at = F.timestamp_seconds(seconds)
+    if tz is not None:
+        at = F.convert_timezone(None, F.lit(tz), at.cast("timestamp_ntz"))
+    text = F.date_format(at, "yyyy-MM-dd HH:mm:ss")
     return F.when(seconds == 0, ZERO_DATETIME).otherwise(text)
 
 
-def render_timestamp2(seconds: Column, micros: Column, fsp: Column | None = None) -> Column:
+def render_timestamp2(
+    seconds: Column, micros: Column, fsp: Column | None = None, tz: str | None = None
+) -> Column:
     """Epoch seconds, with ``fsp`` fraction digits when asked for."""
-    text = render_timestamp(seconds)
+    text = render_timestamp(seconds, tz)
     if fsp is None:
         return text
     fraction = F.substring(F.lpad(micros.cast("string"), 6, "0"), F.lit(1), fsp)

@@ -138,10 +138,13 @@ def version_widths(versions: DataFrame, meta: DataFrame) -> DataFrame:
     return spans.join(here, keys).join(after, keys, "left")
 
 
-def render_cells(cells: DataFrame, charset: str = "UTF-8") -> DataFrame:
-    """Text value and JDBC type of each enriched cell."""
+def render_cells(
+    cells: DataFrame, charset: str = "UTF-8", tz: str | None = None
+) -> DataFrame:
+    """Text value and JDBC type of each enriched cell; ``tz`` is the zone of timestamps."""
     w = S.WIRE
     raw, text, data = F.col("raw_long"), F.col("raw_str"), F.col("raw_bin")
+    number = F.col("raw_double")
     kind, base = F.col("_kind"), F.col("_base")
     staged = cells.withColumn(
         "_kind", V.effective_type(F.col("mysql_type"), F.col("meta"))
@@ -155,7 +158,9 @@ def render_cells(cells: DataFrame, charset: str = "UTF-8") -> DataFrame:
         .when(kind == w["NEWDECIMAL"], V.render_decimal(text))
         .when(kind.isin(w["DATETIME"], w["DATETIME2"]), V.render_datetime(
             F.when(kind == w["DATETIME"], raw).otherwise(V.datetime2_number(raw))))
-        .when(kind.isin(w["TIMESTAMP"], w["TIMESTAMP2"]), V.render_timestamp(raw))
+        .when(kind.isin(w["TIMESTAMP"], w["TIMESTAMP2"]), V.render_timestamp(raw, tz))
+        .when(kind == w["FLOAT"], F.coalesce(number.cast("float").cast("string"), text))
+        .when(kind == w["DOUBLE"], F.coalesce(number.cast("string"), text))
         .when(kind == w["DATE"], V.render_date(raw))
         .when(kind.isin(w["TIME"], w["TIME2"]), V.render_time(
             F.when(kind == w["TIME"], raw).otherwise(V.time2_number(raw))))
@@ -163,7 +168,7 @@ def render_cells(cells: DataFrame, charset: str = "UTF-8") -> DataFrame:
         .when(kind == w["BIT"], V.render_bit(data))
         .otherwise(F.coalesce(text, raw.cast("string")))
     )
-    present = F.coalesce(raw.isNotNull() | text.isNotNull() | data.isNotNull(), F.lit(False))
+    present = F.coalesce(raw.isNotNull() | text.isNotNull() | data.isNotNull() | number.isNotNull(), F.lit(False))
     code = (
         F.when(~present, base).when(is_int, wide["sql_type"])
         .when(is_bytes, decoded["sql_type"]).otherwise(base)

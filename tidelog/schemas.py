@@ -77,7 +77,7 @@ JDBC = {
 
 _TYPES = {
     "int": T.IntegerType(), "bigint": T.LongType(), "string": T.StringType(),
-    "timestamp": T.TimestampType(), "boolean": T.BooleanType(), "binary": T.BinaryType(),
+    "timestamp": T.TimestampType(), "boolean": T.BooleanType(), "binary": T.BinaryType(), "double": T.DoubleType(),
 }
 
 
@@ -95,7 +95,7 @@ RAW_EVENT = _table(
 )
 CELL = _table(
     "server_id bigint, seq bigint, row_idx int, image string, ordinal int, mysql_type int, "
-    "meta int, byte_len int, raw_long bigint, raw_str string, raw_bin binary"
+    "meta int, byte_len int, raw_long bigint, raw_str string, raw_bin binary, raw_double double"
 )
 TABLE_META = _table(
     "db string, tbl string, version int, ordinal int, name string, column_type string, "
