@@ -99,6 +99,7 @@ select * exclude (m), m.db db, m.tbl tbl, case when m is null and type_code <> 1
     "rows_ok": (("resolved",), """
 select *, case when type_code in (23,30) then 'INSERT' when type_code in (24,31) then 'UPDATE' else 'DELETE' end kind
 from resolved where table_error is null"""),
+    # --- Fixed values: the statement patterns, as in tidelog/functions/text.py ---
     "stmt1": (("logfiles",), r"""
 select *, regexp_replace(query, '/\*(?:/|.*?\*/)', ' ', 'gs') clean from logfiles
 where type_code = 2 and not (upper(query) like '%BEGIN' or upper(query) like '%COMMIT')"""),
@@ -125,6 +126,7 @@ select *, case kind
  when 'DINDEX' then regexp_extract(clean, '^\s*DROP\s*INDEX\s*(.*?)\s*ON\s*(.*?)$', 2, 'is') end t_text,
  case kind when 'RENAME' then regexp_extract(clean, '^\s*RENAME\s*TABLE\s*(.*?)\s*TO\s*(.*?)$', 1, 'is') end o_text
 from stmt2"""),
+    # --- End of fixed values ----------------------------------------------------
     "stmt4": (("stmt3",), r"""
 select *, string_split(regexp_replace(regexp_replace(trim(regexp_replace(regexp_replace(
   regexp_extract(t_text || ' ', '^(?:IF\s*NOT\s*EXISTS\s*)?(?:IF\s*EXISTS\s*)?(.+?[;(\s])', 1, 'is'), ';$', ''), '\($', ''), ' ' || chr(9) || chr(10) || chr(13)),

@@ -291,6 +291,7 @@ _MONITOR_SQL = """
  from logfiles group by 1, 2), k as (select *, cast(20000 + seq % 6 as bigint) message_id from w)"""
 
 
+# Message ids and field names of the envelope, as in tidelog/operators/monitor.py.
 @register("monitor_messages", sql(_MONITOR_SQL + """
 , c as (select *, case message_id when 20001 then to_json({'FETCH_ROWS': n, 'FETCH_SIZE': b, 'DELAY_NUM': 1.5::double})
  when 20002 then to_json({'SEND_ROWS': n, 'SEND_SIZE': b, 'SEND_TIME': 3, 'DELAY_TIME': seq})

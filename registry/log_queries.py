@@ -101,11 +101,11 @@ def event_trace(log: Log):
 
 @register("strip_comments", sql(r"""
 select seq as id, regexp_replace(query, '/\*(?:/|.*?\*/)', ' ', 'gs') clean from raw where type_code = 2
-union all select -1 - item_id, regexp_replace('/* ' || text || ' */' || text, '/\*(?:/|.*?\*/)', ' ', 'gs')
-from benchmark""", "raw"))
+union all select -1 - doc_id, regexp_replace('/* ' || text || ' */' || text, '/\*(?:/|.*?\*/)', ' ', 'gs')
+from documents""", "raw"))
 def strip_comments(log: Log):
     wrapped = F.concat(F.lit("/* "), F.col("text"), F.lit(" */"), F.col("text"))
-    texts = log.table("benchmark").select((-1 - F.col("item_id")).alias("id"), wrapped.alias("q"))
+    texts = log.table("documents").select((-1 - F.col("doc_id")).alias("id"), wrapped.alias("q"))
     queries = log.raw.filter(F.col("type_code") == S.QUERY).select(
         F.col("seq").alias("id"), F.col("query").alias("q"))
     return queries.unionByName(texts).select("id", X.strip_comments(F.col("q")).alias("clean"))

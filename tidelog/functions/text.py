@@ -103,9 +103,8 @@ def rename_endpoints(query: Column, default_db: Column) -> Column:
 
 
 def pattern_list(patterns: str) -> str:
-    """Comma list of patterns as one anchored alternation, longest first."""
-    items = sorted((p for p in patterns.split(",") if p), key=len, reverse=True)
-    return "|".join(f"^{p}$" for p in items)
+    """Comma list of patterns as one alternation."""
+    return "|".join(f"(?:{p})" for p in patterns.split(",") if p)
 
 
 def matches_any(name: Column, patterns: str | None = None) -> Column:
