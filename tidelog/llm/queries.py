@@ -10,6 +10,7 @@ import corpus_pipeline
 from tidelog.llm import (
     decontamination, exact_dedup, jaccard_join, license_scan, packing, pii, sharding, substring_dedup,
     toxicity, url_filter)
+from tidelog.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -21,7 +22,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def register(name: str, oracle: str | None = None):
     def add(run: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = run
+        def shipped(spark: SparkSession, folder: str) -> DataFrame:
+            ship(spark)
+            return run(spark, folder)
+
+        QUERIES[name] = shipped
         if oracle is not None:
             ORACLE[name] = oracle
         return run
