@@ -36,7 +36,7 @@ BUCKET, SPLIT = 600_000, 300_000
 #: Members of a prefix group compared all with all, pivots of a larger one, members of a block.
 SMALL, PIVOTS, BLOCK = 24, 4, 2048
 #: Hash ranges of the suffix filter.
-RANGES = 32
+RANGES = 256
 
 _SALT = np.uint64(0xA24BAED4963EE407)
 
@@ -65,8 +65,8 @@ def _name(high: int, low: int) -> bytes:
 
 def _profile(shingles: np.ndarray) -> bytes:
     """Counts over hash ranges; empty, which passes all, if one is too large to store."""
-    counts = np.bincount((shingles >> np.uint64(59)).astype(np.int64), minlength=RANGES)
-    return counts.astype(np.uint16).tobytes() if counts.max(initial=0) < 65536 else b""
+    counts = np.bincount((shingles >> np.uint64(56)).astype(np.int64), minlength=RANGES)
+    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
 
 
 def _describe(gram: int):
@@ -222,11 +222,21 @@ def _candidates(percent: int, small: int):
     return over
 
 
-def _profiles(column) -> np.ndarray:
-    """Profiles as rows; a missing one bounds nothing."""
-    full = np.full(RANGES, 1 << 40, np.int64)
-    return np.stack([np.frombuffer(p, np.uint16).astype(np.int64) if p else full
-                     for p in column.to_pylist()]) if len(column) else np.empty((0, RANGES))
+def _profiles(column) -> tuple[np.ndarray, np.ndarray]:
+    """Profiles as rows, and which are missing."""
+    blobs = column.to_pylist()
+    missing = np.array([not p for p in blobs], bool)
+    rows = np.frombuffer(b"".join(p or bytes(RANGES) for p in blobs), np.uint8)
+    return rows.reshape(-1, RANGES), missing
+
+
+def _may_link(x: np.ndarray, y: np.ndarray, missing: np.ndarray, n: np.ndarray,
+              percent: int) -> np.ndarray:
+    """Suffix filter: the overlap of two sets is at most that of their counts in each range.
+
+    n: the sum of their sizes. Sets without a profile pass."""
+    bound = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+    return missing | (bound * (100 + percent) >= percent * n)
 
 
 def _suffix(percent: int):
@@ -234,10 +244,9 @@ def _suffix(percent: int):
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
-            bound = np.minimum(_profiles(batch.column("pa")), _profiles(batch.column("pb"))).sum(
-                axis=1)
-            keep = pa.array(bound * (100 + percent) >= percent * (na + nb), pa.bool_())
-            yield batch.select(["a", "b"]).filter(keep)
+            (x, no_x), (y, no_y) = _profiles(batch.column("pa")), _profiles(batch.column("pb"))
+            keep = _may_link(x, y, no_x | no_y, na + nb, percent)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return over
 
 
@@ -252,7 +261,7 @@ def _across(percent: int):
         numbers = {r: k for k, r in enumerate(dict.fromkeys(root))}
         root = np.array([numbers[r] for r in root])
         n, rest = table.column("n").to_numpy(), table.column("rest").to_numpy()
-        profile = _profiles(table.column("profile"))
+        profile, missing = _profiles(table.column("profile"))
         mine = np.flatnonzero(block == i)
         theirs = np.flatnonzero(block == j)
         out = []
@@ -260,8 +269,8 @@ def _across(percent: int):
             ys = theirs[k + 1:] if i == j else theirs
             ys = ys[(root[ys] != root[x]) & _close(n[x], n[ys], rest[x], rest[ys], percent)]
             if len(ys):
-                bound = np.minimum(profile[x], profile[ys]).sum(axis=1)
-                ys = ys[bound * (100 + percent) >= percent * (n[x] + n[ys])]
+                ys = ys[_may_link(profile[x], profile[ys], missing[x] | missing[ys],
+                                  n[x] + n[ys], percent)]
                 out += [(min(names[x], names[y]), max(names[x], names[y])) for y in ys.tolist()]
         a, b = zip(*out) if out else ((), ())
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
