@@ -97,16 +97,21 @@ def _hash_words(words: list[str]) -> np.ndarray:
 
 
 def _strength(texts: list[str], weight: np.ndarray):
-    """Distinct features, texts that have them, toxic ones among these, and the z value of that
-    share against the sample's."""
+    """Features of three texts or more, the texts that have them, the toxic ones among these, and
+    the z value of that share against the sample's."""
     count = len(texts)
     each = [np.unique(features([t])[1]) for t in texts]
-    own, h = np.repeat(np.arange(count), [len(x) for x in each]), np.concatenate(each)
-    del each
-    names, at = np.unique(h, return_inverse=True)
-    docs = np.bincount(at, minlength=len(names)).astype(float)
-    bad = np.bincount(at, weights=weight[own], minlength=len(names))
     share = min(max(weight.sum() / max(count, 1), 1e-3), 1 - 1e-3)
+    out = []
+    for part in range(16):  # a sixteenth of the features at a time is sorted
+        some = [x[(x & np.uint64(15)) == part] for x in each]
+        own = np.repeat(np.arange(count), [len(x) for x in some])
+        names, at = np.unique(np.concatenate(some), return_inverse=True)
+        docs = np.bincount(at, minlength=len(names)).astype(float)
+        bad = np.bincount(at, weights=weight[own], minlength=len(names))
+        often = docs >= 3
+        out.append((names[often], docs[often], bad[often]))
+    names, docs, bad = (np.concatenate(x) for x in zip(*out))
     z = (bad - share * docs) / np.sqrt(share * (1 - share) * docs)
     return names, docs, bad, z
 
