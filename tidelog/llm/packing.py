@@ -21,7 +21,7 @@ LIMIT = 2048
 #: Closes every document.
 END = 1
 #: Distinct pieces of text whose ids a worker keeps; it starts anew beyond.
-CACHE = 1_500_000
+CACHE = 800_000
 #: Characters of the texts whose new pieces are encoded together.
 GROUP_CHARS = 2_000_000
 SPECIAL = "<|endoftext|>"
