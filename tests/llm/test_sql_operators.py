@@ -38,7 +38,7 @@ def test_hot_minimisers(spark, same):
     """A passage in most documents: its windows travel alone, each by its own hash."""
     passage = " ".join(f"p{k}" for k in range(40))
     rows = [(k, f"a{k} b{k} {passage} c{k} d{k} " + " ".join(f"{k}x{j}" for j in range(30)))
-            for k in range(400)]
+            for k in range(1200)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
     same(substring_dedup.remove_repeats(df), substring_dedup.ORACLE, documents=df)
 
@@ -69,3 +69,23 @@ def test_urls(spark, same):
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
     same(url_filter.filter_urls(pages), url_filter.ORACLE, pages=pages)
     assert url_filter.filter_urls(pages.filter("false")).collect() == []
+
+
+def test_very_long_text(spark):
+    """A text of 120,000 words is taken whole."""
+    words = [f"w{k}" for k in range(60_000)]
+    text = " ".join(words + words)
+    df = spark.createDataFrame([(1, " ".join(words)), (2, text), (3, text)],
+                               "doc_id bigint, text string")
+    cut = {r.doc_id: r for r in substring_dedup.remove_repeats(df).collect()}
+    assert (cut[1].n_removed, cut[2].n_words, cut[3].n_removed) == (0, 120_000, 120_000)
+    # The windows that join the halves are new, but others cover their words.
+    assert cut[2].n_removed == 120_000
+    near = {r.doc_id: r for r in jaccard_join.join_near(df).collect()}
+    assert near[3].component_id == near[2].component_id == near[1].component_id == 1
+    assert near[1].n_shingles == 59_996 and near[2].n_shingles == 60_000
+    bench = spark.createDataFrame([(9, " ".join(words[59_990:] + words[:5]))],
+                                  "item_id bigint, text string")
+    hits = {r.doc_id: r.n_hit for r in decontamination.decontaminate(df, bench).collect()}
+    assert hits == {1: 10, 2: 25, 3: 25}
+    assert all(r.n_words >= 60_000 for r in license_scan.scan_licenses(df).collect())
