@@ -144,7 +144,8 @@ def render_cells(
     """Text value and JDBC type of each enriched cell; ``tz`` is the zone of timestamps."""
     w = S.WIRE
     raw, text, data = F.col("raw_long"), F.col("raw_str"), F.col("raw_bin")
-    number = F.col("raw_double")
+    # Logs without floating point columns may leave the cell's number out.
+    number = F.col("raw_double") if "raw_double" in cells.columns else F.lit(None).cast("double")
     kind, base = F.col("_kind"), F.col("_base")
     staged = cells.withColumn(
         "_kind", V.effective_type(F.col("mysql_type"), F.col("meta"))
