@@ -102,8 +102,7 @@ def check_column_count(
     start = F.lit(-(1 << 62))
     begins = versions.select(
         *by, F.coalesce("valid_from", start).alias("seq"),
-        F.struct("interval", "version", "valid_from", "valid_to", "meta_width", "next_width")
-        .alias("_begin"))
+        F.struct(*[c for c in versions.columns if c not in by]).alias("_begin"))
     both = widths.unionByName(begins, allowMissingColumns=True)
     placed = latest(both, by, "seq", {"_v": F.col("_begin")}, width=width).filter(
         F.col("width").isNotNull() & F.col("_v").isNotNull())
