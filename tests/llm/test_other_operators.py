@@ -228,6 +228,27 @@ def test_toxicity_edge_cases(spark, edge, empty):
     assert toxicity.drop_toxic(edge, labels).columns == edge.columns
 
 
+def test_toxicity_sample_is_of_distinct_documents(spark, monkeypatch):
+    """One doc_id repeated more often than the sample is large takes one place in it."""
+    monkeypatch.setattr(toxicity, "SAMPLE", 40)
+    rows = [(0, f"calm evening {k % 3}") for k in range(400)]
+    rows += [(k, f"vile brute number n{k}" if k % 2 else f"kind letter number n{k}")
+             for k in range(1, 30)]
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(30)],
+                                   "doc_id bigint, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, target: seen.append(
+        (texts, target.tolist())) or toxicity.Linear(
+            toxicity.Lookup(np.empty(0, np.uint64)), np.empty(0), 0.0))
+    for order in (rows, rows[::-1]):
+        toxicity.fit(spark.createDataFrame(order, "doc_id bigint, text string").coalesce(1), labels)
+    known = [k for k in range(30) if zlib.crc32(b"%d" % k) % 4 != 2]
+    texts = seen[0][0]
+    assert sum(t.startswith("calm") for t in texts) == (0 in known)
+    assert {t for t in texts} >= {t for k, t in rows if k in known and k}
+    assert seen[0] == seen[1]
+
+
 def words_of(text, pattern=r"[^\x20\x09-\x0D]+"):
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     return re.findall(pattern, (text or "").translate(low))

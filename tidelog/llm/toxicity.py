@@ -256,6 +256,16 @@ def _map(run, name: str, kind: pa.DataType):
     return over
 
 
+def _one_each(rows: DataFrame, ids: DataFrame) -> list:
+    """The ids' documents by doc_id, one for each id: of repeated ones that of the least hash.
+
+    Copies are reduced before they are shuffled; there are SAMPLE rows at most.
+    """
+    least = F.min(F.struct(F.xxhash64("text"), "text"))["text"]
+    return sorted(rows.join(F.broadcast(ids), "doc_id").groupBy(*ids.columns).agg(
+        least.alias("text")).collect(), key=lambda r: r.doc_id)
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Linear:
     """Voters, label model and classifier, from all documents and the labelled sample."""
     spark = docs.sparkSession
@@ -267,9 +277,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Linear:
     some = spark.createDataFrame(
         known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).collect(),
         "doc_id bigint, toxic int")
-    sample = rows.join(F.broadcast(some), "doc_id").select("doc_id", "text", "toxic").limit(
-        2 * SAMPLE).collect()
-    sample.sort(key=lambda r: (r.doc_id, r.text or ""))
+    sample = _one_each(rows, some)
     texts = [r.text or "" for r in sample]
     given = np.array([int(r.toxic > 0) for r in sample], np.int64)
     voters = mine(texts, given)
@@ -286,13 +294,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Linear:
     post = label_model(names, counts, seen, voters.size) if len(names) else np.empty(0)
 
     # Labelled rows keep their label as one more, nearly certain vote; others have the posterior.
-    unlabelled = rows.filter(~F.col("held_out")).orderBy(
-        F.xxhash64("doc_id", F.lit(1)), "doc_id").select("doc_id").limit(SAMPLE)
-    picked = spark.createDataFrame(unlabelled.distinct().collect(), "doc_id bigint")
-    more = rows.join(F.broadcast(picked), "doc_id").join(
-        F.broadcast(some.select("doc_id")), "doc_id", "left_anti").select(
-        "doc_id", "text").limit(2 * SAMPLE).collect()
-    more.sort(key=lambda r: (r.doc_id, r.text or ""))
+    unlabelled = rows.filter(~F.col("held_out") & F.col("doc_id").isNotNull()).select(
+        "doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(SAMPLE)
+    picked = spark.createDataFrame(unlabelled.collect(), "doc_id bigint").join(
+        F.broadcast(some.select("doc_id")), "doc_id", "left_anti")
+    more = _one_each(rows, picked)
     others = [r.text or "" for r in more]
     theirs = voters.masks(others) if others else np.empty(0, np.int64)
     soft = [post[np.searchsorted(names, own)] if len(own) else np.empty(0),
