@@ -12,7 +12,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tidelog.llm import exact_dedup, packing, pii, sharding, toxicity
+from tidelog.llm import exact_dedup, insults, packing, pii, sharding, toxicity
 
 SMALL = "/root/testdata/sf0.001"
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -249,6 +249,52 @@ def test_toxicity_sample_is_of_distinct_documents(spark, monkeypatch):
     assert seen[0] == seen[1]
 
 
+def fires(*texts):
+    """Names of the fixed voters that fire on each text."""
+    names = [*(some[0] for some in insults.LISTS), *insults.PATTERNS]
+    masks = toxicity.mine([], np.zeros(0, np.int64)).masks(list(texts))
+    return [{n for k, n in enumerate(names) if m >> k & 1} for m in masks]
+
+
+def test_fixed_voters():
+    assert fires("You are a complete nitwit", "the nitwit of the tale came home and then you left",
+                 "du bist ein Trottel", "sei uno stronzo", "tchórz", "дурак") == [
+        {"en", "address"}, {"en"}, {"de", "address"}, {"fr", "address"}, {"ru"}, {"ru"}]
+    assert fires("I will kill you", "ich  bringe dich um", "Shut up", "ferme ta gueule",
+                 "THIS WHOLE THING SUCKS", "why?!!") == [
+        {"threat"}, {"threat"}, {"dismissal"}, {"dismissal"}, {"shouting"}, {"shouting"}]
+    assert fires("a n1tw1t", "a ni*wit", "niiitwit", "n i t w i t") == [{"masked"}] * 4
+    assert fires("mail bob@site.org or 1.2.3.4", "", "x" * 100_000, "a " * 50_000,
+                 "A quiet day at 10 o'clock, is it not?") == [set()] * 5
+
+
+def test_toxicity_without_labels(spark):
+    """Insults of several languages are found by the fixed voters alone."""
+    rude = ["you are a nitwit and a halfwit", "du bist ein Trottel, halt die Klappe",
+            "ta gueule, espèce de connard", "eres un gilipollas, cállate"]
+    rows = [(k, f"{rude[k % 4]} w{k % 7}" if k % 8 < 4 and k % 5 == 0
+             else f"the river ran by the mill w{k % 7}") for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    scores = {r.doc_id: r.score for r in toxicity.score_toxicity(docs, none).collect()}
+    toxic = [scores[k] for k, t in rows if "river" not in t]
+    clean = [scores[k] for k, t in rows if "river" in t]
+    assert min(toxic) > toxicity.CUT > max(clean)
+
+
+def test_targets_are_posteriors(spark, monkeypatch):
+    """Labelled rows of equal votes have equal targets, whatever their labels."""
+    rows = [(k, f"same words here n{k}") for k in range(60)]
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(60)],
+                                   "doc_id bigint, quality int, toxic int")
+    seen = []
+    train = toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda texts, target: seen.append(target) or train(
+        texts, target))
+    toxicity.fit(spark.createDataFrame(rows, "doc_id bigint, text string"), labels)
+    assert len(seen[0]) and len(set(seen[0].round(9))) == 1
+
+
 def words_of(text, pattern=r"[^\x20\x09-\x0D]+"):
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     return re.findall(pattern, (text or "").translate(low))

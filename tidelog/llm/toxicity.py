@@ -1,7 +1,7 @@
 """Toxicity by weak supervision.
 
-Many voters, a fixed lexicon, patterns and lexicons mined from the labelled sample, fire or stay
-silent on every document. A generative label model is fitted by expectation maximisation to how
+Many voters, fixed lexicons of several languages, patterns, and lexicons mined from the labelled
+sample, fire or stay silent on every document. A generative label model is fitted by expectation maximisation to how
 often each combination of votes occurs among all documents, with the labelled sample's labels
 clamped; it gives the class share, each voter's accuracy and the correlations left within a
 class, by which correlated voters are discounted. Its posteriors label a sample, on which a
@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm import insults
 from tidelog.llm.hashing import mix, span_hashes, word_spans
 
 #: Rows of the labelled sample and of the sample the classifier is trained on.
@@ -28,11 +29,12 @@ SAMPLE = 3000
 MINED, FEATURES = 8, 400
 #: Score from which a document is predicted toxic.
 CUT = 0.3
-#: Insults of the fixed lexicon voter.
-LEXICON = "idiot moron stupid dumb loser trash scum clown pathetic worthless disgusting".split()
 #: Bytes of the word beginnings that count as features beside the words.
 HEADS = (4, 5, 6, 8)
 
+#: Voters that are not mined: the lexicons, then the patterns.
+FIXED = len(insults.LISTS) + len(insults.PATTERNS)
+
 _LETTERS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
 
@@ -118,23 +120,31 @@ def _strength(texts: list[str], weight: np.ndarray):
 
 @dataclass
 class Voters:
-    """Feature lists and the voter each belongs to; voter 0 and 1 are the lexicon's and the
-    pattern's."""
+    """Listed features, and which voter has which of them (features by voters). Voters are the
+    lexicons, the patterns, which have none, and the mined ones."""
 
     lookup: Lookup
-    voter: np.ndarray
-    size: int
+    member: np.ndarray
+
+    @property
+    def size(self) -> int:
+        return self.member.shape[1]
 
     def masks(self, texts: list[str]) -> np.ndarray:
-        """One bit per voter: the lexicon fires on one of its words, the pattern on three; a
-        mined voter on two occurrences of its features."""
-        counts = self.lookup.counts(texts)
-        out = np.zeros(len(texts), np.int64)
-        for v in range(self.size):
-            times = counts[:, self.voter == v].sum(axis=1)
-            out |= (times >= (2 if v > 1 else 1)).astype(np.int64) << v
-        lexical = counts[:, self.voter == 0].sum(axis=1)
-        return out | ((lexical >= 3).astype(np.int64) << 1)
+        """One bit per voter: a lexicon fires on one of its words, a mined voter on two occurrences
+        of its features."""
+        times = np.zeros((len(texts), self.size), np.int64)
+        for first in range(0, len(texts), 256):
+            part = texts[first:first + 256]
+            own, at = self.lookup.find(*features(part))
+            for v in range(self.size):
+                times[first:first + len(part), v] = np.bincount(
+                    own[self.member[at, v]], minlength=len(part))
+        votes = times >= np.where(np.arange(self.size) < FIXED, 1, 2)
+        lists = len(insults.LISTS)
+        if texts:
+            votes[:, lists:FIXED] = insults.fired(texts, _LETTERS, votes[:, :lists].any(axis=1))
+        return votes @ (1 << np.arange(self.size))
 
 
 def mine(texts: list[str], labels: np.ndarray) -> Voters:
@@ -142,7 +152,12 @@ def mine(texts: list[str], labels: np.ndarray) -> Voters:
 
     Features that fire on the same rows are dealt to one voter as far as possible.
     """
-    names, voter = [_hash_words(LEXICON)], [np.zeros(len(LEXICON), np.int64)]
+    forms = sorted(insults.FORMS)
+    names = [_hash_words(forms)]
+    listed = np.zeros((len(forms), FIXED + MINED), bool)
+    for v, some in enumerate(insults.LISTS):
+        listed[:, v] = [not insults.FORMS[w].isdisjoint(some) for w in forms]
+    voter: list[int] = []
     if len(texts) and labels.sum() >= 5:
         found, docs, bad, z = _strength(texts, labels.astype(float))
         good = np.flatnonzero((bad >= 4) & (bad / docs >= 0.8) & ~np.isin(found, names[0]))
@@ -160,8 +175,9 @@ def mine(texts: list[str], labels: np.ndarray) -> Voters:
                 else:
                     groups[best] |= rows
                 names.append(found[good[k]:good[k] + 1])
-                voter.append(np.array([best + 2]))
-    return Voters(Lookup(np.concatenate(names)), np.concatenate(voter), MINED + 2)
+                voter.append(best + FIXED)
+    mined = np.arange(FIXED + MINED) == np.array(voter, np.int64)[:, None]
+    return Voters(Lookup(np.concatenate(names)), np.concatenate([listed, mined]))
 
 
 def label_model(masks: np.ndarray, counts: np.ndarray, seen: np.ndarray, size: int,
@@ -284,7 +300,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Linear:
 
     masks = rows.mapInArrow(_map(voters.masks, "mask", pa.int64()),
                             "doc_id bigint, held_out boolean, mask bigint")
-    # At most one row per combination of votes.
+    # At most one row per combination of votes, 2^17 in all.
     found = {r["mask"]: r["count"] for r in masks.groupBy("mask").count().collect()}
     own = voters.masks(texts) if texts else np.empty(0, np.int64)
     names = np.array(sorted(set(found) | set(own.tolist())), np.int64)
@@ -293,7 +309,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Linear:
     counts = np.array([found.get(int(m), 0) for m in names], float)
     post = label_model(names, counts, seen, voters.size) if len(names) else np.empty(0)
 
-    # Labelled rows keep their label as one more, nearly certain vote; others have the posterior.
+    # The label model's posteriors are the targets, of labelled rows as well.
     unlabelled = rows.filter(~F.col("held_out") & F.col("doc_id").isNotNull()).select(
         "doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(SAMPLE)
     picked = spark.createDataFrame(unlabelled.collect(), "doc_id bigint").join(
@@ -304,8 +320,6 @@ def fit(docs: DataFrame, labels: DataFrame) -> Linear:
     soft = [post[np.searchsorted(names, own)] if len(own) else np.empty(0),
             post[np.minimum(np.searchsorted(names, theirs), len(names) - 1)]
             if len(theirs) else np.empty(0)]
-    odds = np.log(np.clip(soft[0], 1e-6, 1 - 1e-6) / (1 - np.clip(soft[0], 1e-6, 1 - 1e-6)))
-    soft[0] = 1 / (1 + np.exp(-(odds + np.where(given == 1, 4.0, -4.0))))
     return train(texts + others, np.concatenate(soft))
 
 
