@@ -1,10 +1,15 @@
 """Operators that SQL can express, against their SQL, on edge cases and real text."""
 
+import random
+from hashlib import sha256
+
 import pytest
 
 from tidelog.llm import (
-    decontamination, exact_dedup, jaccard_join, license_scan, substring_dedup, url_filter)
+    decontamination, exact_dedup, jaccard_join, license_scan, periodic_runs, quality, substring_dedup,
+    url_filter)
 
+SMALL = "/root/testdata/sf0.001"
 DOCS = [
     (substring_dedup.remove_repeats, substring_dedup.ORACLE),
     (exact_dedup.exact_dedup, exact_dedup.ORACLE),
@@ -89,3 +94,98 @@ def test_very_long_text(spark):
     hits = {r.doc_id: r.n_hit for r in decontamination.decontaminate(df, bench).collect()}
     assert hits == {1: 10, 2: 25, 3: 25}
     assert all(r.n_words >= 60_000 for r in license_scan.scan_licenses(df).collect())
+
+
+def test_quality(spark, edge, docs, empty, same):
+    labels = spark.createDataFrame(
+        [(1, 1, 0), (2, 0, 0), (2, 1, 0), (7, 1, None), (None, 1, 0), (9, None, 1), (999, 1, 0),
+         (12, 0, 0), (12, 0, 0)], "doc_id bigint, quality int, toxic int")
+    both = {"documents": edge.select("doc_id", "text"), "labels": labels}
+    same(quality.judge_quality(edge, labels), quality.ORACLE, **both)
+    none = labels.filter("false")
+    alone = quality.judge_quality(edge, none)
+    same(alone, quality.ORACLE, documents=both["documents"], labels=none)
+    assert all(r.kept != r.base_failed for r in alone.collect())
+    assert quality.judge_quality(empty, labels).collect() == []
+    real = spark.read.parquet(f"{SMALL}/labels.parquet")
+    same(quality.judge_quality(docs, real), quality.ORACLE,
+         documents=docs.select("doc_id", "text"), labels=real)
+
+
+def test_repeated_windows_and_lines(spark, same):
+    """Overlapping repeats, a repeat that touches the end, equal and blank lines, every symbol."""
+    a = " ".join(f"w{k}" for k in range(30))
+    texts = ["x " * 9, "x " * 8, a + " " + a, a + "\n" + a + "\n \n" + a + " ", "\n\n\t\n",
+             " ".join(f"w{k % 8}" for k in range(16)), a[:60] + " q " + a[:60], "#*$%&|<> a #" * 9,
+             "é É 1\x0bé É 1\x0b" * 20, a + " w0 w1 w2 w3 w4 w5 w6", a + " w0 w1 w2 w3 w4 w5 w6 w7"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(0, 1), (2, 1)], "doc_id bigint, quality int")
+    same(quality.judge_quality(df, labels), quality.ORACLE, documents=df, labels=labels)
+
+
+def test_quality_on_held_out_labels(spark):
+    """Trusted rows of three quarters; junk and clean documents of the rest."""
+    docs = spark.read.parquet(f"{SMALL.replace('0.001', '0.01')}/documents.parquet")
+    labels = spark.read.parquet(f"{SMALL.replace('0.001', '0.01')}/labels.parquet")
+    judged = quality.judge_quality(docs, labels.filter("doc_id % 4 != 2")).filter("not base_failed")
+    rows = judged.join(labels.filter("doc_id % 4 = 2"), "doc_id").select("quality", "kept").collect()
+    good = [r.kept for r in rows if r.quality == 1]
+    bad = [r.kept for r in rows if r.quality == 0]
+    assert len(good) > 50 and all(good)
+    assert len(bad) >= 5 and sum(bad) <= 0.1 * len(bad)
+
+
+def brute_runs(words):
+    """Every run by its definition: each stretch that a lag cannot extend, smallest period first."""
+    found = {}
+    n = len(words)
+    for q in range(1, n // 4 + 1):
+        i = q
+        while i < n:
+            j = i
+            while j < n and words[j] == words[j - q]:
+                j += 1
+            if j - i + q >= max(6, 4 * q):
+                found.setdefault((i - q, j - i + q), q)
+            i = j + 1
+    return sorted((s, n, q) for (s, n), q in found.items())
+
+
+def test_periodic_runs(edge, docs, empty, same):
+    run = periodic_runs.collapse_runs
+    same(run(edge, planted=True), periodic_runs.ORACLE, documents=edge.select("doc_id", "text"))
+    same(run(docs, planted=True), periodic_runs.ORACLE, documents=docs.select("doc_id", "text"))
+    assert run(empty).collect() == []
+
+
+def test_periodic_runs_by_definition(spark):
+    rng = random.Random(7)
+    texts = ["", "x", "x " * 5, "x " * 6, "a b " * 3, "a b " * 4, "a b c " * 4, "a b c " * 4 + "a",
+             "z " + "a a b " * 9 + "a a c", "x y " * 40 + "x x " * 40, "a " * 500, ("p " * 7 + "q ") * 9]
+    texts += [" ".join(rng.choice("ab") for _ in range(rng.randrange(400))) for _ in range(60)]
+    texts += [" ".join(rng.choice("abcdefgh") * rng.randrange(1, 3) for _ in range(90)) + " "
+              + " ".join("uvwxyz"[:rng.randrange(1, 6)] * rng.randrange(1, 9)) for _ in range(60)]
+    texts += [" ".join((" ".join(rng.choice("abcdef") for _ in range(rng.randrange(1, 30))) + " ")
+                       * rng.randrange(1, 9) for _ in range(6)) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    for r in periodic_runs.collapse_runs(df).collect():
+        words = texts[r.doc_id].split()
+        runs = brute_runs(words)
+        listed = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+        assert (r.n_runs, r.runs_sha256) == (len(runs), sha256(listed.encode()).hexdigest())
+        gone = {k for s, n, q in runs for k in range(s + q, s + n)}
+        left = " ".join(w for k, w in enumerate(words) if k not in gone)
+        assert r.collapsed_sha256 == sha256(left.encode()).hexdigest()
+        if runs:
+            s, n, q = min(runs, key=lambda x: (-x[1], x[0], x[2]))
+            assert (r.start, r.length, r.period, r.exponent_milli) == (s, n, q, 1000 * n // q)
+
+
+def test_one_word_many_times(spark):
+    """A text of 300,000 equal words, and one of two words in no order, take no quadratic time."""
+    rng = random.Random(3)
+    mixed = " ".join(rng.choice("ab") for _ in range(60_000))
+    df = spark.createDataFrame([(1, "a " * 300_000), (2, mixed)], "doc_id bigint, text string")
+    one, two = sorted(periodic_runs.collapse_runs(df).collect())
+    assert (one.n_runs, one.length, one.period) == (1, 300_000, 1)
+    assert two.n_runs > 1000

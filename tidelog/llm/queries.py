@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tidelog.llm import (
-    decontamination, exact_dedup, jaccard_join, license_scan, packing, pii, sharding, substring_dedup,
-    toxicity, url_filter)
+    decontamination, exact_dedup, jaccard_join, license_scan, packing, periodic_runs, pii, quality,
+    sharding, substring_dedup, toxicity, url_filter)
 from tidelog.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,4 +89,15 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.join_near(table(spark, folder, "documents"))
 
 
+@register("op11_quality_rules", quality.ORACLE)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge_quality(
+        table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@register("op12_periodic_runs", periodic_runs.ORACLE)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.collapse_runs(table(spark, folder, "documents"), planted=True)
+
+
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
