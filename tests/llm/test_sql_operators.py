@@ -3,11 +3,13 @@
 import random
 from hashlib import sha256
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidelog.llm import (
-    decontamination, exact_dedup, jaccard_join, license_scan, periodic_runs, quality, substring_dedup,
-    url_filter)
+    decontamination, exact_dedup, jaccard_join, license_scan, merkle, periodic_runs, quality,
+    substring_dedup, url_filter)
 
 SMALL = "/root/testdata/sf0.001"
 DOCS = [
@@ -189,3 +191,44 @@ def test_one_word_many_times(spark):
     one, two = sorted(periodic_runs.collapse_runs(df).collect())
     assert (one.n_runs, one.length, one.period) == (1, 300_000, 1)
     assert two.n_runs > 1000
+
+
+def with_fields(df):
+    """The five columns of documents, from doc_id and text."""
+    return df.select(
+        "doc_id", F.when(F.col("doc_id") % 3 != 1, F.concat(F.lit("s"), F.col("doc_id") % 3)).alias(
+            "source"), F.when(F.col("doc_id") % 5 > 0, F.lit("é")).alias("lang"),
+        F.length("text").cast("bigint").alias("n_chars"), "text", F.lit("x").alias("leaf"),
+        F.lit(1).alias("size"))
+
+
+def test_manifest(edge, docs, empty, same):
+    for d in (with_fields(edge), with_fields(docs)):
+        same(merkle.prove_rows(d), merkle.ORACLE, documents=d.drop("leaf", "size"))
+    assert merkle.prove_rows(with_fields(empty)).collect() == []
+    one = with_fields(edge.filter("doc_id = 7"))
+    r = merkle.prove_rows(one).first()
+    assert r.leaf == r.subroot == r.root and r.proof_sha256 == sha256(b"").hexdigest()
+
+
+def test_manifest_of_many_rows(spark, same):
+    """Several rounds of blocks, dense and sparse containers, negative and distant ids, copies."""
+    rows = spark.range(9_000).selectExpr("id as doc_id", "concat('line ', id, '\\n') as text").unionByName(
+        spark.range(300).selectExpr("(id - 150) * 40000000000000000 as doc_id", "'far' as text"))
+    rows = rows.unionByName(spark.range(4_200).selectExpr("cast(30 as bigint) as doc_id", "'copy' as text"))
+    rows = rows.unionByName(spark.range(900).selectExpr(
+        "cast(id % 7 as bigint) as doc_id", "cast(id % 90 as string) as text"))
+    rows = with_fields(rows.repartition(5)).withColumn("source", F.when(
+        F.abs(F.hash("doc_id")) % 4 > 0, F.lit("hot")).otherwise(F.col("source")))
+    same(merkle.prove_rows(rows), merkle.ORACLE, documents=rows.drop("leaf", "size"))
+
+
+def test_rank_queries():
+    rng = random.Random(11)
+    for size in (1, 4095, 4096, 30_000, 65_536):
+        ids = sorted(rng.sample(range(1 << 16), size))
+        many = ids[::7]
+        blob = merkle._container(np.array(ids))
+        at = merkle.Ranks(blob, np.array(many, np.uint16).tobytes(), np.full(len(many), 3).tobytes())
+        before = {x: k + 2 * -(-k // 7) for k, x in enumerate(ids)}
+        assert at.rank(np.array(ids)).tolist() == list(before.values())

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tidelog.llm import (
-    decontamination, exact_dedup, jaccard_join, license_scan, packing, periodic_runs, pii, quality,
-    sharding, substring_dedup, toxicity, url_filter)
+    decontamination, exact_dedup, jaccard_join, license_scan, merkle, packing, periodic_runs, pii,
+    quality, sharding, substring_dedup, toxicity, url_filter)
 from tidelog.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,4 +100,9 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_runs.collapse_runs(table(spark, folder, "documents"), planted=True)
 
 
+@register("op13_merkle_manifest", merkle.ORACLE)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.prove_rows(table(spark, folder, "documents"))
+
+
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
