@@ -41,6 +41,32 @@ def test_large_groups_and_blocks(docs, same):
          documents=docs.select("doc_id", "text"))
 
 
+def test_nothing_shared(spark, same):
+    """One document, unrelated documents, and more partitions than shingles."""
+    words = [" ".join(f"{x}{k}" for k in range(12)) for x in "abc"]
+    for rows, parts in ([(1, words[0])], 1), (list(enumerate(words)), 3), (
+            [(k, words[k % 2] + f" {k}") for k in range(30)], 200):
+        df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(parts)
+        same(jaccard_join.join_near(df), jaccard_join.ORACLE, documents=df)
+
+
+@pytest.mark.parametrize("percent", [30, 50, 75, 90, 100])
+def test_similarities(spark, same, percent):
+    """Texts that share a given part of their words, at thresholds other than the usual one."""
+    rng = random.Random(percent)
+    rows = []
+    for k in range(60):
+        base = [f"w{k}x{j}" for j in range(rng.randrange(8, 60))]
+        rows.append(base)
+        for _ in range(3):
+            rows.append(base[:rng.randrange(1, len(base) + 1)] + [
+                f"v{rng.random()}" for _ in range(rng.randrange(6))])
+    df = spark.createDataFrame([(k, " ".join(r)) for k, r in enumerate(rows)],
+                               "doc_id bigint, text string").repartition(3)
+    same(jaccard_join.join_near(df, percent=percent), jaccard_join.oracle(percent=percent),
+         documents=df)
+
+
 def test_hot_minimisers(spark, same):
     """A passage in most documents: its windows travel alone, each by its own hash."""
     passage = " ".join(f"p{k}" for k in range(40))

@@ -110,7 +110,12 @@ def _add_up(table: pa.Table) -> pa.Table:
 _KINDS = [np.uint64, np.uint64, np.uint32, np.int32, np.int32, np.uint8]
 
 
-def _prefixes(gram: int, parts: int, counters):
+def prefix_length(n: int, percent: int) -> int:
+    """Shingles of a set of n of which a linked set must have one."""
+    return n - -(-percent * n // 100) + 1
+
+
+def _prefixes(gram: int, parts: int, counters, percent: int):
     """Prefix shingles with class, set size, place, and whether the shingle is split; packed."""
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = counters.value
@@ -126,7 +131,7 @@ def _prefixes(gram: int, parts: int, counters):
                 seen.add(cls)
                 often = counts[(shingles >> np.uint64(44)).astype(np.int64)]
                 # Sorted by hash already: a stable sort by count leaves the hash to decide.
-                first = np.argsort(often, kind="stable")[:n // 4 + 1]
+                first = np.argsort(often, kind="stable")[:prefix_length(n, percent)]
                 size = len(first)
                 found.append([shingles[first], np.full(size, cls[0], np.uint64),
                               np.full(size, cls[1], np.uint32), np.full(size, n, np.int32),
@@ -206,7 +211,9 @@ def _candidates(percent: int, small: int):
                                                percent)
             left.append(members[keep])
             right.append(pivot[keep])
-        left, right = np.concatenate(left), np.concatenate(right)
+        # A bucket in which no two sets meet gives no pairs.
+        none = np.empty(0, np.int64)
+        left, right = np.concatenate([none, *left]), np.concatenate([none, *right])
         names = [_name(h, w) for h, w in zip(high.tolist(), low.tolist())] if len(left) or len(
             members) else []
         pairs = {(min(names[i], names[j]), max(names[i], names[j]))
@@ -351,7 +358,8 @@ def near_duplicates(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT,
         counters[r.piece] = np.frombuffer(r.counts, np.int32)
     shared = spark.sparkContext.broadcast(counters.reshape(-1))
     described = seen.filter("piece is null").drop("piece", "counts")
-    total, prefix = described.agg(F.count("*"), F.sum(F.floor(F.col("n") / 4) + 1)).first()
+    total, prefix = described.agg(F.count("*"), F.sum(
+        F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).first()
 
     classes = described.groupBy("cls").agg(
         F.first("n").alias("n"), F.first("profile").alias("profile"),
@@ -360,7 +368,7 @@ def near_duplicates(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT,
     classes = written(classes, "shingle_classes")
 
     parts = partitions_for(docs, prefix or 0, BUCKET)
-    met = rows.mapInArrow(_prefixes(gram, parts, shared), "part int, blob binary").groupBy(
+    met = rows.mapInArrow(_prefixes(gram, parts, shared, percent), "part int, blob binary").groupBy(
         "part").applyInArrow(_candidates(percent, small),
                              "token bigint, a binary, b binary, n bigint, rest bigint")
     met = written(met, "prefix_met")
@@ -460,20 +468,25 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     return keep_rows(docs, written(best.unionByName(blank), "near_kept"))
 
 
-ORACLE = rf"""
+def oracle(gram: int = GRAM, percent: int = PERCENT) -> str:
+    """DuckDB SQL of the links and their classes."""
+    return rf"""
 with recursive d as (select row_number() over () as r, doc_id, regexp_extract_all(
   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
   '[^\x20\x09-\x0D]+') as w from documents),
-s as (select distinct r, w[i:i + least({GRAM}, len(w)) - 1] as g from (
-  select r, w, unnest(range(1, greatest(len(w) - {GRAM}, 0) + 2)) as i from d where len(w) > 0)),
+s as (select distinct r, w[i:i + least({gram}, len(w)) - 1] as g from (
+  select r, w, unnest(range(1, greatest(len(w) - {gram}, 0) + 2)) as i from d where len(w) > 0)),
 n as (select r, count(*) as n from s group by r),
 c as (select a.r as x, b.r as y, count(*) as k from s a join s b using (g) where a.r <> b.r
   group by all),
 l as (select x, y from c join n a on a.r = x join n b on b.r = y
-  where 100 * k >= {PERCENT} * (a.n + b.n - k)),
+  where 100 * k >= {percent} * (a.n + b.n - k)),
 reach(x, y) as (select r, r from n union select reach.x, l.y from reach join l on l.x = reach.y)
 select d.doc_id, coalesce(any_value(n.n), 0) as n_shingles,
   coalesce(min(o.doc_id), d.doc_id) as component_id
 from d left join n using (r) left join reach on reach.x = d.r left join d o on o.r = reach.y
 group by d.r, d.doc_id
 """
+
+
+ORACLE = oracle()
