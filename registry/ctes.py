@@ -139,6 +139,9 @@ select * exclude (tp, op, t_text, o_text), kind in ('ALTER','CREATE','ERASE','TR
  kind in ('INSERT','UPDATE','DELETE') dml,
  case when len(tp) > 1 then regexp_replace(regexp_replace(tp[1], '`$', ''), '^`', '') else session_db end db,
  case when len(tp) > 1 then regexp_replace(regexp_replace(tp[2], '`$', ''), '^`', '') else nullif(tp[1], '') end tbl,
+ case when kind = 'ALTER' then regexp_matches(regexp_replace(regexp_replace(regexp_replace(clean, '''[^'']*''', '''''', 'g'),
+   '`[^`]*`', '`', 'g'), '\b(ADD|DROP|RENAME)\s+(INDEX|KEY|CONSTRAINT|PRIMARY|UNIQUE|FULLTEXT|SPATIAL|FOREIGN|PARTITION|CHECK)\b', ' ', 'gi'),
+   '\b(ADD|DROP|CHANGE|MODIFY)[\s`(]|\bRENAME\s+COLUMN\b', 'i') else kind in ('ERASE', 'RENAME') end changed,
  case when kind = 'RENAME' then nullif(case when len(op) > 1 then regexp_replace(regexp_replace(op[1], '`$', ''), '^`', '')
    else session_db end, '') end old_db,
  case when kind = 'RENAME' then case when len(op) > 1 then regexp_replace(regexp_replace(op[2], '`$', ''), '^`', '')
@@ -198,13 +201,14 @@ from rendered window w as (partition by server_id, seq, row_idx, ordinal)"""),
     "listed_numbered": (("entries",), """
 select * from entries where db || '.' || tbl in ('shop.t_user', 'crm.t_click')"""),
     "invalidations": (("good_stmts",), """
-select server_id, db, tbl, seq, row_number() over w n, lead(seq) over w nxt from good_stmts
+select server_id, db, tbl, seq, row_number() over w n, lead(seq) over w nxt, changed,
+ sum(changed::int) over w changes from good_stmts
 where kind in ('ALTER', 'ERASE', 'RENAME') window w as (partition by server_id, db, tbl order by seq)"""),
     "versions": (("invalidations", "meta", "raw"), """
-select v.*, case when v.interval > x.mx then x.mx else v.interval end as version from (
- select server_id, db, tbl, null::bigint valid_from, min(seq) valid_to, 1 as interval from invalidations group by 1, 2, 3
- union all select server_id, db, tbl, seq, nxt, n + 1 from invalidations
- union all select distinct server_id, map_db, map_tbl, null::bigint, null::bigint, 1 from raw r where type_code = 19
+select v.*, least(v.changes + 1, x.mx)::int as version from (
+ select server_id, db, tbl, null::bigint valid_from, min(seq) valid_to, 1 as interval, 0 changes from invalidations group by 1, 2, 3
+ union all select server_id, db, tbl, seq, nxt, n + 1, changes from invalidations
+ union all select distinct server_id, map_db, map_tbl, null::bigint, null::bigint, 1, 0 from raw r where type_code = 19
   and not exists (select 1 from invalidations i where i.server_id = r.server_id and i.db = r.map_db and i.tbl = r.map_tbl)) v
  join (select distinct server_id, map_db db, map_tbl tbl from raw where type_code = 19) seen using (server_id, db, tbl)
  join (select db, tbl, max(version) mx from meta group by 1, 2) x using (db, tbl)"""),

@@ -68,10 +68,11 @@ def last_commit(log: Log):
 
 
 _CHECKPOINT_CTE = """
-, c as (select server_id, arg_max(logfile, seq) logfile, arg_max(logfile_offset + event_length, seq) pos
+, c as (select server_id, max(seq) seq, arg_max(logfile, seq) logfile, arg_max(logfile_offset + event_length, seq) pos
  from entries where entry_type = 'TRANSACTIONEND' group by 1),
-n as (select server_id, arg_max(case when is_end then batch_id + 1 else batch_id end, seq) batch_id,
- arg_max(case when is_end then 0 else in_id + 1 end, seq) in_id from numbered group by 1),
+n as (select server_id, coalesce(arg_max(case when is_end then batch_id + 1 else batch_id end, n.seq)
+  filter (n.seq <= c.seq), 0) batch_id, coalesce(arg_max(case when is_end then 0 else in_id + 1 end, n.seq)
+  filter (n.seq <= c.seq), 0) in_id from numbered n join c using (server_id) group by 1),
 ck as (select server_id, logfile, pos, batch_id, in_id,
  logfile || ':' || pos || ':' || batch_id || ':' || in_id as value from c join n using (server_id))
 """
@@ -502,10 +503,11 @@ def track_changes_rejected(log: Log):
   union all select server_id, seq from stmts where kind = 'RENAME' and old_tbl is null) group by 1),
 e as (select e.* from entries e left join f using (server_id) where first is null or seq < first),
 n as (select n.* from numbered n left join f using (server_id) where first is null or seq < first),
-c as (select server_id, arg_max(logfile, seq) logfile, arg_max(logfile_offset + event_length, seq) pos
+c as (select server_id, max(seq) seq, arg_max(logfile, seq) logfile, arg_max(logfile_offset + event_length, seq) pos
  from e where entry_type = 'TRANSACTIONEND' group by 1),
-i as (select server_id, arg_max(case when is_end then batch_id + 1 else batch_id end, seq) batch_id,
- arg_max(case when is_end then 0 else in_id + 1 end, seq) in_id from n group by 1)
+i as (select server_id, coalesce(arg_max(case when is_end then batch_id + 1 else batch_id end, n.seq)
+  filter (n.seq <= c.seq), 0) batch_id, coalesce(arg_max(case when is_end then 0 else in_id + 1 end, n.seq)
+  filter (n.seq <= c.seq), 0) in_id from n join c using (server_id) group by 1)
 select server_id, logfile, pos, batch_id, in_id, logfile || ':' || pos || ':' || batch_id || ':' || in_id as value
 from c join i using (server_id)""", "resolved", "stmts", "entries", "numbered"))
 def track_changes_held(log: Log):
@@ -530,6 +532,74 @@ def track_changes_resumed(log: Log):
     return first.select(columns).unionByName(P.dedup_replayed(second.select(columns), seen))
 
 
+def _resumed(log: Log, upto: int, skip_errors: bool):
+    """A run over the log up to an event, then one over the whole log from its checkpoint; what the
+    reader has by id is dropped."""
+    first, at, _ = H.track_changes(
+        log.raw.filter(F.col("seq") <= upto), log.cells, log.meta_now, ALLOW, width=WIDTH,
+        skip_errors=skip_errors)
+    second, _, _ = H.track_changes(
+        log.raw, log.cells, log.meta_now, ALLOW, width=WIDTH, skip_errors=True,
+        checkpoints=written(at, "checkpoint"))
+    columns = ["server_id", "seq", "batch_id", "in_id"]
+    seen = first.groupBy("server_id").agg(
+        F.max(F.struct("batch_id", "in_id")).alias("m")).select("server_id", "m.*")
+    return first.select(columns).unionByName(P.dedup_replayed(second.select(columns), seen))
+
+
+@register("track_changes_resumed_inside", sql(
+    "select server_id, seq, batch_id, in_id from numbered", "numbered"))
+def track_changes_resumed_inside(log: Log):
+    """The log ends inside a transaction; its entries are sent again under the ids they had."""
+    events = log.raw.agg(F.max("seq")).first()[0] // 10 + 1
+    return _resumed(log, (events // 10 * 5 + 2) * 10 + 3, True)
+
+
+@register("track_changes_resumed_held", sql(
+    "select server_id, seq, batch_id, in_id from numbered", "numbered"))
+def track_changes_resumed_held(log: Log):
+    """The checkpoint is held before the first rejected event, wherever its transaction is."""
+    return _resumed(log, log.raw.agg(F.max("seq")).first()[0], False)
+
+
+# Two listed tables in versions: t_user's second names a column anew and its third is a column
+# short, t_click's first is a column short.
+_VERSION_SQL = """
+, ch as (select server_id, db, tbl, seq from good_stmts where kind in ('ALTER', 'ERASE', 'RENAME') and changed),
+r as (select server_id, seq, db, tbl, (select count(*) from ch where ch.server_id = o.server_id and ch.db = o.db
+  and ch.tbl = o.tbl and ch.seq < o.seq) n from rows_ok o where db || '.' || tbl in ('shop.t_user', 'crm.t_click'))
+select server_id, seq, case when tbl = 't_click' then 'kind_2' when n = 0 then 'kind' when n = 1 then 'kind_2' end as name,
+ case when tbl = 't_user' and n > 1 then 'column size is not match for table:shop.t_user,6 vs 5' end reason from r"""
+
+
+def _versioned_meta(log: Log):
+    renamed = F.when(F.col("ordinal") == 1, "kind_2").otherwise(F.col("name"))
+    short = F.col("ordinal") < 5
+    base = log.meta_now.drop("version")
+    user, click = base.filter("tbl = 't_user'"), base.filter("tbl = 't_click'")
+    parts = [(user, 1), (user.withColumn("name", renamed), 2), (user.filter(short), 3),
+             (click.filter(short), 1), (click.withColumn("name", renamed), 2)]
+    out = None
+    for part, version in parts:
+        part = part.withColumn("version", F.lit(version))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("track_changes_versions", sql(_VERSION_SQL, "good_stmts", "rows_ok"))
+def track_changes_versions(log: Log):
+    """The name of each rows event's second column under the metadata in force at the event, or why
+    it has none."""
+    messages, _, rejected = H.track_changes(
+        log.raw, log.cells, _versioned_meta(log), ALLOW, width=WIDTH)
+    named = [F.get_json_object("value", f"$.row_datas[0].{side}[1].name") for side in ("after", "before")]
+    none = F.lit(None).cast("string")
+    sent = messages.select("server_id", "seq", F.coalesce(*named).alias("name"), none.alias("reason"))
+    lost = rejected.filter("reason like 'column size%'").select(
+        "server_id", "seq", none.alias("name"), "reason")
+    return sent.filter("name is not null").unionByName(lost)
+
+
 @register("track_changes_listed_only", sql("""
 , k as (select *, entry_type = 'TRANSACTIONEND' or is_ddl e from entries where db || '.' || tbl in ('shop.t_user', 'crm.t_click')),
 b as (select *, coalesce(sum(e::int) over (partition by server_id order by seq rows between unbounded preceding
@@ -558,6 +628,12 @@ def track_rows(log: Log):
     "numbered", "flagged"))
 def track_changes_stream(log: Log):
     """The log arrives in four parts; context is carried from each run to the next."""
+    sink, _ = _streamed(log, log.meta_now, 4)
+    return sink.select("server_id", "seq", "batch_id", "in_id", F.md5("value").alias("value_md5"))
+
+
+def _streamed(log: Log, meta, parts: int, **options):
+    """What a stream sends and rejects when the log arrives in parts, each in a run of its own."""
     spark = log.spark
     source, state, sink, mark = (
         new_table_path(spark, n) for n in ("live", "state", "sink", "mark"))
@@ -565,16 +641,54 @@ def track_changes_stream(log: Log):
     whole = log.raw.join(log.cells.groupBy("server_id", "seq").agg(images), ["server_id", "seq"], "left")
     events = written(whole, "events")
     last = events.agg(F.max("seq")).first()[0]
-    for part in range(4):
-        low, high = (last + 1) * part // 4, (last + 1) * (part + 1) // 4
+    for part in range(parts):
+        low, high = (last + 1) * part // parts, (last + 1) * (part + 1) // parts
         arrived = events.filter((F.col("seq") >= low) & (F.col("seq") < high))
         arrived.write.mode("append").parquet(source)
         stream = live.stream_change_log(spark, "parquet", {"path": source}, live.LIVE_EVENT)
         live.track_changes_stream(
-            stream, log.meta_now, ALLOW, state, sink, mark, trigger={"availableNow": True},
-            width=WIDTH).awaitTermination()
-    return spark.read.parquet(sink).select(
-        "server_id", "seq", "batch_id", "in_id", F.md5("value").alias("value_md5"))
+            stream, meta, ALLOW, state, sink, mark, trigger={"availableNow": True},
+            width=WIDTH, **options).awaitTermination()
+    return spark.read.parquet(sink), spark.read.parquet(sink + "-rejected")
+
+
+@register("track_changes_stream_packed", sql(
+    ROWS_JSON + _VALUE_SQL + _packed_sql(
+        "full_value", "strlen(value)", "server_id, seq, batch_id, in_id, value", TRACK_BYTES) +
+    "select server_id, seq, batch_id, in_id, message_no from packed", "numbered", "flagged"))
+def track_changes_stream_packed(log: Log):
+    """Messages left open by one micro-batch go on in the next, as if the log had come at once."""
+    sink, _ = _streamed(log, log.meta_now, 3, max_bytes=TRACK_BYTES, max_rows=MAX_ROWS)
+    return sink.select("server_id", "seq", "batch_id", "in_id", "message_no")
+
+
+@register("track_changes_stream_versions", sql(_VERSION_SQL, "good_stmts", "rows_ok"))
+def track_changes_stream_versions(log: Log):
+    """As track_changes_versions, with the changes of earlier micro-batches carried along."""
+    messages, rejected = _streamed(log, _versioned_meta(log), 3)
+    named = [F.get_json_object("value", f"$.row_datas[0].{side}[1].name") for side in ("after", "before")]
+    none = F.lit(None).cast("string")
+    sent = messages.select("server_id", "seq", F.coalesce(*named).alias("name"), none.alias("reason"))
+    lost = rejected.filter("reason like 'column size%'").select(
+        "server_id", "seq", none.alias("name"), "reason")
+    return sent.filter("name is not null").unionByName(lost)
+
+
+@register("track_changes_stream_started", sql(
+    "select server_id, seq, batch_id, in_id from numbered", "numbered"))
+def track_changes_stream_started(log: Log):
+    """A batch run up to the middle of a transaction, then a stream over the whole log that starts
+    at its checkpoint, which the retained log files confirm."""
+    events = log.raw.agg(F.max("seq")).first()[0] // 10 + 1
+    first, at, _ = H.track_changes(
+        log.raw.filter(F.col("seq") <= (events // 10 * 5 + 2) * 10 + 3), log.cells, log.meta_now,
+        ALLOW, width=WIDTH, skip_errors=True)
+    second, _ = _streamed(log, log.meta_now, 2, checkpoints=written(at, "checkpoint"),
+                          log_index=log.log_index, master=log.master)
+    columns = ["server_id", "seq", "batch_id", "in_id"]
+    seen = first.groupBy("server_id").agg(
+        F.max(F.struct("batch_id", "in_id")).alias("m")).select("server_id", "m.*")
+    return first.select(columns).unionByName(P.dedup_replayed(second.select(columns), seen))
 
 
 _STORE_KEEP = r"regexp_full_match(db || '.' || tbl, 'shop\..*|crm\.t_c.*')"

@@ -37,6 +37,9 @@ STATEMENTS = [
     "MERGE INTO t_order USING t_x",
     "  begin",
     "ALTER TABLE shop.t_order ADD COLUMN g int",
+    "ALTER TABLE `shop`.`t_user` ADD INDEX ix_kind (kind), DROP PRIMARY KEY",
+    "alter table crm.t_misc comment 'add column x'",
+    "ALTER TABLE shop.t_user DROP KEY ix_kind, MODIFY kind varchar(32)",
 ]
 TABLES = [("shop", "t_user"), ("shop", "t_order"), ("crm", "t_click"), ("crm", "t_misc")]
 META_COLUMNS = [

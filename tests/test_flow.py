@@ -199,3 +199,102 @@ def test_tracking_a_batch_twice_leaves_it_once(spark, raw):
     out = spark.read.parquet(sink).orderBy("seq").collect()
     assert [(r.seq, r.batch_id, r.in_id) for r in out] == [(3, 0, 0), (4, 0, 1), (5, 1, 0), (6, 1, 1), (8, 1, 2)]
     assert {json.loads(r.value)["logfile"] for r in out} == {"f.000002"}
+
+
+def test_resuming_at_every_event_of_a_transaction(spark):
+    """Cut anywhere in a transaction: what is sent again has the ids it had."""
+    from registry.base import ALLOW, Log
+    from tidelog.plans import track as H
+    from tidelog.session import tune
+
+    log = Log(tune(spark), "/root/testdata/sf0.001")
+    judged = H.written(H.judged_entries(log.raw.filter("seq < 600")), "judged")
+    entries = judged.filter("reason is null").drop("reason")
+    passing = H.second_filter(entries, ALLOW, "keep")
+    kept = H.written(Q.assign_batch_ids(passing), "kept")
+    whole = {tuple(r) for r in kept.select("server_id", "seq", "batch_id", "in_id").collect()}
+    begins = [r.seq for r in entries.filter("entry_type = 'TRANSACTIONBEGIN'").collect()]
+    begin = sorted(begins)[6]
+    cuts = [s for _, s, *_ in sorted(whole) if begin - 10 <= s <= begin + 50]
+    assert len(cuts) >= 3
+    for cut in cuts:
+        at = P.make_checkpoint(
+            P.last_commit(entries.filter(F.col("seq") <= cut)), kept.filter(F.col("seq") <= cut))
+        again = H.continued(H.second_filter(H.resumed(entries, at), ALLOW, "keep"), at, 1 << 20)
+        sent = {tuple(r) for r in again.select("server_id", "seq", "batch_id", "in_id").collect()}
+        first = {x for x in whole if x[1] <= cut}
+        assert sent <= whole and first | sent == whole
+        seen = max(x[2:] for x in first)
+        assert first | {x for x in sent if x[2:] > seen} == whole and not any(
+            x in first for x in sent if x[2:] > seen)
+
+
+def test_checkpoint_without_a_kept_entry_before_the_commit(spark):
+    rows = [(1, 5, "TRANSACTIONEND", False, "f.1", 50, 5, 0), (1, 9, "ROWDATA", False, "f.1", 90, 5, 0)]
+    entries = spark.createDataFrame(rows, "server_id int, seq bigint, entry_type string, is_ddl boolean, "
+                                    "logfile string, logfile_offset bigint, event_length bigint, execute_time bigint")
+    kept = entries.filter("seq = 9").withColumns({"batch_id": F.lit(7).cast("bigint"), "in_id": F.lit(4).cast("bigint")})
+    starts = spark.createDataFrame([(1, 7, 4)], "server_id int, batch_id bigint, in_id bigint")
+    got = P.make_checkpoint(P.last_commit(entries), kept, starts).first()
+    assert got.value == "f.1:55:7:4"
+    assert P.make_checkpoint(P.last_commit(entries), kept.filter("false")).collect() == []
+
+
+def live_log(spark, n):
+    """One server: a table map, then rows events in transactions of three."""
+    from tidelog.streaming import live as L
+
+    rows = [(1, 1, S.TABLE_MAP, 7, None, None)]
+    for k in range(n):
+        rows += [(1, 10 + 10 * k, 2, None, "BEGIN", None),
+                 (1, 11 + 10 * k, 30, 7, None, [(0, "A", 0, 3, 0, 4, k, None, None, None)]),
+                 (1, 12 + 10 * k, S.XID, None, None, None)]
+    df = spark.createDataFrame(rows, "server_id bigint, seq bigint, type_code int, table_id bigint, query string, "
+                               "images array<struct<row_idx:int,image:string,ordinal:int,mysql_type:int,meta:int,"
+                               "byte_len:int,raw_long:bigint,raw_str:string,raw_bin:binary,raw_double:double>>")
+    more = {"event_len": F.lit(10), "log_pos": F.col("seq") * 100 + 10, "flags": F.lit(0),
+            "db": F.when(F.col("type_code") == S.TABLE_MAP, "d"), "tbl": F.when(
+                F.col("type_code") == S.TABLE_MAP, "t"), "ts": F.lit("2024-01-01").cast("timestamp"),
+            "xid": F.when(F.col("type_code") == S.XID, F.col("seq"))}
+    fields = {f.name: f.dataType for f in L.LIVE_EVENT.fields}
+    df = df.withColumns(more)
+    return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c)
+                       for c, t in fields.items()])
+
+
+def test_live_state_does_not_grow(spark, tmp_path):
+    """Eight micro-batches leave two epochs of state; messages are packed across them."""
+    import os
+
+    meta = spark.createDataFrame([("d", "t", 1, 0, "id", "int", "NO", "PRI", None, "")], S.TABLE_META)
+    state, sink = str(tmp_path / "state"), str(tmp_path / "sink")
+    log = live_log(spark, 16).persist()
+    for epoch in range(8):
+        low, high = (0, 30) if epoch == 0 else (10 + 20 * epoch, 30 + 20 * epoch)
+        part = log.filter((F.col("seq") >= low) & (F.col("seq") < high))
+        live.track_batch(part, epoch, meta, ["d.t"], state, sink, max_rows=5, width=50)
+        assert sorted(os.listdir(state)) == [f"epoch={k}" for k in range(max(0, epoch - 1), epoch + 1)]
+    got = [tuple(r) for r in spark.read.parquet(sink).orderBy("seq").select("seq", "message_no").collect()]
+    assert len(got) == 48 and [m for _, m in got] == [k // 5 for k in range(48)]
+    # A batch that is run again leaves everything as it was.
+    before = sorted(map(tuple, spark.read.parquet(f"{state}/epoch=7").collect()), key=str)
+    live.track_batch(log.filter("seq >= 150 and seq < 170"), 7, meta, ["d.t"], state, sink, max_rows=5, width=50)
+    assert sorted(map(tuple, spark.read.parquet(f"{state}/epoch=7").collect()), key=str) == before
+    assert spark.read.parquet(sink).count() == 48
+
+
+def test_live_start_outside_the_retained_logs(spark):
+    at = spark.createDataFrame([(1, "f.000002", 50, 4, 1), (2, "f.000001", 50, 4, 1)],
+                               "server_id bigint, logfile string, pos bigint, batch_id bigint, in_id bigint")
+    index = spark.createDataFrame([(1, "f.000002", 4, 99), (2, "f.000002", 4, 99)],
+                                  "server_id bigint, logfile string, first_pos bigint, last_pos bigint")
+    master = spark.createDataFrame([(1, "f.000002", 99), (2, "f.000002", 99)],
+                                   "server_id bigint, logfile string, pos bigint")
+    rows = {r.server_id: r for r in live.initial_state(at, index, master).collect()}
+    assert (rows[1].commit_file, rows[1].commit_pos, rows[1].next_batch_id) == ("f.000002", 50, 4)
+    assert (rows[2].commit_file, rows[2].commit_pos, rows[2].next_batch_id) == ("f.000002", 99, 0)
+
+
+def test_start_of_a_stream(spark, tmp_path):
+    with pytest.raises(ValueError):
+        live.stream_change_log(spark, "json", {"path": str(tmp_path)}, S.RAW_EVENT, starting="latest")

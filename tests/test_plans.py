@@ -115,3 +115,57 @@ def test_timestamps_in_the_jobs_zone(spark):
         V.render_timestamp2(F.col("s"), F.col("u"), F.lit(3), "America/New_York")).first()
     assert tuple(got) == (
         "2020-09-13 12:26:40", "2020-09-13 20:26:40", "2020-09-13 08:26:40.120")
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin", "America/New_York"])
+def test_both_hours_of_an_autumn_night(spark, zone):
+    """The zone of the session plays no part when a job names its own."""
+    df = spark.createDataFrame(
+        [(1635640200,), (1635643800,), (1616893200,), (0,), (None,)], "s bigint")
+    was = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = df.select(V.render_timestamp(F.col("s"), "UTC"), V.render_timestamp(F.col("s"), "Europe/Berlin"),
+                        V.render_timestamp2(F.col("s"), F.lit(7_000), F.lit(4), "UTC")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", was)
+    assert [r[0] for r in got] == ["2021-10-31 00:30:00", "2021-10-31 01:30:00", "2021-03-28 01:00:00",
+                                   "0000-00-00 00:00:00", None]
+    assert [r[1] for r in got][:3] == ["2021-10-31 02:30:00", "2021-10-31 02:30:00", "2021-03-28 03:00:00"]
+    assert got[0][2] == "2021-10-31 00:30:00.0070"
+
+
+def test_a_plan_shows_the_fraction_of_a_timestamp(spark):
+    from tidelog.operators import columns as E
+    from tidelog import schemas as S
+
+    cells = spark.createDataFrame(
+        [(1, 2, 0, "A", 0, S.WIRE["TIMESTAMP2"], 3, 4, 1_600_000_000, None, None, 120_000)],
+        "server_id bigint, seq bigint, row_idx int, image string, ordinal int, mysql_type int, meta int, "
+        "byte_len int, raw_long bigint, raw_str string, raw_bin binary, raw_micros bigint")
+    described = cells.selectExpr("*", "false is_unsigned", "false is_text", "false is_binary")
+    assert E.render_cells(described, tz="Asia/Tokyo").first().value == "2020-09-13 21:26:40.120"
+
+
+@pytest.mark.parametrize("sql, changes", [
+    ("ALTER TABLE t ADD c int", True), ("alter table t add (c int)", True), ("ALTER TABLE t DROP `c`", True),
+    ("ALTER TABLE t DROP COLUMN c", True), ("ALTER TABLE t CHANGE a b int", True),
+    ("ALTER TABLE t RENAME COLUMN a TO b", True), ("ALTER TABLE t ADD INDEX i (a)", False),
+    ("ALTER TABLE t ADD UNIQUE (a), DROP FOREIGN KEY f", False), ("ALTER TABLE t ENGINE=InnoDB", False),
+    ("ALTER TABLE t COMMENT 'drop column x'", False), ("ALTER TABLE `add x` ENGINE=x", False),
+    ("ALTER TABLE t ADD KEY k (a), MODIFY a bigint", True), ("ALTER TABLE t RENAME INDEX a TO b", False),
+])
+def test_statements_that_change_columns(spark, sql, changes):
+    from tidelog.functions import text as X
+
+    df = spark.createDataFrame([(sql, "ALTER")], "q string, k string")
+    assert df.select(X.changes_columns(F.col("q"), F.col("k"))).first()[0] is changes
+
+
+def test_metrics_of_a_server_without_a_master_row(spark):
+    from tidelog.operators import monitor as M
+
+    log = Log(tune(spark), FOLDER)
+    events = log.events.withColumn("ts", F.col("ts").cast("timestamp"))
+    none = M.fetch_metrics(events, log.entries, log.master.filter("false"))
+    assert none.count() > 0 and none.filter("delay_num is not null").count() == 0

@@ -21,6 +21,10 @@ STATEMENT_PATTERNS: list[tuple[str, str, int]] = [
 ]
 TABLE_TEXT = r"(?is)\A(?:IF\s*NOT\s*EXISTS\s*)?(?:IF\s*EXISTS\s*)?(.+?[;(\s])"
 COMMENT = r"(?s)/\*(?:/|.*?\*/)"
+#: Parts of an ALTER that leave the columns as they are, and those that change them.
+NOT_COLUMNS = (r"(?i)\b(ADD|DROP|RENAME)\s+(INDEX|KEY|CONSTRAINT|PRIMARY|UNIQUE|FULLTEXT|SPATIAL"
+               r"|FOREIGN|PARTITION|CHECK)\b")
+CHANGES_COLUMNS = r"(?i)\b(ADD|DROP|CHANGE|MODIFY)[\s`(]|\bRENAME\s+COLUMN\b"
 DDL_KINDS = ["ALTER", "CREATE", "ERASE", "TRUNCATE", "RENAME", "CINDEX", "DINDEX"]
 DML_KINDS = ["INSERT", "UPDATE", "DELETE"]
 # --- End of fixed values ----------------------------------------------------
@@ -120,3 +124,13 @@ def matches_any_ci(name: Column, patterns: str | None) -> Column:
         return F.lit(True)
     hit = F.lower(name).rlike(rf"(?is)\A(?:{joined})\z")
     return F.coalesce((name == "") | hit, F.lit(True))
+
+
+def changes_columns(query: Column, kind: Column) -> Column:
+    """Whether a statement without comments leaves its table with other columns: an ALTER that adds,
+    drops, changes or renames one; a DROP or RENAME of the table. Indexes, keys, partitions and
+    table options are no columns; text in quotes is not looked at."""
+    bare = F.regexp_replace(F.regexp_replace(query, r"'[^']*'", "''"), r"`[^`]*`", "`")
+    rest = F.regexp_replace(bare, NOT_COLUMNS, " ")
+    return F.coalesce(F.when(kind == "ALTER", rest.rlike(CHANGES_COLUMNS)).otherwise(
+        kind.isin("ERASE", "RENAME")), F.lit(False))

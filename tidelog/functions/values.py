@@ -178,11 +178,18 @@ def render_time2(packed: Column) -> Column:
 
 
 def render_timestamp(seconds: Column, tz: str | None = None) -> Column:
-    """Epoch seconds in the time zone ``tz``, by default the session's."""
-    at = F.timestamp_seconds(seconds)
-    if tz is not None:
-        at = F.convert_timezone(None, F.lit(tz), at.cast("timestamp_ntz"))
-    text = F.date_format(at, "yyyy-MM-dd HH:mm:ss")
+    """Epoch seconds in the time zone ``tz``, by default the session's.
+
+    With ``tz`` the seconds are added to the epoch in UTC: the session's wall clock, on which an
+    hour of autumn stands twice, plays no part.
+    """
+    if tz is None:
+        text = F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd HH:mm:ss")
+    else:
+        zero = F.lit(0)
+        since = F.make_dt_interval(zero, zero, zero, seconds.cast("decimal(18,6)"))
+        utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since
+        text = F.convert_timezone(F.lit("UTC"), F.lit(tz), utc).cast("string")
     return F.when(seconds == 0, ZERO_DATETIME).otherwise(text)
 
 

@@ -52,26 +52,46 @@ def last_commit(entries: DataFrame, rule: str = "transaction_end") -> DataFrame:
     )
 
 
+def next_ids(kept: DataFrame, commits: DataFrame, starts: DataFrame) -> DataFrame:
+    """server_id, batch_id, in_id: the ids that follow the last kept entry at or before each
+    server's commit, or its start's ids where nothing is kept up to there.
+
+    A server that keeps nothing at all has no line. ``commits`` and ``starts`` hold a row a server.
+    """
+    from tidelog.operators.sequence import ends_batch
+
+    at = commits.select("server_id", F.col("seq").alias("_commit"))
+    entry = F.struct("seq", "batch_id", "in_id", ends_batch().alias("end"))
+    newest = kept.join(at, "server_id").groupBy("server_id").agg(
+        F.max(F.when(F.col("seq") <= F.col("_commit"), entry)).alias("k"))
+    first = starts.select(
+        "server_id", F.col("batch_id").alias("_b0"), F.col("in_id").alias("_i0"))
+    zero = F.lit(0).cast("bigint")
+    ids = F.when(F.col("k").isNull(), F.struct(
+        F.coalesce("_b0", zero).alias("batch_id"), F.coalesce("_i0", zero).alias("in_id"))).when(
+        F.col("k.end"), F.struct((F.col("k.batch_id") + 1).alias("batch_id"), zero.alias("in_id"))
+    ).otherwise(F.struct(F.col("k.batch_id").alias("batch_id"), (F.col("k.in_id") + 1).alias("in_id")))
+    return newest.join(first, "server_id", "left").select("server_id", ids.alias("n")).select(
+        "server_id", "n.*")
+
+
 def make_checkpoint(
-    commits: DataFrame, kept: DataFrame, batch0: int = 0, in0: int = 0
+    commits: DataFrame, kept: DataFrame, starts: DataFrame | None = None
 ) -> DataFrame:
     """``file:end:batch:in`` per server that sent something.
 
-    The position is the last commit of the unfiltered log; the ids are the next
-    ids after the last kept entry.
+    The position is the last commit of the unfiltered log. The ids are those as of that commit, not
+    after the last kept entry: a run that resumes sends the entries of a transaction cut in the
+    middle again, and they get the ids they had. ``starts``: server_id, batch_id, in_id the
+    numbering began with, 0:0 where there is none.
     """
-    from tidelog.operators.sequence import ends_batch
-
-    newest = kept.withColumn("_end", ends_batch()).groupBy("server_id").agg(
-        F.max(F.struct("seq", "batch_id", "in_id", "_end")).alias("k")
-    )
-    following = newest.select(
-        "server_id",
-        F.when(F.col("k._end"), F.col("k.batch_id") + 1).otherwise(F.col("k.batch_id")).alias("batch_id"),
-        F.when(F.col("k._end"), F.lit(0)).otherwise(F.col("k.in_id") + 1).cast("bigint").alias("in_id"),
-    )
+    # One row a server, written so that its measured size decides how it is joined.
+    commits = written(commits, "commits")
+    if starts is None:
+        zero = F.lit(0).cast("bigint")
+        starts = commits.select("server_id", zero.alias("batch_id"), zero.alias("in_id"))
     pos = F.col("logfile_offset") + F.col("event_length")
-    return commits.join(following, "server_id").select(
+    return commits.join(next_ids(kept, commits, starts), "server_id").select(
         "server_id", "logfile", pos.alias("pos"), "batch_id", "in_id",
         F.concat_ws(":", "logfile", pos.cast("string"), F.col("batch_id").cast("string"),
                     F.col("in_id").cast("string")).alias("value"),

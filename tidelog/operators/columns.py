@@ -63,21 +63,39 @@ def attach_table(cells: DataFrame, resolved_rows: DataFrame) -> DataFrame:
 
 
 def enrich_columns(cells: DataFrame, meta: DataFrame) -> DataFrame:
-    """Name, key flag, declared type and unsigned flag by ordinal; null without metadata.
+    """Name, key flag, declared type and unsigned flag by ordinal; null without metadata. Cells
+    with a ``version`` get those of that version.
 
     The metadata grows with the schema, not with the log: no hint is given, so
     Spark broadcasts it only below its size threshold and otherwise splits hot
     tables in the shuffled join.
     """
+    versions = ["version"] if "version" in cells.columns else []
     described = meta.select(
-        "db", "tbl", "ordinal", "name",
+        "db", "tbl", *versions, "ordinal", "name",
         (F.upper("column_key") == "PRI").alias("is_key"),
         "column_type",
         F.contains(F.lower("column_type"), F.lit("unsigned")).alias("is_unsigned"),
         V.is_text_type(F.col("column_type")).alias("is_text"),
         V.is_binary_type(F.col("column_type")).alias("is_binary"),
     )
-    return cells.join(described, ["db", "tbl", "ordinal"], "left")
+    return cells.join(described, ["db", "tbl", *versions, "ordinal"], "left")
+
+
+def fitting_version(cells: DataFrame) -> DataFrame:
+    """Cells of events placed by ``statements.with_versions``: an event wider than its version
+    takes the next one, as a reload would. ``check``: ok, reloaded, or error if that is too narrow too.
+
+    The width is taken within the event, where its cells already are together.
+    """
+    wide = F.max("ordinal").over(Window.partitionBy(*EVENT_KEY)) + 1
+    fits = F.col("_width") <= F.col("_fits")
+    reloads = F.coalesce(F.col("_width") <= F.col("_next"), F.lit(False))
+    return cells.withColumn("_width", wide).withColumns({
+        "check": F.when(fits, "ok").when(reloads, "reloaded").otherwise("error"),
+        "version": F.when(fits | F.col("_next").isNull(), F.col("version")).otherwise(
+            F.col("version") + 1),
+    }).drop("_width", "_fits", "_next")
 
 
 def column_error(table: Column, width: Column, named: Column) -> Column:
@@ -140,11 +158,15 @@ def version_widths(versions: DataFrame, meta: DataFrame) -> DataFrame:
 def render_cells(
     cells: DataFrame, charset: str = "UTF-8", tz: str | None = None
 ) -> DataFrame:
-    """Text value and JDBC type of each enriched cell; ``tz`` is the zone of timestamps."""
+    """Text value and JDBC type of each enriched cell; ``tz`` is the zone of timestamps.
+
+    A TIMESTAMP2 cell with ``raw_micros`` shows as many digits of it as its ``meta`` says.
+    """
     w = S.WIRE
     raw, text, data = F.col("raw_long"), F.col("raw_str"), F.col("raw_bin")
     # Logs without floating point columns may leave the cell's number out.
     number = F.col("raw_double") if "raw_double" in cells.columns else F.lit(None).cast("double")
+    micros = F.col("raw_micros") if "raw_micros" in cells.columns else F.lit(None).cast("bigint")
     kind, base = F.col("_kind"), F.col("_base")
     staged = cells.withColumn(
         "_kind", V.effective_type(F.col("mysql_type"), F.col("meta"))
@@ -158,6 +180,8 @@ def render_cells(
         .when(kind == w["NEWDECIMAL"], V.render_decimal(text))
         .when(kind.isin(w["DATETIME"], w["DATETIME2"]), V.render_datetime(
             F.when(kind == w["DATETIME"], raw).otherwise(V.datetime2_number(raw))))
+        .when((kind == w["TIMESTAMP2"]) & micros.isNotNull(), V.render_timestamp2(
+            raw, micros, F.coalesce(F.col("meta").cast("int"), F.lit(0)), tz))
         .when(kind.isin(w["TIMESTAMP"], w["TIMESTAMP2"]), V.render_timestamp(raw, tz))
         .when(kind == w["FLOAT"], F.coalesce(number.cast("float").cast("string"), text))
         .when(kind == w["DOUBLE"], F.coalesce(number.cast("string"), text))

@@ -57,7 +57,8 @@ def fetch_metrics(events: DataFrame, entries: DataFrame, master: DataFrame) -> D
     now = master.select(
         "server_id", F.col("logfile").alias("_file"), F.col("pos").alias("_pos"))
     lag = position_lag(F.col("_file"), F.col("_pos"), F.col("at.logfile"), F.col("at.log_pos"))
-    return per_minute.join(now, "server_id").select(
+    # A server whose master is unknown keeps its counts and has no lag.
+    return per_minute.join(now, "server_id", "left").select(
         "server_id", F.col("w.start").alias("minute_start"), "fetch_rows", "fetch_size",
         (F.col("fetch_size") / BYTES_PER_MB).alias("fetch_mb"), lag.alias("delay_num"),
     )

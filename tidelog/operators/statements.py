@@ -142,24 +142,29 @@ def ddl_entries(classified: DataFrame) -> DataFrame:
 def validity_intervals(classified: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:
     """Per table, the seq intervals between statements that end its metadata.
 
-    Interval 1 is open at the left; interval n+1 starts after the n-th statement.
+    Interval 1 is open at the left; interval n+1 starts after the n-th statement. ``changes``
+    counts the statements before it that changed the table's columns.
     The few statements concerned are written once, so the log is searched once.
     """
     good, _ = quarantine_ddl(classified)
     ends = written(good.filter(_kind_in(INVALIDATING_KINDS, "")).select(
-        "server_id", "seq", "db", "tbl"), "invalidations")
+        "server_id", "seq", "db", "tbl",
+        X.changes_columns(X.strip_comments(F.col("query")), F.col("kind")).alias("changed")),
+        "invalidations")
     by = ["server_id", "db", "tbl"]
-    numbered = positions(ends, by, "seq", width=width).withColumn("_back", -F.col("seq"))
+    numbered = positions(ends, by, "seq", F.col("changed"), width=width).withColumn(
+        "_back", -F.col("seq"))
     following = latest(
         numbered, by, "_back", {"valid_to": F.col("seq")}, exclusive=["valid_to"], width=width
     )
     later = following.select(
         *by, F.col("seq").alias("valid_from"), "valid_to",
         (F.col("rows_before") + 2).alias("interval"),
+        (F.col("marks_before") + F.col("changed").cast("bigint")).alias("changes"),
     )
     first = ends.groupBy(*by).agg(F.min("seq").alias("valid_to")).select(
         *by, F.lit(None).cast("bigint").alias("valid_from"), "valid_to",
-        F.lit(1).cast("bigint").alias("interval"),
+        F.lit(1).cast("bigint").alias("interval"), F.lit(0).cast("bigint").alias("changes"),
     )
     return first.unionByName(later)
 
@@ -170,8 +175,9 @@ def schema_versions(
     """Metadata columns with the interval in which each version is in force.
 
     ``seen`` holds the (server_id, db, tbl) met in the log. A table no statement
-    touches keeps its first version for good; once the statements outnumber the
-    known versions the last version stays in force.
+    touches keeps its first version for good. The next version comes into force with a statement
+    that changes the table's columns; others only end an interval. Once such statements outnumber
+    the known versions the last version stays in force.
     """
     by = ["server_id", "db", "tbl"]
     intervals = validity_intervals(classified, width)
@@ -179,6 +185,43 @@ def schema_versions(
     placed = seen.select(*by).distinct().join(versions, ["db", "tbl"]).join(intervals, by, "left")
     first = F.lit(1).cast("bigint")
     chosen = placed.withColumn("interval", F.coalesce("interval", first)).withColumn(
-        "version", F.least("interval", "_max").cast("int")
+        "version", F.least(F.coalesce("changes", F.lit(0)) + 1, "_max").cast("int")
     )
-    return chosen.drop("_max").join(meta, ["db", "tbl", "version"])
+    return chosen.drop("_max", "changes").join(meta, ["db", "tbl", "version"])
+
+
+def column_changes(entries: DataFrame) -> DataFrame:
+    """server_id, seq, db, tbl of the entries that leave their table with other columns."""
+    return entries.filter(F.col("event_type").isin(INVALIDATING_KINDS) & X.changes_columns(
+        X.strip_comments(F.col("sql")), F.col("event_type"))).select("server_id", "seq", "db", "tbl")
+
+
+def with_versions(
+    rows: DataFrame, changes: DataFrame, meta: DataFrame, before: DataFrame | None = None,
+    width: int = DEFAULT_WIDTH,
+) -> DataFrame:
+    """Rows events with the metadata ``version`` in force at them, its columns ``_fits``, and
+    ``_next``, the columns of the version after it, if there is one.
+
+    ``changes``: the statements that changed columns (server_id, seq, db, tbl); each brings its
+    table's next version into force. ``before``: server_id, db, tbl, changes of earlier parts of
+    the log. Statements are lines of the log among its rows events, so an event finds the last one
+    before it whatever the number of either; tables without metadata get nulls.
+    """
+    by = ["server_id", "db", "tbl"]
+    marks = positions(written(changes, "column_changes"), by, "seq", width=width).select(
+        *by, "seq", (F.col("rows_before") + 1).alias("_n"))
+    placed = latest(rows.unionByName(marks, allowMissingColumns=True), by, "seq",
+                    {"_n": F.col("_n")}, width=width).filter(F.col("event_type").isNotNull())
+    passed = F.coalesce("_n", F.lit(0))
+    if before is not None:
+        placed = placed.join(written(before, "changes_before"), by, "left")
+        passed = passed + F.coalesce("changes", F.lit(0))
+    key = ["db", "tbl"]
+    sizes = meta.groupBy(*key, "version").agg(F.count(F.lit(1)).alias("_fits"))
+    ends = sizes.groupBy(*key).agg(F.min("version").alias("_low"), F.max("version").alias("_high"))
+    after = sizes.select(*key, (F.col("version") - 1).alias("version"), F.col("_fits").alias("_next"))
+    chosen = placed.join(ends, key, "left").withColumn(
+        "version", F.least(F.col("_low") + passed, F.col("_high")).cast("int"))
+    return chosen.join(sizes, [*key, "version"], "left").join(
+        after, [*key, "version"], "left").select(*rows.columns, "version", "_fits", "_next")

@@ -27,6 +27,9 @@ from tidelog import schemas as S
 ENTRY_FIELDS = [f.name for f in S.ENTRY.fields]
 #: Columns of the rejected events a plan returns.
 REJECTED = ["server_id", "seq", "logfile", "logfile_offset", "reason"]
+#: Columns written beside a message's value, and those of them that a plan does not return.
+NOT_SENT = ["logfile", "logfile_offset", "body_reason", "entry_type", "is_ddl"]
+KEPT_BESIDE = ("server_id", "seq", "batch_id", "in_id", *NOT_SENT)
 
 
 def judged_entries(
@@ -158,19 +161,45 @@ def track_rows(raw: DataFrame, allow: Sequence[str], width: int = DEFAULT_WIDTH)
     return Q.assign_batch_ids(written(kept, "kept"), width=width)
 
 
-def row_bodies(
-    kept: DataFrame, cells: DataFrame, meta: DataFrame, charset: str = "UTF-8"
+def has_versions(meta: DataFrame) -> bool:
+    """Whether a table has several versions of its metadata."""
+    return "version" in meta.columns and bool(meta.groupBy("db", "tbl").agg(
+        F.count_distinct("version").alias("n")).filter("n > 1").take(1))
+
+
+def described_cells(
+    kept: DataFrame, cells: DataFrame, meta: DataFrame, changes: DataFrame,
+    before: DataFrame | None = None, width: int = DEFAULT_WIDTH,
 ) -> DataFrame:
-    """Nested, enriched, rendered and compared row images of the kept rows events.
+    """Cells of the kept rows events with their columns' metadata.
 
-    ``body_reason`` says why an event's images cannot be named: its table has no metadata, or
-    fewer columns than the event.
+    With several versions of a table's metadata each event gets the one in force at it: a statement
+    in ``changes`` (server_id, seq, db, tbl) brings the next, and an event too wide for its
+    version takes the next at once.
     """
     # Cells and entries meet on the event, the key every later step groups by.
     owners = kept.filter(F.col("event_type").isin("INSERT", "UPDATE", "DELETE")).select(
         *E.EVENT_KEY, "db", "tbl", "event_type")
-    owned = cells.join(owners, E.EVENT_KEY)
-    rendered = E.render_cells(E.enrich_columns(owned, meta), charset)
+    if not has_versions(meta):
+        return E.enrich_columns(cells.join(owners, E.EVENT_KEY), meta)
+    owners = T.with_versions(owners, changes, meta, before, width)
+    return E.enrich_columns(E.fitting_version(cells.join(owners, E.EVENT_KEY)), meta)
+
+
+def row_bodies(
+    kept: DataFrame, cells: DataFrame, meta: DataFrame, charset: str = "UTF-8", *,
+    tz: str | None = None, changes: DataFrame | None = None, before: DataFrame | None = None,
+    width: int = DEFAULT_WIDTH,
+) -> DataFrame:
+    """Nested, enriched, rendered and compared row images of the kept rows events.
+
+    ``body_reason`` says why an event's images cannot be named: its table has no metadata, or
+    fewer columns than the event. ``changes`` (by default the statements in ``kept``) and
+    ``before`` choose among versions of the metadata; ``tz`` is the zone of timestamps.
+    """
+    changes = T.column_changes(kept) if changes is None else changes
+    described = described_cells(kept, cells, meta, changes, before, width)
+    rendered = E.render_cells(described, charset, tz)
     shaped = rendered.select(
         *E.CELL_KEY, "image", "sql_type", "name", "is_key", F.lit(False).alias("updated"),
         F.concat_ws(".", "db", "tbl").alias("_table"),
@@ -187,10 +216,10 @@ def row_bodies(
 
 def track_changes(
     raw: DataFrame, cells: DataFrame, meta: DataFrame, allow: Sequence[str], *,
-    topic: str = "changes", markers: str = "keep", batch0: int = 0, in0: int = 0,
+    topic: str = "changes", markers: str = "keep",
     max_bytes: int = Q.SEND_BYTES, max_rows: int = Q.SEND_ROWS, width: int = DEFAULT_WIDTH,
-    charset: str = "UTF-8", skip_errors: bool = False, checkpoints: DataFrame | None = None,
-    **options,
+    charset: str = "UTF-8", tz: str | None = None, skip_errors: bool = False,
+    checkpoints: DataFrame | None = None, **options,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Raw log to numbered, packed messages, the checkpoint to confirm after them, and the events
     rejected (unknown table id, DDL without a table, no or too narrow metadata).
@@ -199,41 +228,44 @@ def track_changes(
     ``skip_errors``. An entry rejected for its metadata keeps its number, so numbers do not
     change when it goes through later. With ``checkpoints`` (server_id, logfile, pos, batch_id,
     in_id, as a run returns them) each server goes on from its own; ``raw`` may begin earlier,
-    and table maps before the position still count. Entries and finished message values are each written once:
+    and table maps and changes of columns before the position still count. A checkpoint's ids are
+    those as of its position, so what is sent again has the ids it had. ``meta`` may hold several
+    versions of a table, ``tz`` is the zone of timestamps. Entries and finished message values are each written once:
     both have several readers, and context must not be attached again for each of them.
     """
-    judged = judged_entries(raw, allow, width=width, **options)
+    judged = written(judged_entries(raw, allow, width=width, **options), "entries")
+    # The whole log's, also before the position.
+    changes = T.column_changes(judged.filter(F.col("reason").isNull()))
+    start = None
     if checkpoints is not None:
         # One row a server, written so that its measured size decides how it is joined.
         start = written(checkpoints.select(
             "server_id", "logfile", "pos", "batch_id", "in_id"), "start")
         judged = resumed(judged, start)
-    judged = written(judged, "entries")
     entries = judged.filter(F.col("reason").isNull()).drop("reason")
     passing = second_filter(entries, allow, markers)
-    if checkpoints is None:
-        kept = Q.assign_batch_ids(passing, batch0, in0, width)
+    if start is None:
+        kept = Q.assign_batch_ids(passing, width=width)
     else:
         kept = continued(passing, start, width)
-    full = kept.join(row_bodies(passing, cells, meta, charset), E.EVENT_KEY, "left")
+    bodies = row_bodies(passing, cells, meta, charset, tz=tz, changes=changes, width=width)
+    full = kept.join(bodies, E.EVENT_KEY, "left")
     value_columns = [*ENTRY_FIELDS, "batch_id", "in_id", "row_datas"]
-    out = written(publish_changes(full, topic, value_columns, keep=(
-        "server_id", "seq", "batch_id", "in_id", "logfile", "logfile_offset", "body_reason")),
-        "values")
+    out = written(publish_changes(full, topic, value_columns, keep=KEPT_BESIDE), "values")
     bad = out.filter(F.col("body_reason").isNotNull()).withColumnRenamed("body_reason", "reason")
     rejected = rejected_of(judged).unionByName(bad.select(*REJECTED))
-    good = out.filter(F.col("body_reason").isNull()).drop(
-        "body_reason", "logfile", "logfile_offset")
+    good = out.filter(F.col("body_reason").isNull()).drop(*NOT_SENT)
     messages = Q.pack_messages(good, F.octet_length("value"), max_bytes, max_rows, width=width)
     if not skip_errors:
-        entries, kept = held(entries, rejected), held(kept, rejected)
-    # The position comes from the last commit before the second filter.
-    return messages, P.make_checkpoint(P.last_commit(entries), kept), rejected
+        entries = held(entries, rejected)
+    # The position comes from the last commit before the second filter; ids are sought up to there.
+    return messages, P.make_checkpoint(P.last_commit(entries), out, start), rejected
 
 
 def track_to_store(
     raw: DataFrame, cells: DataFrame, meta: DataFrame, patterns: str | None, next_key: int = 0,
-    width: int = DEFAULT_WIDTH, skip_errors: bool = False,
+    width: int = DEFAULT_WIDTH, skip_errors: bool = False, *, charset: str = "UTF-8",
+    tz: str | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Raw log to stored rows under dense keys, the two-column checkpoint, and the rejected events.
 
@@ -243,7 +275,9 @@ def track_to_store(
     kept = written(D.match_tables(
         judged.filter(F.col("reason").isNull()).drop("reason"), patterns), "kept")
     keyed = append_event_rows(kept, next_key, width=width)
-    rows = written(keyed.join(row_bodies(kept, cells, meta), E.EVENT_KEY, "left"), "rows")
+    changes = T.column_changes(judged.filter(F.col("reason").isNull()))
+    bodies = row_bodies(kept, cells, meta, charset, tz=tz, changes=changes, width=width)
+    rows = written(keyed.join(bodies, E.EVENT_KEY, "left"), "rows")
     bad = rows.filter(F.col("body_reason").isNotNull()).withColumnRenamed("body_reason", "reason")
     rejected = rejected_of(judged).unionByName(bad.select(*REJECTED))
     rows = rows.filter(F.col("body_reason").isNull()).drop("body_reason")
@@ -262,7 +296,7 @@ def track_to_store(
 
 def simple_track(
     raw: DataFrame, cells: DataFrame, meta: DataFrame, allow: Sequence[str],
-    width: int = DEFAULT_WIDTH,
+    width: int = DEFAULT_WIDTH, *, charset: str = "UTF-8", tz: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Listing of the effective image of each kept row with its table and position, and the
     rows events whose table is unknown. Cells without metadata are listed without a name."""
@@ -270,12 +304,16 @@ def simple_track(
     lost = resolved.filter(F.col("table_error").isNotNull()).select(
         "server_id", "seq", "logfile", C.header_columns()["logfile_offset"].alias("logfile_offset"),
         F.col("table_error").alias("reason"))
-    rows = C.row_entries(D.allow_tables(resolved, allow))
-    owned = cells.join(
-        rows.select(*E.EVENT_KEY, "logfile", "logfile_offset", "execute_time", "db", "tbl",
-                    "event_type"), E.EVENT_KEY)
-    shown = E.effective_image(owned)
-    rendered = E.render_cells(E.enrich_columns(shown, meta))
+    rows = C.row_entries(D.allow_tables(resolved, allow)).select(
+        *E.EVENT_KEY, "logfile", "logfile_offset", "execute_time", "db", "tbl", "event_type")
+    if has_versions(meta):
+        good, _ = T.quarantine_ddl(T.classify_statements(raw))
+        changes = T.column_changes(good.withColumnsRenamed({"kind": "event_type", "query": "sql"}))
+        rows = T.with_versions(rows, changes, meta, width=width)
+        shown = E.effective_image(E.fitting_version(cells.join(rows, E.EVENT_KEY)))
+    else:
+        shown = E.effective_image(cells.join(rows, E.EVENT_KEY))
+    rendered = E.render_cells(E.enrich_columns(shown, meta), charset, tz)
     listing = rendered.select(
         *E.CELL_KEY, "event_type", "execute_time",
         F.concat_ws(".", "db", "tbl").alias("dbtb"),
