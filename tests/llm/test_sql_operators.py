@@ -258,3 +258,20 @@ def test_rank_queries():
         at = merkle.Ranks(blob, np.array(many, np.uint16).tobytes(), np.full(len(many), 3).tobytes())
         before = {x: k + 2 * -(-k // 7) for k, x in enumerate(ids)}
         assert at.rank(np.array(ids)).tolist() == list(before.values())
+
+
+def test_counters_grow_with_the_buckets():
+    """What counts as hot stays the same part of a bucket, so the share of lone windows does not
+    rise with the input: an average counter is at most a quarter of the threshold."""
+    for buckets in (1, 500, 4_000, 60_000, 260_000):
+        counters = substring_dedup.counters_for(buckets)
+        total = 15_000 * buckets
+        assert counters & (counters - 1) == 0 and total / counters <= total / (4 * buckets) / 4
+
+
+def test_rows_repeated_very_often(spark, same):
+    """A third of all rows alike: they travel once a task, and come back as often as they are."""
+    text = " ".join(f"t{k}" for k in range(30))
+    rows = [(k, f"x{k} {text if k % 5 == 0 else ''} y{k}") for k in range(300)] + [(3, text)] * 200
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(9)
+    same(substring_dedup.remove_repeats(df), substring_dedup.ORACLE, documents=df)

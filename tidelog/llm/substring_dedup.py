@@ -6,8 +6,13 @@ string, a super-k-mer, to the minimiser's bucket. There the windows of all strin
 hash and, in a hash, by document; equal neighbours are compared byte by byte, and every window
 that also starts in a smaller document is reported. Reports meet the texts once more.
 
-Skew: a minimiser of very many windows is found beforehand by a fixed-size count over all documents;
-its its windows travel one by one, each to the bucket of its own hash. Of equal strings in a chunk of
+A shuffle partition holds SUB buckets, which are looked at one after another: a task sends few
+large, well compressed packets, whatever the number of buckets, and memory is that of one bucket.
+The texts travel to their reports in packets of the same kind, equal rows of a task once.
+
+Skew: a minimiser of very many windows is found beforehand by a count over all documents, whose
+counters grow with the buckets, so that hot means a quarter of a bucket at any size;
+its windows travel one by one, each to the bucket of its own hash. Of equal strings in a chunk of
 documents only those of the smallest document travel, the others are already decided; a task also
 remembers the windows that travelled alone, so a bucket gets one of them about once per task, not
 once per document.
@@ -24,16 +29,22 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm.common import partitions_for
 from tidelog.llm.hashing import mix, run_hashes, span_hashes, word_spans
 from tidelog.sources.shared import written
 
 WINDOW = 13
 #: Words of the runs that minimisers are chosen from.
 GRAM = 3
-#: Counters of the count of minimisers.
-COUNTERS = 1 << 16
-#: Bytes of text handled together in a task, and of packed strings in a bucket.
-CHUNK, BUCKET = 4 << 20, 6 << 20
+#: Counters of the count of minimisers: for each bucket, at least, and at most.
+PER_BUCKET, LEAST_COUNTERS, MOST_COUNTERS = 16, 1 << 16, 1 << 22
+#: Bytes of text handled together in a task, of packed strings in a bucket, and of text whose
+#: packets are sent together.
+CHUNK, BUCKET, PACKET = 4 << 20, 6 << 20, 16 << 20
+#: Buckets of a shuffle partition, and bytes of text in one when texts meet their reports.
+SUB, TEXTS = 10, 48 << 20
+#: Compression of packets.
+LEVEL = 3
 #: Lone windows that a task remembers; beyond, it starts anew and more of them travel.
 REMEMBERED = 200_000
 #: Stands for a null doc_id, which is larger than all others.
@@ -99,56 +110,84 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, lis
             docs, tags, texts, size = [], [], [], 0
 
 
-def _count(window: int, gram: int):
+def counters_for(buckets: int) -> int:
+    """Counters, a power of two, for this many buckets."""
+    wish = 1 << (PER_BUCKET * buckets - 1).bit_length()
+    return max(LEAST_COUNTERS, min(MOST_COUNTERS, wish))
+
+
+def _count(window: int, gram: int, counters: int):
     """Per task: super-k-mers per counter."""
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, np.int64)
+        total = np.zeros(counters, np.int64)
         for _, _, texts in _chunks(batches):
             words = Words(texts)
             at = words.windows(window)
             low = words.minimisers(at, window, gram)
             low = low[_runs(at, low, np.zeros(len(at), bool))] if len(at) else low
-            total += np.bincount((low % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+            total += np.bincount((low % np.uint64(counters)).astype(np.int64), minlength=counters)
         slot = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(slot, pa.int32()), pa.array(total[slot], pa.int64())], names=["slot", "n"])
     return over
 
 
-def _pack(arrays: list[np.ndarray], words: list[bytes]) -> bytes:
-    head = np.array([len(a) for a in arrays], np.int64).tobytes()
-    body = b"".join([head, *(a.tobytes() for a in arrays), b" ".join(words)])
-    return zstandard.ZstdCompressor(level=1).compress(body)
-
-
-#: Of the arrays of a blob: doc, tag, start, windows; then the same of the decided ones.
+#: Of the arrays of a bucket: doc, tag, start, windows; then the same of the decided ones.
 _KINDS = [np.int64, np.int64, np.int32, np.int32] * 2
 
 
-def _unpack(blob: bytes) -> tuple[list[np.ndarray], bytes]:
-    data = zstandard.ZstdDecompressor().decompress(blob)
-    at = 8 * len(_KINDS)
-    arrays = []
-    for n, kind in zip(np.frombuffer(data, np.int64, len(_KINDS)), _KINDS):
-        arrays.append(np.frombuffer(data, kind, n, at))
-        at += arrays[-1].nbytes
-    return arrays, data[at:]
+def _pack(segments: list[tuple[int, list[list[np.ndarray]], list[bytes]]]) -> bytes:
+    """A packet: per bucket its number in the partition, its arrays and its strings."""
+    body = []
+    for sub, pieces, strings in segments:
+        arrays = [np.concatenate(x) for x in zip(*pieces)]
+        text = b" ".join(strings)
+        body.append(np.array([sub, len(text), *map(len, arrays)], np.int64).tobytes())
+        body += [a.tobytes() for a in arrays]
+        body.append(text)
+    return zstandard.ZstdCompressor(level=LEVEL).compress(b"".join(body))
 
 
-def _send(window: int, gram: int, parts: int, hot: np.ndarray):
-    """Super-k-mers of each chunk, packed per bucket."""
-    is_hot = np.zeros(COUNTERS, bool)
+def _unpack(blob: bytes) -> Iterator[tuple[int, list[np.ndarray], bytes]]:
+    data = zstandard.ZstdDecompressor().decompress(blob)
+    at = 0
+    while at < len(data):
+        sub, size, *counts = np.frombuffer(data, np.int64, 2 + len(_KINDS), at).tolist()
+        at += 8 * (2 + len(_KINDS))
+        arrays = []
+        for n, kind in zip(counts, _KINDS):
+            arrays.append(np.frombuffer(data, kind, n, at))
+            at += arrays[-1].nbytes
+        yield sub, arrays, data[at:at + size]
+        at += size
+
+
+def _send(window: int, gram: int, parts: int, hot: np.ndarray, counters: int):
+    """Super-k-mers, packed per shuffle partition, by buckets."""
+    is_hot = np.zeros(counters, bool)
     is_hot[hot] = True
 
+    def packets(held: dict[int, tuple[list, list]]) -> pa.RecordBatch:
+        """What is held for every bucket, as a packet per partition."""
+        found: dict[int, list] = {}
+        for bucket in sorted(held):
+            found.setdefault(bucket // SUB, []).append((bucket % SUB, *held[bucket]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(found), pa.int32()),
+             pa.array([_pack(x) for x in found.values()], pa.binary())], names=["part", "blob"])
+
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent_before: dict[bytes, int] = {}
+        held: dict[int, tuple[list, list]] = {}
+        size = 0
         for docs, tags, texts in _chunks(batches):
+            size += sum(map(len, texts))
             words = Words(texts)
             at = words.windows(window)
             if not len(at):
                 continue
             low = words.minimisers(at, window, gram)
-            alone = is_hot[(low % np.uint64(COUNTERS)).astype(np.int64)]
+            alone = is_hot[(low % np.uint64(counters)).astype(np.int64)]
             begin = _runs(at, low, alone)
             count = np.diff(np.append(begin, len(at)))
             first = at[begin]
@@ -176,19 +215,19 @@ def _send(window: int, gram: int, parts: int, hot: np.ndarray):
             if len(sent_before) > REMEMBERED:
                 sent_before.clear()
             decided = doc > np.fromiter(map(smallest.__getitem__, strings), np.int64, len(strings))
-            part = (mix(route) % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            cuts = np.flatnonzero(np.diff(part[order])) + 1
-            out_part, blobs = [], []
+            bucket = (mix(route) % np.uint64(parts * SUB)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.flatnonzero(np.diff(bucket[order])) + 1
             for own in np.split(order, cuts):
                 sent, done = own[~decided[own]], own[decided[own]]
-                out_part.append(int(part[own[0]]))
-                blobs.append(_pack(
-                    [x[k] for k in (sent, done) for x in (doc, tag, start, count)],
-                    [strings[k] for k in sent.tolist()]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out_part, pa.int32()), pa.array(blobs, pa.binary())],
-                names=["part", "blob"])
+                pieces, kept = held.setdefault(int(bucket[own[0]]), ([], []))
+                pieces.append([x[k] for k in (sent, done) for x in (doc, tag, start, count)])
+                kept += [strings[k] for k in sent.tolist()]
+            if size >= PACKET:
+                yield packets(held)
+                held, size = {}, 0
+        if held:
+            yield packets(held)
     return over
 
 
@@ -221,38 +260,43 @@ def _repeated(buffer: bytes, begin: np.ndarray, end: np.ndarray, h: np.ndarray,
     return out
 
 
+def _found(window: int, found: list[tuple[list[np.ndarray], bytes]]) -> list[list[np.ndarray]]:
+    """One bucket: the runs of windows that a smaller document has, in sets of arrays."""
+    doc, tag, start, count, *decided = (np.concatenate(x) for x in zip(*(a for a, _ in found)))
+    out = [decided]
+    if not len(doc):
+        return out
+    buffer = b" ".join([text for _, text in found if text])
+    starts, ends = word_spans(buffer)
+    h = run_hashes(span_hashes(buffer, starts, ends), window)
+    sizes = count.astype(np.int64)
+    word = np.concatenate(([0], np.cumsum(sizes + window - 1)))[:-1]
+    before = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+    piece = np.repeat(np.arange(len(doc)), sizes)
+    inside = np.arange(len(piece)) - before[piece]
+    at = word[piece] + inside
+    again = _repeated(buffer, starts[at], ends[at + window - 1], h[at], doc[piece])
+    hit = np.flatnonzero(again)
+    if len(hit):
+        new = np.ones(len(hit), bool)
+        new[1:] = (np.diff(hit) != 1) | (np.diff(piece[hit]) != 0)
+        first = np.flatnonzero(new)
+        k = hit[first]
+        out.append([doc[piece[k]], tag[piece[k]], (start[piece[k]] + inside[k]).astype(np.int32),
+                    np.diff(np.append(first, len(hit))).astype(np.int32)])
+    return out
+
+
 def _receive(window: int):
-    """One bucket: runs of windows that a smaller document has, as doc, tag, start, n."""
+    """One partition: runs of windows that a smaller document has, as doc, tag, start, n."""
     def over(table: pa.Table) -> pa.Table:
-        arrays, strings = [], []
-        for blob in table.column("blob").to_pylist():
-            found, text = _unpack(blob)
-            arrays.append(found)
-            if text:
-                strings.append(text)
-        doc, tag, start, count, *decided = (np.concatenate(x) for x in zip(*arrays))
-        out = [decided]
-        if len(doc):
-            buffer = b" ".join(strings)
-            del strings, arrays
-            starts, ends = word_spans(buffer)
-            h = run_hashes(span_hashes(buffer, starts, ends), window)
-            sizes = count.astype(np.int64)
-            word = np.concatenate(([0], np.cumsum(sizes + window - 1)))[:-1]
-            before = np.concatenate(([0], np.cumsum(sizes)))[:-1]
-            piece = np.repeat(np.arange(len(doc)), sizes)
-            inside = np.arange(len(piece)) - before[piece]
-            at = word[piece] + inside
-            again = _repeated(buffer, starts[at], ends[at + window - 1], h[at], doc[piece])
-            hit = np.flatnonzero(again)
-            if len(hit):
-                new = np.ones(len(hit), bool)
-                new[1:] = (np.diff(hit) != 1) | (np.diff(piece[hit]) != 0)
-                first = np.flatnonzero(new)
-                k = hit[first]
-                out.append([doc[piece[k]], tag[piece[k]],
-                            (start[piece[k]] + inside[k]).astype(np.int32),
-                            np.diff(np.append(first, len(hit))).astype(np.int32)])
+        buckets: dict[int, list] = {}
+        for blob in table.column("blob"):
+            for sub, arrays, text in _unpack(blob.as_py()):
+                buckets.setdefault(sub, []).append((arrays, text))
+        out = [[np.empty(0, k) for k in _KINDS[:4]]]
+        while buckets:
+            out += _found(window, buckets.popitem()[1])
         return pa.table({n: np.concatenate([o[k] for o in out])
                          for k, n in enumerate(("doc", "tag", "start", "n"))})
     return over
@@ -267,39 +311,83 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Packed strings hold about three times the text.
-    parts = max(least, -(-3 * size // BUCKET))
-    counts = rows.mapInArrow(_count(window, gram), "slot int, n bigint").groupBy("slot").agg(
+    parts = max(least, -(-3 * size // (BUCKET * SUB)))
+    counters = counters_for(parts * SUB)
+    counts = rows.mapInArrow(_count(window, gram, counters), "slot int, n bigint").groupBy("slot").agg(
         F.sum("n").alias("n"))
     counts = written(counts, "minimiser_counts")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    # Fewer than 4 * parts counters can hold more than this.
-    hot = np.array([r.slot for r in counts.filter(F.col("n") > max(1000, total // (4 * parts)))
-                    .select("slot").collect()], np.int64)
-    sent = rows.mapInArrow(_send(window, gram, parts, hot), "part int, blob binary")
+    # Fewer than 4 counters a bucket can hold more than this.
+    hot = np.array([r.slot for r in counts.filter(F.col("n") > max(
+        1000, total // (4 * parts * SUB))).select("slot").collect()], np.int64)
+    sent = rows.mapInArrow(_send(window, gram, parts, hot, counters), "part int, blob binary")
     return sent.groupBy("part").applyInArrow(
         _receive(window), "doc bigint, tag bigint, start int, n int")
 
 
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts packed per partition: doc, whether it is null, tag, copies and bytes of each."""
+    held: dict[int, dict[tuple, int]] = {}
+    size = 0
+
+    def packets() -> pa.RecordBatch:
+        blobs = []
+        for rows in held.values():
+            docs, tags, texts = zip(*rows)
+            data = [t.encode("utf-8", "surrogatepass") for t in texts]
+            blobs.append(zstandard.ZstdCompressor(level=LEVEL).compress(b"".join([
+                np.array([len(rows)], np.int64).tobytes(),
+                np.array([d or 0 for d in docs], np.int64).tobytes(),
+                np.array([d is None for d in docs], np.int64).tobytes(),
+                np.array(tags, np.int64).tobytes(), np.array(list(rows.values()), np.int64).tobytes(),
+                np.array(list(map(len, data)), np.int64).tobytes(), *data])))
+        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array(
+            blobs, pa.binary())], names=["part", "blob"])
+
+    for batch in batches:
+        for part, doc, tag, text in zip(*(batch.column(c).to_pylist() for c in (
+                "part", "doc", "tag", "text"))):
+            rows = held.setdefault(part, {})
+            key = (doc, tag, text or "")
+            # A row met again is counted.
+            size += 0 if key in rows else len(text or "")
+            rows[key] = rows.get(key, 0) + 1
+            if size >= PACKET:
+                yield packets()
+                held, size = {}, 0
+    if held:
+        yield packets()
+
+
 def _remove(window: int):
-    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for text, runs in zip(batch.column("text"), batch.column("runs")):
-                words = (text.as_py() or "").encode("utf-8", "surrogatepass").split()
-                n = len(words)
-                if runs.is_valid:
-                    found = runs.values.flatten()
-                    start, count = (x.to_numpy().astype(np.int64) for x in found)
-                    edge = np.zeros(n + 1, np.int64)
-                    np.add.at(edge, start, 1)
-                    np.add.at(edge, start + count + window - 1, -1)
-                    words = [words[k] for k in np.flatnonzero(np.cumsum(edge)[:n] == 0).tolist()]
-                rows.append((n, n - len(words), sha256(b" ".join(words)).hexdigest()))
-            columns = list(zip(*rows)) if rows else [()] * 3
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(columns[0], pa.int64()),
-                 pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.string())],
-                names=["doc_id", "n_words", "n_removed", "kept_sha256"])
+    """Texts of one partition and their runs to the contract's rows."""
+    def over(texts: pa.Table, reports: pa.Table) -> pa.Table:
+        found: dict[tuple[int, int], list[int]] = {}
+        for k, at in enumerate(zip(reports.column("doc").to_pylist(), reports.column("tag").to_pylist())):
+            found.setdefault(at, []).append(k)
+        start, count = (reports.column(c).to_numpy().astype(np.int64) for c in ("start", "n"))
+        out = []
+        for blob in texts.column("blob"):
+            data = zstandard.ZstdDecompressor().decompress(blob.as_py())
+            n = int(np.frombuffer(data, np.int64, 1)[0])
+            docs, null, tags, copies, sizes = np.frombuffer(data, np.int64, 5 * n, 8).reshape(5, n).tolist()
+            at = 8 + 40 * n
+            for doc, is_null, tag, times, size in zip(docs, null, tags, copies, sizes):
+                words = data[at:at + size].split()
+                at += size
+                total = len(words)
+                runs = found.get((int(LAST) if is_null else doc, tag))
+                if runs:
+                    edge = np.zeros(total + 1, np.int64)
+                    np.add.at(edge, start[runs], 1)
+                    np.add.at(edge, start[runs] + count[runs] + window - 1, -1)
+                    words = [words[k] for k in np.flatnonzero(np.cumsum(edge)[:total] == 0).tolist()]
+                out += [(None if is_null else doc, total, total - len(words),
+                         sha256(b" ".join(words)).hexdigest())] * times
+        columns = list(zip(*out)) if out else [()] * 4
+        return pa.table([pa.array(c, t) for c, t in zip(
+            columns, (pa.int64(), pa.int64(), pa.int64(), pa.string()))],
+            names=["doc_id", "n_words", "n_removed", "kept_sha256"])
     return over
 
 
@@ -310,13 +398,16 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     affect each other; a null doc_id is larger than all others; an empty table gives an empty
     result.
     """
-    runs = written(repeated_windows(docs, window, gram), "repeated_windows")
-    found = runs.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST)))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", doc.alias("doc"),
-                       F.xxhash64("text").alias("tag"))
-    return rows.join(found.hint("shuffle_hash"), ["doc", "tag"], "left").select(
-        "doc_id", "text", "runs").mapInArrow(
+    reports = written(repeated_windows(docs, window, gram), "repeated_windows")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = partitions_for(docs, size, TEXTS)
+    part = F.pmod(F.xxhash64("key", "tag"), F.lit(parts)).cast("int").alias("part")
+    doc = F.col("doc_id").cast("long")
+    rows = docs.select(doc.alias("doc"), F.coalesce(doc, F.lit(int(LAST))).alias("key"),
+                       F.xxhash64("text").alias("tag"), "text")
+    sent = rows.select(part, "doc", "tag", "text").mapInArrow(_texts, "part int, blob binary")
+    runs = reports.withColumnRenamed("doc", "key").select(part, F.col("key").alias("doc"), "tag", "start", "n")
+    return sent.groupBy("part").cogroup(runs.groupBy("part")).applyInArrow(
         _remove(window), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
 
 
