@@ -99,11 +99,30 @@ def test_urls(spark, same):
             "a://b://c/d", "http://q.net?z", "http://q.net/a/b/c/d/e/f/g/1"]
     urls += [f"http://site.example.com/{'de' if k % 3 else 'fr'}/s{k}/{k}" for k in range(300)]
     urls += ["http://a.net/de/7"] * 50
+    urls += [f"http://deep.example.com/a/b/c/d/e/{'spam' if k % 2 else 'news'}/f/{k}" for k in range(9)]
+    urls += [f"http://wide.example.org/x/{chr(97 + k % 26)}{chr(97 + k % 7)}/{k}/" for k in range(400)]
+    urls += ["http://long.org/" + "/".join(f"s{chr(97 + k % 26)}" for k in range(2_000))]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
     same(url_filter.filter_urls(pages), url_filter.ORACLE, pages=pages)
     assert url_filter.filter_urls(pages.filter("false")).collect() == []
 
 
+def test_unruled_urls_are_decided_by_their_template(spark, same):
+    """Six segments down, and on a host of its own: bad sections that no rule names."""
+    rules = [("bad.com/", "block"), ("good.com/", "allow"), ("mixed.com/a/b/c/d/e/spam/x/", "block"),
+             ("mixed.com/a/b/c/d/e/news/x/", "allow")]
+    urls = [f"http://h{k % 40}.bad.com/offers/win/{k}" for k in range(400)]
+    urls += [f"http://h{k % 40}.good.com/articles/{k}" for k in range(400)]
+    urls += [f"http://mixed.com/a/b/c/d/e/{kind}/x/{k}" for kind in ("spam", "news") for k in range(300)]
+    ruled = len(urls)
+    urls += [f"http://mixed.com/a/b/c/d/e/{kind}/y/{k}" for kind in ("spam", "news") for k in range(30)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    rows = url_filter.filter_urls(pages, rules).filter(F.col("page_id") >= ruled).collect()
+    assert len(rows) == 60 and all(r.rule is None for r in rows)
+    assert {("spam" in r.path, r.verdict) for r in rows} <= {(True, "block"), (False, "allow"), (True, "allow")}
+    assert all(r.purity > 0.7 if "spam" in r.path else r.purity < 0.3 for r in rows)
+
+
 def test_very_long_text(spark):
     """A text of 120,000 words is taken whole."""
     words = [f"w{k}" for k in range(60_000)]

@@ -48,7 +48,7 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"))
 
 
-@register("op4_sharding")
+@register("op4_sharding", sharding.oracle(sharding.shard_names(sharding.SHARDS), sharding.SLOTS))
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(
         table(spark, folder, "documents"), sharding.shard_names(sharding.SHARDS), sharding.SLOTS)

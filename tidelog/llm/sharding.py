@@ -62,3 +62,15 @@ def shard_documents(docs: DataFrame, names: list[str], slots: int) -> DataFrame:
 
 def shard_names(count: int) -> list[str]:
     return [f"shard-{k:04d}" for k in range(count)]
+
+
+def oracle(names: list[str], slots: int) -> str:
+    """DuckDB SQL of the placement. The lookup table stands in it as values: that it is filled as
+    the method says is held against a brute-force version in the tests."""
+    table = ", ".join(f"({slot}, {shard})" for slot, shard in enumerate(fill(names, slots)))
+    return f"""
+with lookup(slot, shard) as (values {table}),
+d as (select doc_id, ('0x' || left(md5(coalesce(doc_id::varchar, '')), 15))::bigint % {slots} as slot
+  from documents)
+select doc_id, slot, shard from d join lookup using (slot)
+"""
