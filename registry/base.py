@@ -12,6 +12,7 @@ from tidelog.operators import context as C
 from tidelog.operators import statements as T
 from tidelog.plans import track as H
 from tidelog.session import tune
+from tidelog.sources.shared import written
 from registry import sample_log as L
 
 WIDTH = 50_000  # order values per range: two ranges at sf0.01, so carrying is exercised
@@ -84,17 +85,16 @@ class Log:
     @property
     def nested(self) -> DataFrame:
         """Row entries with nested before and after columns."""
-        shaped = self.flagged.withColumns({
+        resolved = written(self.resolved, "resolved")  # for the cells and for the headers
+        rendered = E.render_cells(E.enrich_columns(E.attach_table(self.cells, resolved), self.meta_now))
+        shaped = E.flag_updated(rendered).withColumns({
             "is_null": F.col("value").isNull(), "mysql_type": F.col("column_type")})
-        headers = C.row_entries(self.resolved)
-        return E.assemble_entries(shaped, headers)
+        return E.assemble_entries(shaped, C.row_entries(resolved))
 
     @property
     def master(self) -> DataFrame:
         """Newest position of each server."""
-        at = F.max(F.struct("seq", "logfile", "log_pos")).alias("m")
-        return self.events.groupBy("server_id").agg(at).select(
-            "server_id", F.col("m.logfile").alias("logfile"), F.col("m.log_pos").alias("pos"))
+        return newest(self.events)
 
     @property
     def log_index(self) -> DataFrame:
@@ -103,6 +103,13 @@ class Log:
             F.max("log_pos").alias("last_pos"))
 
 
+def newest(events: DataFrame) -> DataFrame:
+    """server_id, logfile, pos of each server's last event."""
+    at = F.max(F.struct("seq", "logfile", "log_pos")).alias("m")
+    return events.groupBy("server_id").agg(at).select(
+        "server_id", F.col("m.logfile").alias("logfile"), F.col("m.log_pos").alias("pos"))
+
+
 def register(name: str, oracle: str | None = None):
     """Register a query given as a function of the log, with its SQL."""
     def add(build: Callable[[Log], DataFrame]):

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from registry.base import ALLOW, WIDTH, Log, register
+from registry.base import ALLOW, WIDTH, Log, newest, register
 from registry.column_queries import ROWS_JSON
 from registry.ctes import sql
 from tidelog import schemas as S
 from tidelog.operators import checkpoints as P
+from tidelog.operators import context as C
 from tidelog.operators import monitor as M
 from tidelog.operators import sequence as Q
 from tidelog.plans import track as H
-from tidelog.sources import publish, store
+from tidelog.sources import publish, store, topic
 from tidelog.sources.shared import new_table_path, written
 from tidelog.streaming import live
 
@@ -241,8 +242,11 @@ select server_id, minute_start, fetch_rows, fetch_size, fetch_size / 1048576 fet
 from (select w.*, cast(right(m.logfile, 6) as bigint) a, m.pos pa, cast(right(lf, 6) as bigint) b
  from w join master m using (server_id))""", "logfiles", "entries", "master"))
 def fetch_metrics(log: Log):
-    events = log.events.withColumn("ts", F.col("ts").cast("timestamp"))
-    out = M.fetch_metrics(events, H.all_entries(log.raw, ALLOW, width=WIDTH), log.master)
+    # Context is attached once, for the positions, the entries and the newest position.
+    events = written(C.resolved_events(log.raw, WIDTH), "events")
+    entries = H.judged_events(events, ALLOW).filter("reason is null")
+    out = M.fetch_metrics(
+        events.withColumn("ts", F.col("ts").cast("timestamp")), entries, newest(events))
     return out.withColumn("minute_start", F.col("minute_start").cast("timestamp_ntz"))
 
 
@@ -427,6 +431,45 @@ def stream_change_log(log: Log):
         "server_id", "seq", "type_code", "event_len", "log_pos", "query")
 
 
+@register("stream_topic", """
+with m as (select event_id, event_id % 3 p, row_number() over (partition by event_id % 3 order by event_id) - 1 o,
+ event_id * 4 // (select max(event_id) + 1 from events) seg from events),
+s as (select min(o) + 5 start from m where p = 1 and seg = 2)
+select 1 run, p partition_id, o as "offset", event_id::varchar as value from m where seg = 0
+union all select 2, p, o, event_id::varchar from m, s where seg = 3 or (p = 1 and seg = 2 and o >= s.start)""")
+def stream_topic(log: Log):
+    """A consumer reads a topic from its begin; while it is away two segments come and the oldest two
+    go. Then one partition's position is no longer retained, one's is, one has none."""
+    spark = log.spark
+    path, out, mark = (new_table_path(spark, n) for n in ("topic", "read", "mark"))
+    events = log.table("events")
+    whole = events.agg(F.max("event_id") + 1).first()[0]
+
+    def append(part: int):
+        mine = F.floor(F.col("event_id") * 4 / F.lit(whole)) == part
+        return topic.append_messages(events.filter(mine).select(
+            (F.col("event_id") % 3).cast("int").alias("partition_id"), "event_id",
+            F.lit(None).alias("key"), F.col("event_id").alias("value")), path, "event_id", WIDTH)
+
+    def read(stream, run: int) -> None:
+        stream.select(F.lit(run).alias("run"), "partition_id", "offset", "value").writeStream.format(
+            "parquet").option("path", f"{out}/{run}").option("checkpointLocation", f"{mark}/{run}").trigger(
+            availableNow=True).start().awaitTermination()
+
+    append(0)
+    read(topic.stream_topic(spark, path, starting="earliest"), 1)
+    seen = topic.next_offsets(spark.read.parquet(f"{out}/1"))
+    append(1)
+    inside = written(topic.retained(spark, path), "ranges").filter("partition_id = 1").select(
+        "partition_id", (F.col("next_offset") + 5).alias("offset"))
+    append(2)
+    topic.remove_segments(spark, path, 2)
+    stream = topic.stream_topic(spark, path, seen.filter("partition_id = 0").unionByName(inside))
+    append(3)
+    read(stream, 2)
+    return spark.read.parquet(f"{out}/1").unionByName(spark.read.parquet(f"{out}/2"))
+
+
 @register("publish_at_least_once", sql(
     "select server_id, seq, batch_id, in_id from numbered", "numbered"))
 def publish_at_least_once(log: Log):

@@ -12,6 +12,7 @@ from tidelog.operators import context as C
 from tidelog.operators import filters as D
 from tidelog.operators import statements as T
 from tidelog import schemas as S
+from tidelog.sources.shared import written
 
 _NAMES = " ".join(f"when {c} then '{n}'" for c, n in S.EVENT_NAMES.items())
 
@@ -189,7 +190,8 @@ from w join v on v.server_id = w.server_id and v.db = w.db and v.tbl = w.tbl
 """, "owned", "versions", "meta"))
 def check_column_count(log: Log):
     widths = E.event_widths(log.owned)
-    spans = E.version_widths(_versions(log), log.meta)
+    # Few rows that several joins read.
+    spans = written(E.version_widths(written(_versions(log), "versions"), log.meta), "spans")
     return E.check_column_count(widths, spans, WIDTH).select(
         "server_id", "seq", "db", "tbl", F.col("width").cast("bigint").alias("width"),
         F.col("meta_width").cast("bigint").alias("meta_width"), "check")

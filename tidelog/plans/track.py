@@ -45,7 +45,18 @@ def judged_entries(
     """
     # Other events change no context; dropped here, before the windows, they are not shuffled.
     needed = raw.filter(C.code_in([*S.CONVERTIBLE_CODES, S.ROTATE, S.TABLE_MAP]))
-    events = C.convertible_events(C.resolved_events(needed, width))
+    return judged_events(
+        C.resolved_events(needed, width), allow, ddl_patterns=ddl_patterns,
+        row_patterns=row_patterns, no_ddl=no_ddl, no_dml=no_dml, no_dcl=no_dcl)
+
+
+def judged_events(
+    resolved: DataFrame, allow: Sequence[str] = (), *, ddl_patterns: str | None = None,
+    row_patterns: str | None = None, no_ddl: bool = False, no_dml: bool = False,
+    no_dcl: bool = False,
+) -> DataFrame:
+    """``judged_entries`` of events that have their context, for callers that read it themselves."""
+    events = C.convertible_events(resolved)
     if no_ddl and no_dml and no_dcl:  # no statement can pass, so none is parsed
         events = events.filter(~T.is_statement())
     events = T.with_statement(events)
