@@ -12,6 +12,7 @@ from tidelog.operators import checkpoints as P
 from tidelog.operators import context as C
 from tidelog.operators import monitor as M
 from tidelog.operators import sequence as Q
+from tidelog.plans import resume
 from tidelog.plans import track as H
 from tidelog.sources import publish, store, topic
 from tidelog.sources.shared import new_table_path, written
@@ -605,6 +606,34 @@ def track_changes_resumed_held(log: Log):
     return _resumed(log, log.raw.agg(F.max("seq")).first()[0], False)
 
 
+@register("track_changes_pruned", sql(
+    "select server_id, seq, batch_id, in_id from numbered", "numbered"))
+def track_changes_pruned(log: Log):
+    """Three runs over a stored log; the later ones read only files from their checkpoint on, with the
+    context that was taken beside it."""
+    spark = log.spark
+    path = new_table_path(log.spark, "log")
+    resume.store_log(log.raw, path, WIDTH)
+    events = log.raw.agg(F.max("seq")).first()[0] // 10 + 1
+    sent, at, seed = None, None, None
+    columns = ["server_id", "seq", "batch_id", "in_id"]
+    for upto in ((events // 15 * 5 + 2) * 10 + 3, (events // 15 * 10 + 3) * 10 + 3, events * 10):
+        read = resume.read_from(spark, path, at).filter(F.col("seq") <= upto)
+        messages, now, _ = H.track_changes(
+            read.drop("logfile"), log.cells, log.meta_now, ALLOW, width=WIDTH, skip_errors=True,
+            checkpoints=at, seed=seed)
+        mine = written(messages.select(columns), "sent")
+        if sent is not None:
+            seen = sent.groupBy("server_id").agg(
+                F.max(F.struct("batch_id", "in_id")).alias("m")).select("server_id", "m.*")
+            mine = sent.unionByName(P.dedup_replayed(mine, seen))
+        sent = written(mine, "sent")
+        now = written(now, "checkpoint")
+        seed = written(resume.context_at(read, now, seed), "context")
+        at = now
+    return sent
+
+
 # Two listed tables in versions: t_user's second names a column anew and its third is a column
 # short, t_click's first is a column short.
 _VERSION_SQL = """

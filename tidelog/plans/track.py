@@ -230,7 +230,7 @@ def track_changes(
     topic: str = "changes", markers: str = "keep",
     max_bytes: int = Q.SEND_BYTES, max_rows: int = Q.SEND_ROWS, width: int = DEFAULT_WIDTH,
     charset: str = "UTF-8", tz: str | None = None, skip_errors: bool = False,
-    checkpoints: DataFrame | None = None, **options,
+    checkpoints: DataFrame | None = None, seed: DataFrame | None = None, **options,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Raw log to numbered, packed messages, the checkpoint to confirm after them, and the events
     rejected (unknown table id, DDL without a table, no or too narrow metadata).
@@ -241,9 +241,16 @@ def track_changes(
     in_id, as a run returns them) each server goes on from its own; ``raw`` may begin earlier,
     and table maps and changes of columns before the position still count. A checkpoint's ids are
     those as of its position, so what is sent again has the ids it had. ``meta`` may hold several
-    versions of a table, ``tz`` is the zone of timestamps. Entries and finished message values are each written once:
+    versions of a table, ``tz`` is the zone of timestamps. ``seed``: the context at the checkpoints
+    (``resume.context_at``); then ``raw`` need hold only events from the positions on. Entries and finished message values are each written once:
     both have several readers, and context must not be attached again for each of them.
     """
+    before = None
+    if seed is not None:
+        is_line = F.col("type_code") == S.TABLE_LINE
+        raw_columns = [f.name for f in S.RAW_EVENT.fields]
+        before = seed.filter(is_line).select("server_id", "db", "tbl", "changes")
+        raw = raw.select(*raw_columns).unionByName(seed.filter(~is_line).select(*raw_columns))
     judged = written(judged_entries(raw, allow, width=width, **options), "entries")
     # The whole log's, also before the position.
     changes = T.column_changes(judged.filter(F.col("reason").isNull()))
@@ -259,7 +266,8 @@ def track_changes(
         kept = Q.assign_batch_ids(passing, width=width)
     else:
         kept = continued(passing, start, width)
-    bodies = row_bodies(passing, cells, meta, charset, tz=tz, changes=changes, width=width)
+    bodies = row_bodies(
+        passing, cells, meta, charset, tz=tz, changes=changes, before=before, width=width)
     full = kept.join(bodies, E.EVENT_KEY, "left")
     value_columns = [*ENTRY_FIELDS, "batch_id", "in_id", "row_datas"]
     out = written(publish_changes(full, topic, value_columns, keep=KEPT_BESIDE), "values")

@@ -106,3 +106,8 @@ ENTRY = _table(
     "event_length bigint, db string, tbl string, event_type string, entry_type string, "
     "is_ddl boolean, transaction_id string, thread_id bigint, sql string"
 )
+
+#: Type code of lines that hold how often a table's columns changed; no event has it.
+TABLE_LINE = -1
+#: An order value before every event of a log.
+BEFORE_ALL = -(1 << 62)

@@ -30,10 +30,7 @@ STATE = T.StructType([
         "changes")],
     T.StructField("commit_file", T.StringType()),
 ])
-#: Type code of the lines of tables; no event has it.
-TABLE_LINE = -1
-#: Before every event of a log.
-FIRST = -(1 << 62)
+TABLE_LINE, FIRST = S.TABLE_LINE, S.BEFORE_ALL
 #: Epochs whose state stays: the last, and the one before, which a retried batch reads.
 EPOCHS = 2
 
