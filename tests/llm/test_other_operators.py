@@ -12,7 +12,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tidelog.llm import exact_dedup, insults, packing, pii, sharding, toxicity
+from tidelog.llm import exact_dedup, insults, jaccard_join, packing, pii, sharding, toxicity
 
 SMALL = "/root/testdata/sf0.001"
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -37,6 +37,17 @@ def test_keeps_one_of_repeated_rows(edge):
     assert Counter(r.doc_id for r in left.collect()) == Counter(r.doc_id for r in judged)
 
 
+def test_a_third_of_all_rows_alike(spark):
+    """The same row very often, and a very frequent row without words: both ways of keeping rows."""
+    words = [" ".join(f"{k}w{j}" for j in range(12)) for k in range(60)]
+    rows = [(k, t) for k, t in enumerate(words)] + [(5, words[5])] * 60 + [(None, " ")] * 30 + [(61, "")] * 5
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    left = exact_dedup.drop_exact_duplicates(df).collect()
+    assert sorted(r.text for r in left if r.text.strip()) == sorted(words)
+    near = Counter(r.doc_id for r in jaccard_join.drop_near_duplicates(df).collect())
+    assert near == {**dict.fromkeys(range(60), 1), None: 30, 61: 5}
+
+
 def brute_fill(names, slots):
     taken, owner = set(), {}
     lists = []
@@ -195,6 +206,18 @@ def test_label_model_finds_accuracies():
     assert post[y].mean() > post[~y].mean() + 0.4
 
 
+def test_toxicity_held_out_on_more_rows(spark):
+    """What the README says of held-out labels at sf0.1, less a little."""
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    rows = toxicity.score_toxicity(spark.read.parquet(f"{folder}/documents.parquet"), labels).filter(
+        "held_out").join(labels.filter("toxic is not null"), "doc_id").collect()
+    toxic, clean = (np.array([r.score for r in rows if r.toxic == v]) for v in (1, 0))
+    auc = np.mean((toxic[:, None] > clean) + (toxic[:, None] == clean) / 2)
+    caught, wrong = (toxic >= toxicity.CUT).sum(), (clean >= toxicity.CUT).sum()
+    assert auc > 0.95 and caught > 0.88 * len(toxic) and caught > 0.85 * (caught + wrong)
+
+
 def test_toxicity_held_out(spark):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet")

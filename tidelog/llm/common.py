@@ -49,19 +49,28 @@ def partitions_for(df: DataFrame, size: float, target: int) -> int:
 
 
 def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose (doc_id, hash of the text) are in ``kept`` (doc, tag, many), with
-    their own columns only; of rows that ``many`` marks as repeated, one.
+    """The rows of ``docs`` whose (doc_id, hash of the text) are in ``kept``, with their own columns
+    only. ``kept``: doc, tag, copies (the rows of docs that have them) and one: whether one of these
+    stays, or all.
 
-    The pairs of ``kept`` are distinct, so no key is hot unless its rows are repeated, and those
-    are reduced before they are shuffled.
+    The pairs of ``kept`` are distinct. Those of over 1/HOT_SHARE of the rows, of which there are fewer
+    than HOT_SHARE, are broadcast, and where one stays the rest goes before any shuffle.
     """
     columns = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
     rows = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_tag"),
                        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
-    kept = kept.select("doc", "tag", "many")
-    found = rows.join(kept.hint("shuffle_hash"), F.col("_doc").eqNullSafe(F.col("doc"))
-                      & (F.col("_tag") == F.col("tag")))
-    if not kept.filter("many").take(1):
+    kept = kept.select("doc", "tag", "copies", (F.col("one") & (F.col("copies") > 1)).alias("many"))
+    total, many = kept.agg(F.sum("copies"), F.max("many")).first()
+    limit = max(1, math.ceil((total or 0) / HOT_SHARE))
+    hot = kept.filter(F.col("copies") > limit)
+    same = F.col("_doc").eqNullSafe(F.col("doc")) & (F.col("_tag") == F.col("tag"))
+    if hot.take(1):
+        cold = kept.filter(F.col("copies") <= limit)
+        found = rows.join(F.broadcast(hot), same).unionByName(
+            rows.join(F.broadcast(hot), same, "left_anti").join(cold.hint("shuffle_hash"), same))
+    else:
+        found = rows.join(kept.hint("shuffle_hash"), same)
+    if not many:
         return found.select(*columns)
     once = found.filter("not many").select("_row")
     more = found.filter("many").groupBy("_doc", "_tag").agg(F.first("_row").alias("_row"))

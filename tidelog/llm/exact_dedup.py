@@ -206,9 +206,9 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that exact_dedup keeps, with all their columns."""
     judged = written(_judged(docs), "exact_judged")
     many = judged.groupBy("doc_id", "tag").agg(
-        F.max("kept").alias("kept"), (F.count("*") > 1).alias("many"))
+        F.max("kept").alias("kept"), F.count("*").alias("copies"))
     return keep_rows(docs, written(many.filter("kept").select(
-        F.col("doc_id").alias("doc"), "tag", "many"), "exact_kept"))
+        F.col("doc_id").alias("doc"), "tag", "copies", F.lit(True).alias("one")), "exact_kept"))
 
 
 ORACLE = r"""

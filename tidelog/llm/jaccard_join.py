@@ -460,11 +460,12 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     order = F.struct(F.col("doc").isNull().alias("none"), "doc", "tag")
     best = found.filter("n > 0").groupBy("root").agg(F.min(order).alias("best")).select(
         F.col("best.doc").alias("doc"), F.col("best.tag").alias("tag"))
-    copies = found.filter("n > 0").groupBy("doc", "tag").agg((F.count("*") > 1).alias("many"))
+    copies = found.filter("n > 0").groupBy("doc", "tag").agg(F.count("*").alias("copies"))
     copies = copies.withColumnsRenamed({"doc": "_doc", "tag": "_tag"})
     best = best.join(copies, F.col("doc").eqNullSafe(F.col("_doc")) & (
-        F.col("tag") == F.col("_tag"))).select("doc", "tag", "many")
-    blank = found.filter("n = 0").select("doc", "tag", F.lit(False).alias("many")).distinct()
+        F.col("tag") == F.col("_tag"))).select("doc", "tag", "copies", F.lit(True).alias("one"))
+    blank = found.filter("n = 0").groupBy("doc", "tag").agg(
+        F.count("*").alias("copies"), F.lit(False).alias("one"))
     return keep_rows(docs, written(best.unionByName(blank), "near_kept"))
 
 
