@@ -37,7 +37,7 @@ BROADCAST_IDS = 4_000_000
 _BLANK = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]"
 _SYMBOL = "[#*$%&|<>]"
-_PIECE = (r"[^\x00-\x60\x7B-\x7F]+|[A-Z]+|[0-9]+"
+_PIECE = (r"[a-z\x{80}-\x{10FFFF}]+|[A-Z]+|[0-9]+"
           r"|[\x00-\x08\x0E-\x1F\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: A pair's number is its first piece's times this, and its second's.
 _TIMES = 1_000_003
