@@ -1,9 +1,13 @@
 """Personal data: exact patterns, and a linear-chain conditional random field for what they miss.
 
-The field labels whitespace-separated tokens by features of their shape and of their neighbours'.
-It is trained here on a small labelled table and decodes windows around tokens that hold a digit
-or an at sign (its features are constant elsewhere, and so is its answer: nothing) in numpy
-batches. Its spans are added where no pattern's span lies.
+Tokens end at blanks, at quotes, brackets and other separators (tokens of their own) and where the
+script changes. The field labels them by features of their shape and of their neighbours'. It is
+trained here on a small labelled table and decodes whole texts by Viterbi in numpy batches. Its
+spans are added where no pattern's span lies.
+
+Most tokens are outside any span whatever their neighbours are: their emission for that outweighs
+all that the moves to and from another tag can give. Such a token lies on the best path for
+certain, so the path is found between neighbouring ones separately, with the same result.
 """
 
 from __future__ import annotations
@@ -23,8 +27,11 @@ KINDS = ("email", "ip", "card", "phone")
 #: What the field may add, after the patterns' kinds.
 FIELD_KINDS = (*KINDS, "secret")
 TAGS = ["O"] + [f"{p}-{k}" for k in FIELD_KINDS for p in "BI"]
-#: Tokens on either side of a marked one that are decoded with it.
-REACH = 3
+#: Characters of texts, and padded tokens of stretches, that are decoded at a time; distinct tokens
+#: whose vectors a worker keeps. They bound memory, not what is read.
+CHARS, PADDED, CACHED = 2_000_000, 20_000, 100_000
+#: Rounds of narrowing; more rounds leave fewer tokens to Viterbi, the result is the same.
+ROUNDS = 4
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -34,7 +41,10 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _MARK = re.compile(r"[0-9@]+")
-_TOKEN = re.compile(r"\S+")
+_SEPARATOR = r"""["'{}\[\]<>,;:=|&]"""
+_TOKEN = re.compile(_SEPARATOR + r"|[!#-%(-+\--9?-Z\\^-z~\u00c0-\u024f]+|[^\s!-~\u00c0-\u024f]+")
+_RUN = re.compile(r"(?P<d>[0-9]+)|(?P<x>[a-z]+)|(?P<X>[A-Z]+)|(?P<u>[^\W\d_a-zA-Z]+)"
+                  r"|(?P<same>[@.\-+()=\":/_])|(?P<p>.)", re.S)
 _LEFT, _RIGHT = "([{<\"'`*#&$|", ")]}>\"'`.,;:!?%*#&$|"
 
 Span = tuple[str, int, int]
@@ -83,22 +93,14 @@ def base_spans(text: str) -> list[Span]:
 
 
 def shape(token: str) -> str:
-    """Runs of digits, capitals, small letters and other letters as one sign each."""
+    """Runs of digits, capitals, small letters and other letters as one sign each; of a token with
+    many runs the signs only."""
     out: list[str] = []
-    for c in token[:64]:
-        if "0" <= c <= "9":
-            s = "d"
-        elif "a" <= c <= "z":
-            s = "x"
-        elif "A" <= c <= "Z":
-            s = "X"
-        elif c.isalpha():
-            s = "u"
-        else:
-            s = c if c in "@.-+()=\":/_" else "p"
-        if not out or out[-1] != s:
-            out.append(s)
-    return "".join(out[:12])
+    for m in _RUN.finditer(token):
+        sign = m[0] if m.lastgroup == "same" else m.lastgroup or ""
+        if not out or out[-1] != sign:
+            out.append(sign)
+    return "".join(out) if len(out) <= 12 else "~" + "".join(sorted(set(out)))
 
 
 _CUES = {
@@ -112,8 +114,8 @@ _CUE = {w: k for k, words in _CUES.items() for w in words}
 
 def token_features(token: str) -> list[str]:
     """Features of one token: shape, digits, length, and whether it is a cue."""
-    core = token.strip(_LEFT + _RIGHT)
-    digits = sum(c.isdigit() for c in core)
+    core = token.strip(_LEFT + _RIGHT) or token
+    digits = sum(map(str.isdigit, core))
     mixed = len(core) >= 16 and 0 < digits < len(core) and core.isalnum()
     bucket = next(k for k, most in enumerate((0, 2, 3, 4, 6, 8, 12, 19, 10**9)) if digits <= most)
     return [f"s:{shape(core)}", f"d:{bucket}", f"n:{min(len(core).bit_length(), 7)}",
@@ -153,11 +155,12 @@ def labelled_table(size: int = 300, seed: int = 7) -> list[tuple[list[str], list
                            [f"00{number(2)}", number(3), number(7)]))
 
     def secret() -> list[str]:
-        return ['"' + "".join(rng.choice("0123456789abcdef") for _ in range(rng.choice((32, 40, 64))))
-                + '"']
+        digits = rng.choice(("0123456789abcdef", "0123456789abcdefABCDEFGHJKLMNPQRSTUVWXYZ"))
+        return ['"' + "".join(rng.choice(digits) for _ in range(rng.choice((32, 40, 64)))) + '"']
 
     def other() -> list[str]:
         return rng.choice((
+            [f'{{"{word()}":"{word()}",'], [f'"{word()}":{number(3)},'], [f"{word()}={number(2)};"],
             [str(rng.randint(1900, 2030))], [f"{rng.randint(1, 9)}.{rng.randint(0, 9)}"],
             [number(rng.randint(1, 3))], [f"{rng.randint(1, 28)}.{rng.randint(1, 12)}.2021"],
             [f"2021-0{rng.randint(1, 9)}-1{rng.randint(0, 9)}"], [f"v{rng.randint(1, 9)}"],
@@ -176,11 +179,10 @@ def labelled_table(size: int = 300, seed: int = 7) -> list[tuple[list[str], list
             kind = rng.choice((*FIELD_KINDS, "O", "O", "O"))
             made = makers[kind]() if kind != "O" else other()
             if kind != "O" and (kind == "secret" or rng.random() < 0.4):
-                tokens.append(rng.choice(_CUES[cues[kind]]))
-                tags.append("O")
-                if kind == "secret":
-                    tokens.append("=")
-                    tags.append("O")
+                cue = rng.choice(_CUES[cues[kind]])
+                lead = [cue] if kind != "secret" else rng.choice(([cue, "="], [f'{{"{cue}":']))
+                tokens += lead
+                tags += ["O"] * len(lead)
             if rng.random() < 0.3:
                 made[-1] += rng.choice(".,;")
             tokens += made
@@ -189,7 +191,20 @@ def labelled_table(size: int = 300, seed: int = 7) -> list[tuple[list[str], list
             more = [word() for _ in range(rng.randint(0, 3))]
             tokens += more
             tags += ["O"] * len(more)
-        out.append((tokens, tags))
+        out.append(_cut(tokens, tags))
+    return out
+
+
+def _cut(words: list[str], tags: list[str]) -> tuple[list[str], list[str]]:
+    """Tags of words as tags of the words' tokens; separators at a word's edges are outside."""
+    out: tuple[list[str], list[str]] = ([], [])
+    for word, tag in zip(words, tags):
+        parts = _TOKEN.findall(word)
+        inner = [k for k, x in enumerate(parts) if not re.fullmatch(_SEPARATOR, x)] or [0]
+        for k, part in enumerate(parts):
+            inside = tag != "O" and inner[0] <= k <= inner[-1]
+            out[0].append(part)
+            out[1].append("O" if not inside else tag if k == inner[0] else "I" + tag[1:])
     return out
 
 
@@ -214,35 +229,124 @@ class Field:
             out.append([self.names[f] for f in names if f in self.names])
         return out
 
-    def scores(self, windows: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Padded emissions (windows x longest x tags), and the lengths."""
-        sizes = np.array([len(w) for w in windows])
-        out = np.zeros((len(windows), sizes.max(), len(TAGS)))
-        for k, tokens in enumerate(windows):
-            for t, at in enumerate(self.rows(tokens)):
-                out[k, t] = self.emit[at].sum(axis=0)
-        return out, sizes
-
-    def decode(self, windows: list[list[str]]) -> list[np.ndarray]:
-        """Viterbi over all windows at once."""
-        if not windows:
-            return []
-        emit, sizes = self.scores(windows)
-        best = emit[:, 0] + self.first
-        back = np.zeros(emit.shape, np.int64)
-        for t in range(1, emit.shape[1]):
-            step = best[:, :, None] + self.move[None]
+    def vectors(self, features: list[str]) -> np.ndarray:
+        """What a token's features add to its own emission, its successor's and its predecessor's."""
+        return np.stack([self.emit[[self.names[mark + f] for f in features
+                                    if mark + f in self.names]].sum(axis=0) for mark in ("", "<", ">")])
+
+
+class Decoder:
+    """Viterbi over whole texts, with the vectors of tokens met before."""
+
+    def __init__(self, field: Field) -> None:
+        self.field = field
+        move = field.move
+        # The most that a tag gains over O by the move from the tag before, and by the one to the
+        # tag after (none after the last), for every set of tags possible there: sets as bits.
+        sets = (np.arange(1 << len(TAGS))[:, None] >> np.arange(len(TAGS)) & 1).astype(bool)
+        self.into = np.where(sets[:, :, None], move - move[:, [0]], -np.inf).max(axis=1)
+        onward = np.where(sets[:, None, :], move - move[[0]], -np.inf).max(axis=2)
+        self.onward = np.maximum(onward, 0) + 1e-9
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.kinds: dict[tuple[str, ...], int] = {}
+        edge = self.field.vectors(["s:^", "q:"])
+        self.known, self.table = [edge], edge[None]
+
+    def kind(self, token: str) -> int:
+        """The number of the token's features; those that the training did not meet add nothing."""
+        names = self.field.names
+        features = tuple(f for f in token_features(token) if f in names)
+        k = self.kinds.get(features)
+        if k is None:
+            k = self.kinds[features] = len(self.known)
+            vectors = self.field.vectors([*features])
+            vectors[0] += self.field.emit[names["b"]]
+            self.known.append(vectors)
+        return k
+
+    def numbers(self, texts: list[list[str]]) -> np.ndarray:
+        """The kinds of all tokens, with 0 before, between and after the texts."""
+        if len(self.number) > CACHED:
+            self.number = {}
+        number, out = self.number, [0]
+        for tokens in texts:
+            for t in tokens:
+                k = number.get(t)
+                if k is None:
+                    k = number[t] = self.kind(t)
+                out.append(k)
+            out.append(0)
+        if len(self.table) < len(self.known):
+            self.table = np.stack(self.known)
+        return np.array(out)
+
+    def emission(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Emissions of the tokens at the given places; an edge is outside."""
+        table = self.table
+        return table[ids[at], 0] + table[ids[at - 1], 1] + table[ids[np.minimum(
+            at + 1, len(ids) - 1)], 2]
+
+    def open_places(self, ids: np.ndarray) -> np.ndarray:
+        """Whether a token's tag depends on others: the first of a text, and those not outside for
+        certain.
+
+        A tag is impossible if its emission falls short of O's by more than it can gain from any
+        possible tags around it (nothing after a text's last token). What is found impossible at a
+        token narrows its neighbours' in the next round.
+        """
+        possible = np.where(ids == 0, 1, (1 << len(TAGS)) - 1)
+        inner = np.flatnonzero(ids[1:-1] * ids[:-2]) + 1  # tokens with one before
+        bits = 1 << np.arange(len(TAGS))
+        for _ in range(ROUNDS):
+            for k in range(0, len(inner), PADDED):
+                at = inner[k:k + PADDED]
+                emit = self.emission(ids, at)
+                reach = self.into[possible[at - 1]] + self.onward[possible[at + 1]]
+                possible[at] &= (emit[:, :1] - emit <= reach) @ bits
+            inner = inner[possible[inner] > 1]
+        return possible > 1
+
+    def decode(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """The best path of each text."""
+        ids = self.numbers(texts)
+        tags = np.zeros(len(ids), np.int8)
+        free = np.diff(self.open_places(ids).astype(np.int8), append=0)
+        starts, ends = np.flatnonzero(free == 1) + 1, np.flatnonzero(free == -1) + 1
+        order = np.argsort(ends - starts, kind="stable")
+        sizes = (ends - starts)[order].tolist()
+        first = 0
+        while first < len(order):  # stretches of like length together, bounded padding
+            last = first + 1
+            while last < len(order) and (last + 1 - first) * sizes[last] <= PADDED:
+                last += 1
+            some = order[first:last]
+            self._stretches(ids, tags, starts[some], ends[some])
+            first = last
+        edges = np.flatnonzero(ids == 0)
+        return [tags[a + 1:b] for a, b in zip(edges, edges[1:])]
+
+    def _stretches(self, ids: np.ndarray, tags: np.ndarray, starts: np.ndarray,
+                   ends: np.ndarray) -> None:
+        """Viterbi over stretches between certain tokens (tag O) or edges; writes their tags."""
+        move, sizes = self.field.move, ends - starts
+        longest = int(sizes.max())
+        back = np.zeros((len(starts), longest, len(TAGS)), np.int8)
+        opening = np.where((ids[starts - 1] == 0)[:, None], self.field.first, move[0])
+        best = opening + self.emission(ids, starts)
+        for t in range(1, longest):
+            step = best[:, :, None] + move
             back[:, t] = step.argmax(axis=1)
-            new = step.max(axis=1) + emit[:, t]
+            new = step.max(axis=1) + self.emission(ids, np.minimum(starts + t, ends - 1))
             best = np.where((t < sizes)[:, None], new, best)
-        tag = best.argmax(axis=1)
-        path = np.zeros(emit.shape[:2], np.int64)
-        for t in range(emit.shape[1] - 1, -1, -1):
-            inside = t < sizes
-            path[inside, t] = tag[inside]
-            go = inside & (t > 0)
-            tag[go] = back[go, t, tag[go]]
-        return [path[k, :n] for k, n in enumerate(sizes)]
+        tag = (best + np.where((ids[ends] == 0)[:, None], 0, move[:, 0])).argmax(axis=1)
+        for t in range(longest - 1, -1, -1):
+            inside = np.flatnonzero(t < sizes)
+            tags[starts[inside] + t] = tag[inside]
+            if t:
+                tag[inside] = back[inside, t, tag[inside]]
 
 
 def train(table: list[tuple[list[str], list[str]]], rounds: int = 100, rate: float = 0.1,
@@ -306,75 +410,59 @@ def train(table: list[tuple[list[str], list[str]]], rounds: int = 100, rate: flo
                  weights[len(names) * s:-s].reshape(s, s), weights[-s:])
 
 
-def _windows(text: str) -> tuple[list[list[str]], list[list[tuple[int, int]]]]:
-    """Token windows around the marked tokens, and the places of their tokens."""
-    marks = [m.start() for m in _MARK.finditer(text)]
-    if not marks:
-        return [], []
-    places = [m.span() for m in _TOKEN.finditer(text)]
-    at = np.unique(np.searchsorted([a for a, _ in places], marks, "right") - 1)
-    runs: list[list[int]] = []
-    for k in at.tolist():
-        if runs and k - runs[-1][1] <= 2 * REACH:
-            runs[-1][1] = k
-        else:
-            runs.append([k, k])
-    spans = [places[max(0, a - REACH):b + REACH + 1] for a, b in runs]
-    return [[text[a:b] for a, b in s] for s in spans], spans
-
-
 def _field_spans(text: str, path: np.ndarray, places: list[tuple[int, int]]) -> Iterator[Span]:
-    k = 0
-    while k < len(path):
-        tag = TAGS[path[k]]
-        if tag == "O":
-            k += 1
+    done = 0
+    for k in np.flatnonzero(path).tolist():
+        if k < done:
             continue
-        end = k + 1
-        while end < len(path) and TAGS[path[end]] == "I-" + tag[2:]:
-            end += 1
-        first, last = places[k][0], places[end - 1][1]
+        kind, done = TAGS[path[k]][2:], k + 1
+        while done < len(path) and TAGS[path[done]] == "I-" + kind:
+            done += 1
+        first, last = places[k][0], places[done - 1][1]
         part = text[first:last]
         first += len(part) - len(part.lstrip(_LEFT.replace("(", "")))
         last -= len(part) - len(part.rstrip(_RIGHT))
         digits = _NOT_DIGIT.sub("", text[first:last])
         # A number is a card's only if its check digit is right.
         if last - first > 3 and _MARK.search(text, first, last) and (
-                tag[2:] != "card" or 13 <= len(digits) <= 19 and _luhn(digits)):
-            yield tag[2:], first, last
-        k = end
-
-
-def all_spans(texts: list[str], field: Field) -> Iterator[tuple[list[Span], list[Span]]]:
-    """The patterns' spans of each text, and the field's that touch none of them."""
-    jobs = [_windows(t) for t in texts]
-    flat = [w for windows, _ in jobs for w in windows]
-    paths: list[np.ndarray] = [np.empty(0, np.int64)] * len(flat)
-    order = sorted(range(len(flat)), key=lambda k: len(flat[k]))
-    first = 0
-    while first < len(order):  # windows of like length together, bounded padding
-        last = first + 1
-        while last < len(order) and (last + 1 - first) * len(flat[order[last]]) <= 20_000:
-            last += 1
-        for k, path in zip(order[first:last], field.decode([flat[k] for k in order[first:last]])):
-            paths[k] = path
-        first = last
-    at = 0
-    for text, (windows, places) in zip(texts, jobs):
-        base = base_spans(text)
-        taken = sorted((a, b) for _, a, b in base)
-        starts = [a for a, _ in taken]
-        longest = np.maximum.accumulate([b for _, b in taken]) if taken else []
-        more = []
-        for path, place in zip(paths[at:at + len(windows)], places):
-            for kind, a, b in _field_spans(text, path, place):
-                k = int(np.searchsorted(starts, b)) - 1  # spans that begin before b
-                if k < 0 or longest[k] <= a:
+                kind != "card" or 13 <= len(digits) <= 19 and _luhn(digits)):
+            yield kind, first, last
+
+
+def all_spans(texts: list[str], decoder: Decoder) -> Iterator[tuple[list[Span], list[Span]]]:
+    """The patterns' spans of each text, and the field's that touch none of them.
+
+    A span of the field holds a digit or an at sign, so a text without any has none.
+    """
+    marked = [k for k, text in enumerate(texts) if _MARK.search(text)]
+    paths = dict(zip(marked, decoder.decode([_TOKEN.findall(texts[k]) for k in marked])))
+    for k, text in enumerate(texts):
+        base, more = base_spans(text), []
+        if k in paths and paths[k].any():
+            taken = sorted((a, b) for _, a, b in base)
+            starts = [a for a, _ in taken]
+            longest = np.maximum.accumulate([b for _, b in taken]) if taken else []
+            places = [m.span() for m in _TOKEN.finditer(text)]
+            for kind, a, b in _field_spans(text, paths[k], places):
+                n = int(np.searchsorted(starts, b)) - 1  # spans that begin before b
+                if n < 0 or longest[n] <= a:
                     more.append((kind, a, b))
-        at += len(windows)
         yield base, more
 
 
+def _portions(texts: list[str]) -> Iterator[list[str]]:
+    """Consecutive texts of about CHARS characters."""
+    some, size = [], 0
+    for text in texts:
+        some.append(text)
+        size += len(text)
+        if size >= CHARS:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
 def _joined(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(
         spans, key=lambda s: (FIELD_KINDS.index(s[0]), s[1], s[2])))
@@ -382,11 +470,11 @@ def _joined(spans: list[Span]) -> str:
 
 def _run(field: Field):
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = Decoder(field)
         for batch in batches:
             rows = []
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            for k in range(0, len(texts), 500):
-                for base, more in all_spans(texts[k:k + 500], field):
+            for some in _portions([x or "" for x in batch.column(1).to_pylist()]):
+                for base, more in all_spans(some, decoder):
                     counts = [sum(s[0] == kind for s in base) for kind in KINDS]
                     rows.append((*counts, sha256(_joined(base).encode()).hexdigest(),
                                  _joined(base + more)))
