@@ -294,3 +294,32 @@ def test_rows_repeated_very_often(spark, same):
     rows = [(k, f"x{k} {text if k % 5 == 0 else ''} y{k}") for k in range(300)] + [(3, text)] * 200
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(9)
     same(substring_dedup.remove_repeats(df), substring_dedup.ORACLE, documents=df)
+
+
+def test_licenses_and_their_relatives(spark, same):
+    """Every header inside other words gets its own label alone; relatives without a template none."""
+    about = "some notes on the engine and its parts by the authors"
+    rows, want = [], {}
+
+    def add(text, labels):
+        want[len(rows)] = labels
+        rows.append((len(rows), f"{about}\n# {text}\n{about} with the usual words of the trade"))
+
+    for label, text, _, _ in license_scan.HEADERS:
+        add(text, label)
+        add(text.upper().replace(", ", ",\n * "), label)
+    add(license_scan.CREATIVE.format("Attribution") + " and " + license_scan.HEADERS[0][1], "cc-by,mit")
+    # Known relatives: other versions and families.
+    add("The Apache Software License, Version 1.1", "")
+    add("Licensed under the Apache License, Version 1.1", "")
+    add(license_scan.GNU.format("", "1"), "")
+    add(license_scan.GNU.format("Library ", "2"), "")
+    add(license_scan.CREATIVE.format("Zero"), "")
+    add("Creative Commons Attribution-NonCommercial 4.0", "cc-by-nc")
+    add(license_scan.BSD + " All advertising materials mentioning features or use of this software "
+        "must display the following acknowledgement." + license_scan.BSD_NAME, "")
+    add("permission is hereby granted to the public, and the software is free of charge", "")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = license_scan.scan_licenses(docs)
+    assert {r.doc_id: r.labels for r in got.collect()} == want
+    same(got, license_scan.ORACLE, documents=docs)

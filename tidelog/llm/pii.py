@@ -123,7 +123,7 @@ def token_features(token: str) -> list[str]:
             f"l:{token[:1] if token[:1] in '(+[' else ''}"]
 
 
-def labelled_table(size: int = 300, seed: int = 7) -> list[tuple[list[str], list[str]]]:
+def labelled_table(size: int = 400, seed: int = 7) -> list[tuple[list[str], list[str]]]:
     """The small labelled table: token lists with tags, written by rule from a seed."""
     rng = random.Random(seed)
     syllables = "an ber ka lo mi ter sen du fra go hel is".split()
@@ -155,8 +155,11 @@ def labelled_table(size: int = 300, seed: int = 7) -> list[tuple[list[str], list
                            [f"00{number(2)}", number(3), number(7)]))
 
     def secret() -> list[str]:
-        digits = rng.choice(("0123456789abcdef", "0123456789abcdefABCDEFGHJKLMNPQRSTUVWXYZ"))
-        return ['"' + "".join(rng.choice(digits) for _ in range(rng.choice((32, 40, 64)))) + '"']
+        small, numerals = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+        signs = rng.choice((numerals + "abcdef", numerals + small.upper(),
+                            numerals + small + small.upper()))
+        key = "".join(rng.choice(signs) for _ in range(rng.choice((16, 18, 20, 24, 32, 40, 64))))
+        return [rng.choice((f'"{key}"', key))]
 
     def other() -> list[str]:
         return rng.choice((
@@ -178,9 +181,9 @@ def labelled_table(size: int = 300, seed: int = 7) -> list[tuple[list[str], list
         for _ in range(rng.randint(1, 2)):
             kind = rng.choice((*FIELD_KINDS, "O", "O", "O"))
             made = makers[kind]() if kind != "O" else other()
-            if kind != "O" and (kind == "secret" or rng.random() < 0.4):
+            if kind != "O" and rng.random() < (0.8 if kind == "secret" else 0.4):
                 cue = rng.choice(_CUES[cues[kind]])
-                lead = [cue] if kind != "secret" else rng.choice(([cue, "="], [f'{{"{cue}":']))
+                lead = [cue] if kind != "secret" else rng.choice(([cue, "="], [f"{cue}="], [f'{{"{cue}":']))
                 tokens += lead
                 tags += ["O"] * len(lead)
             if rng.random() < 0.3:
@@ -423,8 +426,9 @@ def _field_spans(text: str, path: np.ndarray, places: list[tuple[int, int]]) ->
         first += len(part) - len(part.lstrip(_LEFT.replace("(", "")))
         last -= len(part) - len(part.rstrip(_RIGHT))
         digits = _NOT_DIGIT.sub("", text[first:last])
-        # A number is a card's only if its check digit is right.
+        # An address has an at sign; a number is a card's only if its check digit is right.
         if last - first > 3 and _MARK.search(text, first, last) and (
+                kind != "email" or "@" in text[first:last]) and (
                 kind != "card" or 13 <= len(digits) <= 19 and _luhn(digits)):
             yield kind, first, last
 
