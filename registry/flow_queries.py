@@ -14,7 +14,7 @@ from tidelog.operators import monitor as M
 from tidelog.operators import sequence as Q
 from tidelog.plans import resume
 from tidelog.plans import track as H
-from tidelog.sources import publish, store, topic
+from tidelog.sources import publish, row_store, store, topic
 from tidelog.sources.shared import new_table_path, written
 from tidelog.streaming import live
 
@@ -391,6 +391,31 @@ def delete_rows(log: Log):
     return store.delete_rows(log.table("orders").select("o_orderkey", "o_custkey"), keys, "o_orderkey")
 
 
+@register("store_in_place", """
+with a as (select o_orderkey row_key, 'status' col, o_orderstatus as value, -1 ws from orders
+ union all select l_orderkey, case when l_linenumber % 2 = 0 then 'status' else 'flag' end, l_returnflag || l_linestatus,
+ cast(epoch(l_shipdate) as bigint) from lineitem where l_orderkey % 3 = 0),
+b as (select row_key, col, value from (select *, row_number() over (partition by row_key, col order by ws desc, value desc) rn
+ from a) where rn = 1 and row_key not in (select event_id * 2 from events where event_id % 5 = 0))
+select row_key, col, value from b where row_key in (select user_id * 7 from events) or row_key % 2 = 1""")
+def store_in_place(log: Log):
+    """A stored table after puts and removals: its odd keys, and the keys asked for."""
+    path = new_table_path(log.spark, "store")
+    row_store.create_store(log.table("orders").select(
+        F.col("o_orderkey").alias("row_key"), F.lit("status").alias("col"),
+        F.col("o_orderstatus").alias("value")), path, WIDTH)
+    row_store.put_rows(log.spark, path, log.table("lineitem").filter("l_orderkey % 3 = 0").select(
+        F.col("l_orderkey").alias("row_key"),
+        F.when(F.col("l_linenumber") % 2 == 0, "status").otherwise("flag").alias("col"),
+        F.concat("l_returnflag", "l_linestatus").alias("value"),
+        F.unix_seconds(F.col("l_shipdate").cast("timestamp")).alias("write_seq")), WIDTH)
+    row_store.remove_rows(log.spark, path, log.table("events").filter("event_id % 5 = 0").select(
+        (F.col("event_id") * 2).alias("row_key")), WIDTH)
+    keys = log.table("events").select((F.col("user_id") * 7).alias("row_key"))
+    asked = row_store.find_rows(log.spark, path, keys, WIDTH).filter("row_key % 2 = 0")
+    return asked.unionByName(row_store.read_store(log.spark, path).filter("row_key % 2 = 1"))
+
+
 @register("partition_by_suffix", """
 with k as (select c_custkey, case c_custkey % 5 when 0 then 'nodot' || c_custkey when 1 then '.' || c_custkey
  when 2 then '10.2.' || c_custkey when 3 then 'a.-' || c_custkey else 'h.' || c_custkey || 'x' end k from customer)
