@@ -1,12 +1,15 @@
 """Decoding that never stops, rejected events, and what runs leave behind."""
 
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from registry.base import ALLOW, Log
 from tidelog.functions import values as V
+from tidelog.operators import checkpoints as P
+from tidelog.operators import sequence as Q
 from tidelog.plans import track as H
 from tidelog.session import tune
 from tidelog.sources import shared
@@ -93,6 +96,58 @@ def test_context_moves_the_log_once(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def wide_exchanges(df, columns):
+    """Exchanges that carry one of the columns, as planned before the run."""
+    text = df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    inputs = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]", text)
+    return [i for i in inputs if {c.split("#")[0].strip() for c in i.split(",")} & set(columns)]
+
+
+def test_entries_cells_and_values_move_once(spark, monkeypatch):
+    """Text of the log moves to its range and to its event, cells move to their event; ids,
+    message numbers and finished values bring no text along again."""
+    log = Log(tune(spark), FOLDER)
+    found = {}
+    stored, wrote = H.stored_by, shared.written
+
+    def seen(write):
+        def run(df, name, *args, **options):
+            found.setdefault(name, wide_exchanges(
+                df, ["query", "sql", "value", "raw_str", "raw_bin", "row_datas"]))
+            return write(df, name, *args, **options)
+        return run
+
+    monkeypatch.setattr(H, "stored_by", seen(stored))
+    for module in (H, Q, P):
+        monkeypatch.setattr(module, "written", seen(wrote))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "8k", "spark.sql.debug.maxToStringFields": "200"}
+    was = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        messages, checkpoint, _ = H.track_changes(log.raw, log.cells, log.meta_now, ALLOW)
+        found["messages"] = wide_exchanges(messages, ["value"])
+        found["checkpoint"] = wide_exchanges(checkpoint, ["value"])
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert len(found["entries"]) == 1, found["entries"]  # and the write's own
+    assert len(found["values"]) == 1 and "raw_long" in found["values"][0], found["values"]
+    assert {k: v for k, v in found.items() if v and k not in ("entries", "values")} == {}
+
+
+def test_tables_by_key_go_with_their_run(spark):
+    df = spark.range(100).selectExpr("id % 7 k", "id v")
+    before = [t.name for t in spark.catalog.listTables()]
+    with shared.run_folder(spark):
+        table = shared.stored_by(df, "pairs", ["k"])
+        assert not exchanges(table.groupBy("k").sum("v"))
+        assert table.count() == 100
+        assert len(spark.catalog.listTables()) == len(before) + 1
+    assert [t.name for t in spark.catalog.listTables()] == before
+
+
 def test_column_check_has_no_join_on_the_table(spark):
     from tidelog.operators import columns as E
 

@@ -19,7 +19,7 @@ from tidelog.operators import sequence as Q
 from tidelog.functions import text as X
 from tidelog.operators import statements as T
 from tidelog.operators.ordered import DEFAULT_WIDTH
-from tidelog.sources.shared import written
+from tidelog.sources.shared import stored_by, written
 from tidelog.sources.publish import publish_changes
 from tidelog.sources.store import append_event_rows
 from tidelog import schemas as S
@@ -137,6 +137,15 @@ def continued(passing: DataFrame, start: DataFrame, width: int) -> DataFrame:
         width).drop("_b0", "_i0")
 
 
+def numbered_in_place(passing: DataFrame, start: DataFrame | None, width: int) -> DataFrame:
+    """The entries with their ids, left where they lie: only key and end mark move to the ranges in
+    which ids are counted, and key and ids back to the entries."""
+    narrow = passing.select(*E.EVENT_KEY, "entry_type", "is_ddl")
+    ids = Q.assign_batch_ids(narrow, width=width) if start is None else continued(
+        narrow, start, width)
+    return passing.join(ids.select(*E.EVENT_KEY, "batch_id", "in_id"), E.EVENT_KEY)
+
+
 def second_filter(entries: DataFrame, allow: Sequence[str], markers: str = "drop") -> DataFrame:
     """The filter on entries.
 
@@ -245,13 +254,17 @@ def track_changes(
     (``resume.context_at``); then ``raw`` need hold only events from the positions on. Entries and finished message values are each written once:
     both have several readers, and context must not be attached again for each of them.
     """
+    # Written, so that its measured size decides how it is joined: a list or a remote table has none.
+    meta = written(meta, "meta")
     before = None
     if seed is not None:
         is_line = F.col("type_code") == S.TABLE_LINE
         raw_columns = [f.name for f in S.RAW_EVENT.fields]
         before = seed.filter(is_line).select("server_id", "db", "tbl", "changes")
         raw = raw.select(*raw_columns).unionByName(seed.filter(~is_line).select(*raw_columns))
-    judged = written(judged_entries(raw, allow, width=width, **options), "entries")
+    # Stored by event: ids, cells and message numbers meet the entries without moving them.
+    judged = stored_by(
+        judged_entries(raw, allow, width=width, **options), "entries", E.EVENT_KEY)
     # The whole log's, also before the position.
     changes = T.column_changes(judged.filter(F.col("reason").isNull()))
     start = None
@@ -262,15 +275,13 @@ def track_changes(
         judged = resumed(judged, start)
     entries = judged.filter(F.col("reason").isNull()).drop("reason")
     passing = second_filter(entries, allow, markers)
-    if start is None:
-        kept = Q.assign_batch_ids(passing, width=width)
-    else:
-        kept = continued(passing, start, width)
+    kept = numbered_in_place(passing, start, width)
     bodies = row_bodies(
         passing, cells, meta, charset, tz=tz, changes=changes, before=before, width=width)
     full = kept.join(bodies, E.EVENT_KEY, "left")
     value_columns = [*ENTRY_FIELDS, "batch_id", "in_id", "row_datas"]
-    out = written(publish_changes(full, topic, value_columns, keep=KEPT_BESIDE), "values")
+    out = stored_by(publish_changes(full, topic, value_columns, keep=KEPT_BESIDE), "values",
+                    E.EVENT_KEY, lies=True)
     bad = out.filter(F.col("body_reason").isNotNull()).withColumnRenamed("body_reason", "reason")
     rejected = rejected_of(judged).unionByName(bad.select(*REJECTED))
     good = out.filter(F.col("body_reason").isNull()).drop(*NOT_SENT)
@@ -290,6 +301,8 @@ def track_to_store(
 
     Keys and the hold of the checkpoint are as in ``track_changes``.
     """
+    # Written, so that its measured size decides how it is joined: a list or a remote table has none.
+    meta = written(meta, "meta")
     judged = written(judged_entries(raw, width=width), "entries")
     kept = written(D.match_tables(
         judged.filter(F.col("reason").isNull()).drop("reason"), patterns), "kept")
@@ -319,6 +332,8 @@ def simple_track(
 ) -> tuple[DataFrame, DataFrame]:
     """Listing of the effective image of each kept row with its table and position, and the
     rows events whose table is unknown. Cells without metadata are listed without a name."""
+    # Written, so that its measured size decides how it is joined: a list or a remote table has none.
+    meta = written(meta, "meta")
     resolved = written(C.resolved_events(raw, width).filter(C.is_rows_event()), "resolved")
     lost = resolved.filter(F.col("table_error").isNotNull()).select(
         "server_id", "seq", "logfile", C.header_columns()["logfile_offset"].alias("logfile_offset"),

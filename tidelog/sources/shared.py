@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +45,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _table_name(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[1].replace("-", "_")
+
+
+def stored_by(
+    df: DataFrame, name: str, keys: Sequence[str], lies: bool = False
+) -> DataFrame:
+    """Like ``written``, stored in one bucket per shuffle partition by ``keys``: joins and groups on
+    them move none of its rows. ``lies``: a join on the keys has placed the rows already, so
+    they are not shuffled for the write either.
+    """
+    spark = df.sparkSession
+    path = new_table_path(spark, name)
+    run = spark.conf.get(RUN_SETTING, None)
+    table = (_table_name(run) + "_" if run else "") + _table_name(path)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = df if lies else df.repartition(buckets, *keys)
+    # The table is external: the catalog holds a name for the folder, which goes with the run.
+    placed.write.bucketBy(buckets, *keys).option("path", path).format("parquet").saveAsTable(table)
+    return spark.table(table)
+
+
 @contextmanager
 def run_folder(spark: SparkSession) -> Iterator[str]:
     """What plans write inside the block goes to one folder, which is removed after it.
@@ -57,5 +79,7 @@ def run_folder(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         spark.conf.unset(RUN_SETTING)
+        for table in spark.catalog.listTables(pattern=f"{_table_name(folder)}*"):
+            spark.sql(f"DROP TABLE IF EXISTS {table.name}")
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
