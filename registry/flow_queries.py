@@ -12,6 +12,7 @@ from tidelog.operators import checkpoints as P
 from tidelog.operators import context as C
 from tidelog.operators import monitor as M
 from tidelog.operators import sequence as Q
+from tidelog.operators.ordered import merged
 from tidelog.plans import resume
 from tidelog.plans import track as H
 from tidelog.sources import publish, row_store, store, topic
@@ -735,7 +736,7 @@ def _streamed(log: Log, meta, parts: int, **options):
     source, state, sink, mark = (
         new_table_path(spark, n) for n in ("live", "state", "sink", "mark"))
     images = F.sort_array(F.collect_list(F.struct(*live.IMAGES.elementType.names))).alias("images")
-    whole = log.raw.join(log.cells.groupBy("server_id", "seq").agg(images), ["server_id", "seq"], "left")
+    whole = merged(log.raw, log.cells.groupBy("server_id", "seq").agg(images), ["server_id", "seq"], "left")
     events = written(whole, "events")
     last = events.agg(F.max("seq")).first()[0]
     for part in range(parts):

@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from registry import QUERIES
 from registry.base import ALLOW, Log
 from tidelog.functions import values as V
 from tidelog.operators import checkpoints as P
@@ -137,6 +138,45 @@ def test_entries_cells_and_values_move_once(spark, monkeypatch):
     assert {k: v for k, v in found.items() if v and k not in ("entries", "values")} == {}
 
 
+def event_broadcasts(df):
+    """Joins on the event that send one side to the driver and every executor."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"BroadcastHashJoin \[server_id#\d+L?, seq#\d+L?\]", plan)
+
+
+@pytest.mark.parametrize("name", [
+    "changed_or_key_columns", "check_column_count", "effective_image", "enrich_columns",
+    "flag_updated", "render_cells", "widen_unsigned", "assemble_entries"])
+def test_cells_are_never_broadcast(spark, name):
+    """A small file explodes into many cells, so its size says nothing about theirs."""
+    assert event_broadcasts(QUERIES[name](spark, FOLDER)) == []
+
+
+@pytest.mark.parametrize("resumed", [False, True])
+def test_plans_broadcast_no_cells_or_entries(spark, monkeypatch, resumed):
+    log, found = Log(tune(spark), FOLDER), {}
+    start = None
+    if resumed:
+        start = spark.createDataFrame(
+            [(s, "mysql-bin.000001", 50_000, 0, 0) for s in (1, 2)],
+            "server_id bigint, logfile string, pos bigint, batch_id bigint, in_id bigint")
+
+    def seen(write):
+        def run(df, name, *args, **options):
+            found[name] = event_broadcasts(df)
+            return write(df, name, *args, **options)
+        return run
+
+    for module in (H, Q):
+        monkeypatch.setattr(module, "written", seen(shared.written))
+    monkeypatch.setattr(H, "stored_by", seen(shared.stored_by))
+    messages, _, _ = H.track_changes(log.raw, log.cells, log.meta_now, ALLOW, checkpoints=start)
+    H.track_to_store(log.raw, log.cells, log.meta_now, None)
+    found["messages"] = event_broadcasts(messages)
+    assert {"values", "rows", "messages"} <= set(found)
+    assert {k: v for k, v in found.items() if v} == {}
+
+
 def test_tables_by_key_go_with_their_run(spark):
     df = spark.range(100).selectExpr("id % 7 k", "id v")
     before = [t.name for t in spark.catalog.listTables()]

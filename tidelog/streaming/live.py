@@ -13,7 +13,7 @@ from tidelog import schemas as S
 from tidelog.operators import checkpoints as P
 from tidelog.operators import columns as E
 from tidelog.operators import context as C
-from tidelog.operators.ordered import DEFAULT_WIDTH
+from tidelog.operators.ordered import DEFAULT_WIDTH, merged
 from tidelog.plans import track as H
 from tidelog.sources.publish import publish_changes
 
@@ -171,7 +171,7 @@ def _packed(
         "server_id", (F.col("m.message_no") + closed.cast("bigint")).alias("no"),
         F.when(closed, zero).otherwise(F.col("m.n")).alias("n"),
         F.when(closed, zero).otherwise(F.col("m.b")).alias("b"))
-    return messages.join(packed.select("server_id", "seq", "message_no"), E.EVENT_KEY), opened
+    return merged(messages, packed.select("server_id", "seq", "message_no"), E.EVENT_KEY), opened
 
 
 def _carry(
@@ -266,7 +266,7 @@ def track_batch(
         passing, cells_of(batch), meta, charset, tz=tz, changes=H.T.column_changes(entries),
         before=before.filter(F.col("type_code") == TABLE_LINE).select(
             "server_id", "db", "tbl", "changes"), width=width)
-    full = kept.join(bodies, E.EVENT_KEY, "left")
+    full = merged(kept, bodies, E.EVENT_KEY, "left")
     columns = [*H.ENTRY_FIELDS, "batch_id", "in_id", "row_datas"]
     out = H.written(publish_changes(full, topic, columns, keep=H.KEPT_BESIDE), "live")
     bad = out.filter(F.col("body_reason").isNotNull()).withColumnRenamed("body_reason", "reason")
