@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 
 from registry import QUERIES
 from registry.base import ALLOW, Log
+from tidelog import schemas as S
 from tidelog.functions import values as V
 from tidelog.operators import checkpoints as P
 from tidelog.operators import sequence as Q
 from tidelog.plans import track as H
 from tidelog.session import tune
 from tidelog.sources import shared
+from tidelog.streaming import live
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -177,6 +179,28 @@ def test_plans_broadcast_no_cells_or_entries(spark, monkeypatch, resumed):
     assert {k: v for k, v in found.items() if v} == {}
 
 
+@pytest.mark.parametrize("name", ["enrich_columns", "assemble_entries", "first_column_label"])
+def test_cells_are_not_placed_by_their_table(spark, name):
+    """A few tables hold all cells, so a shuffle by table would put a table's cells in one task."""
+    found = exchanges(QUERIES[name](spark, FOLDER))
+    assert found and not [e for e in found if "hashpartitioning(db#" in e]
+
+
+def test_live_metadata_has_a_size(spark, monkeypatch, tmp_path):
+    """What a micro-batch joins has a size of its own, also if the job's metadata is a list."""
+    log, sizes = Log(tune(spark), FOLDER), []
+    meta = spark.createDataFrame(log.meta.collect(), S.TABLE_META).groupBy("db", "tbl", "ordinal").agg(
+        *[F.first(c).alias(c) for c in ("version", "name", "column_type", "column_key")])
+    log.raw.withColumn("images", F.lit(None).cast(live.IMAGES)).limit(5).write.parquet(f"{tmp_path}/in")
+    monkeypatch.setattr(live, "track_batch", lambda batch, epoch, meta, *rest, **options: sizes.append(
+        int(meta._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())))
+    stream = live.stream_change_log(spark, "parquet", {"path": f"{tmp_path}/in"}, live.LIVE_EVENT)
+    live.track_changes_stream(
+        stream, meta, ALLOW, f"{tmp_path}/state", f"{tmp_path}/sink", f"{tmp_path}/mark",
+        trigger={"availableNow": True}).awaitTermination()
+    assert sizes and max(sizes) < 1 << 20
+
+
 def test_tables_by_key_go_with_their_run(spark):
     df = spark.range(100).selectExpr("id % 7 k", "id v")
     before = [t.name for t in spark.catalog.listTables()]

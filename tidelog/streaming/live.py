@@ -292,6 +292,8 @@ def track_changes_stream(
     """
     start = None if checkpoints is None else H.written(
         initial_state(checkpoints, log_index, master), "start")
+    # Written, so that its measured size decides how it is joined: a list or a remote table has none.
+    meta = H.written(meta, "meta")
 
     def run(batch: DataFrame, epoch: int) -> None:
         batch.persist()  # read for entries, row images and the carried state
