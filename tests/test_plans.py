@@ -179,6 +179,49 @@ def test_plans_broadcast_no_cells_or_entries(spark, monkeypatch, resumed):
     assert {k: v for k, v in found.items() if v} == {}
 
 
+def test_cells_of_a_store_are_sorted_once(spark, raw, monkeypatch):
+    """Cells are sorted by row and gathered from that order: not grouped one by one to count the
+    named columns, nor sorted by event first, nor numbered a second time for the checkpoint. An
+    event that comes twice is stored twice."""
+    tune(spark)
+    event = dict(seq=20, type_code=30, table_id=1, log_pos=300)
+    log = raw(dict(seq=10, type_code=19, table_id=1, db="a", tbl="t", log_pos=200), event, event,
+              dict(seq=30, type_code=16, xid=5, log_pos=400))
+    cells = spark.createDataFrame(
+        [(1, 20, r, "A", o, 3, 0, 4, 7 + o, None, None, None) for r in (1, 0) for o in (1, 0)], S.CELL)
+    meta = spark.createDataFrame(
+        [("a", "t", 1, o, f"c{o}", "int", "NO", "", None, "") for o in (0, 1)], S.TABLE_META)
+    plans = {}
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return shared.written(df, name)
+
+    monkeypatch.setattr(H, "written", seen)
+    rows, checkpoint, rejected = H.track_to_store(log, cells, meta, None, skip_errors=True)
+    got = rows.orderBy("row_key").collect()
+    assert [(r.row_key, r.seq) for r in got] == [(0, 20), (1, 20), (2, 30)]
+    for r in got[:2]:  # cells meet both, as they did
+        assert [[(c.name, c.value) for c in i.after] for i in r.row_datas] == 2 * [
+            [("c0", "7")] * 2 + [("c1", "8")] * 2]
+    assert rejected.count() == 0
+    assert [tuple(r) for r in checkpoint.collect()] == [(1, "mysql-bin.000001:400", "3")]
+    assert "ObjectHashAggregate" not in plans["rows"]
+    assert sum(" Sort [" in line for line in plans["rows"].split("\n")) == 2, plans["rows"]
+    assert not [e for e in exchanges(checkpoint) if "_range" in e]
+
+
+def test_named_columns_are_counted_once(spark):
+    from tidelog.operators import columns as E
+
+    at = [(0, "B", "a"), (0, "A", "a"), (0, "A", "a"), (1, "A", None), (2, "A", "c"), (None, "A", "d")]
+    cells = spark.createDataFrame(
+        [(1, 1, 0, image, o, "a.t", name) for o, image, name in at],
+        "server_id bigint, seq bigint, row_idx int, image string, ordinal int, _table string, name string")
+    got = E.row_images(cells, ["ordinal", "name"]).first()
+    assert (got["_table"], got.width, got.named, len(got.before), len(got.after)) == ("a.t", 3, 2, 1, 5)
+
+
 @pytest.mark.parametrize("name", ["enrich_columns", "assemble_entries", "first_column_label"])
 def test_cells_are_not_placed_by_their_table(spark, name):
     """A few tables hold all cells, so a shuffle by table would put a table's cells in one task."""
