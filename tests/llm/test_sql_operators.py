@@ -1,6 +1,7 @@
 """Operators that SQL can express, against their SQL, on edge cases and real text."""
 
 import random
+import re
 from hashlib import sha256
 
 import numpy as np
@@ -170,6 +171,35 @@ def test_repeated_windows_and_lines(spark, same):
     same(quality.judge_quality(df, labels), quality.ORACLE, documents=df, labels=labels)
 
 
+def test_quality_ngrams_stay_in_generated_code(spark):
+    """N-grams are exploded from a column, inside generated code, and grouped by one number."""
+    rows = [(k, f"word{k} and more words of text {k} " * 6) for k in range(20)]
+    docs = spark.createDataFrame([*rows, (20, None), (21, "")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, quality int")
+    judged = quality.judge_quality(docs, labels)
+    assert len(judged.collect()) == 22
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert re.search(r"\*\(\d+\) Generate explode\(_b#\d+\)", final)
+    assert re.findall(r"HashAggregate\(keys=\[(\w+)#\d+L?\], functions=\[(?:partial_)?max", final)
+    assert "Generate explode(concat" not in plan
+
+
+def test_repeats_of_half_windows(spark, same):
+    """Halves of windows that come twice, without and with a whole window that does."""
+    half, other = "one two three four", "five six seven eight"
+    words = " ".join(f"w{k}" for k in range(20))
+    texts = [f"{half} {words} {half}", f"{half} {other} {words} {half} {other}", f"{half} " * 3,
+             f"{half} {half}", f"{half} {half} one", f"{words} {half} x {half} {other} {half}",
+             f"{half} {other} {other} {half} {other}", "a " * 9, "a " * 8, None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(0, 1), (5, 1)], "doc_id bigint, quality int")
+    judged = quality.judge_quality(df, labels)
+    same(judged, quality.ORACLE, documents=df, labels=labels)
+    found = {r.doc_id: r.n_repeat_words for r in judged.collect()}
+    assert [found[k] for k in range(11)] == [0, 16, 12, 0, 0, 0, 16, 9, 0, 0, 0]
+
+
 def test_quality_on_held_out_labels(spark):
     """Trusted rows of three quarters; junk and clean documents of the rest."""
     docs = spark.read.parquet(f"{SMALL.replace('0.001', '0.01')}/documents.parquet")

@@ -48,18 +48,21 @@ def count_repeated(rows: DataFrame, words: str, name: str) -> DataFrame:
     more. Windows are told apart by a 64-bit hash of their words."""
     n = F.size(words)
     none = F.array().cast("array<bigint>")
-    # Hashes of runs of 1, 2, 4, 8 words: each from two neighbouring halves.
+    # Hashes of runs of 1, 2, 4, 8 words: each from two neighbouring halves. Most texts repeat
+    # nothing, which a hash set shows: a window that comes twice has its half twice, so texts
+    # without such a half go no further, and of the others only those with a window are sorted.
+    again = F.size(F.array_distinct("_h")) < F.size("_h")
     rows = rows.withColumn("_h", F.when(n > WINDOW, F.transform(
         words, lambda w: F.xxhash64(w))).otherwise(none))
     half = 1
     while half < WINDOW:
         left = F.greatest(F.size("_h") - half, F.lit(0))
-        rows = rows.withColumn("_h", F.zip_with(
-            F.slice("_h", 1, left), F.slice("_h", half + 1, left), lambda a, b: F.xxhash64(a, b)))
+        longer = F.zip_with(
+            F.slice("_h", 1, left), F.slice("_h", half + 1, left), lambda a, b: F.xxhash64(a, b))
         half *= 2
-    # Most texts repeat nothing, which a hash set shows; only the others are sorted.
+        rows = rows.withColumn("_h", F.when(again, longer).otherwise(none)
+                               if half == WINDOW else longer)
     sort = F.sort_array(F.transform("_h", lambda h, k: F.struct(h.alias("h"), k.alias("k"))))
-    again = F.size(F.array_distinct("_h")) < F.size("_h")
     rows = rows.withColumn("_s", F.when(again, sort).otherwise(
         F.array().cast("array<struct<h:bigint,k:int>>"))).drop("_h")
     pairs = F.size("_s") - 1
@@ -101,9 +104,13 @@ def with_buckets(rows: DataFrame, buckets: int, name: str, outer: bool = False)
     pairs = F.greatest(F.size("_g") - 1, F.lit(0))
     both = F.zip_with(F.slice("_g", 1, pairs), F.slice("_g", 2, pairs),
                       lambda a, b: a * _TIMES + b)
-    explode = F.explode_outer if outer else F.explode
-    rows = rows.select(*[c for c in rows.columns if c != "_g"],
-                       explode(F.concat("_g", both)).alias(name))
+    # The array is a column before it is exploded, so that the n-grams need no row of their own
+    # on the way to what is counted; lambdas beside the explode would keep it out of the generated
+    # code. A filter that Spark infers for an inner explode would cut the texts twice.
+    names = [c for c in rows.columns if c != "_g"]
+    rows = rows.select(*names, F.concat("_g", both).alias("_b"))
+    rows = rows.select(*names, F.explode_outer("_b").alias(name))
+    rows = rows if outer else rows.filter(F.col(name).isNotNull())
     return rows.withColumn(name, F.col(name).bitwiseAND(mask))
 
 
@@ -156,7 +163,9 @@ def judge_quality(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataF
     names = [c for c in rows.columns if c != "text"]
     # Every n-gram's bucket has been counted, so the join drops only rows without any.
     grams = with_buckets(rows, buckets, "bucket", outer=True)
-    judged = grams.join(F.broadcast(weights), "bucket", "left").groupBy(*names).agg(
+    # Grouped by the row's number alone: n-grams are many, and a key of all columns costs each one.
+    judged = grams.join(F.broadcast(weights), "bucket", "left").groupBy("_row").agg(
+        *(F.max(c).alias(c) for c in names[1:]),
         F.sum("weight").alias("_sum"), F.count("weight").alias("_n"))
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
